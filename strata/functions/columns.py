@@ -139,7 +139,7 @@ def floor_fill(c) -> Column:
 # ---------------------------------------------------------------- dates
 def parse_date(c, formats: Sequence[str] = ("yyyy-MM-dd",)) -> Column:
     """First format that parses wins; unparsable -> null."""
-    return F.coalesce(*[F.try_to_date(col(c).cast("string"), F.lit(f)) for f in formats])
+    return F.coalesce(*[F.try_to_date(col(c).cast("string"), f) for f in formats])
 
 
 def parse_timestamp(c, formats: Sequence[str]) -> Column:
@@ -171,7 +171,8 @@ AVG_MONTH_SECONDS = 2629746  # 30.436875 days: the average Gregorian month
 
 def add_avg_month(c) -> Column:
     """The 'average month' offset of older pandas ``timedelta64(1, 'M')``."""
-    return F.timestampadd("SECOND", F.lit(AVG_MONTH_SECONDS), col(c).cast("timestamp_ntz"))
+    # 30 days 10:29:06 == AVG_MONTH_SECONDS
+    return col(c).cast("timestamp_ntz") + F.make_dt_interval(F.lit(30), F.lit(10), F.lit(29), F.lit(6))
 
 
 def month_end(c) -> Column:
@@ -217,7 +218,7 @@ def week_ending_sunday(c) -> Column:
 
 def date_or_sentinel(c, fmt: str = "yyyy-MM-dd", sentinel: str = "1900-01-01") -> Column:
     """Valid date -> itself, else a sentinel date."""
-    d = F.try_to_date(col(c).cast("string"), F.lit(fmt))
+    d = F.try_to_date(col(c).cast("string"), fmt)
     return F.coalesce(d, F.lit(sentinel).cast("date"))
 
 

@@ -152,6 +152,19 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "v_batch_new": """
         SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS Period, o_orderstatus, o_totalprice
         FROM {orders} WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'""",
+    # Dates as text in several layouts, some invalid.
+    "v_datetext": """
+        SELECT o_orderkey AS Id, CAST(o_orderdate AS DATE) AS Date,
+               CASE o_orderkey % 4
+                    WHEN 0 THEN CAST(CAST(o_orderdate AS DATE) AS STRING)
+                    WHEN 1 THEN lpad(CAST(dayofmonth(o_orderdate) AS STRING), 2, '0') || '/' ||
+                                lpad(CAST(month(o_orderdate) AS STRING), 2, '0') || '/' || CAST(year(o_orderdate) AS STRING)
+                    WHEN 2 THEN 'not a date'
+                    ELSE CAST(year(o_orderdate) AS STRING) || '-13-01' END AS Date_Text,
+               'DSPT ' || CAST(year(o_orderdate) AS STRING) || '_' || lpad(CAST(month(o_orderdate) AS STRING), 2, '0')
+                    || ' export ' || o_orderpriority AS File_Name,
+               year(o_orderdate) AS Year
+        FROM {orders}""",
     # Text columns with the dirt the C-family cleans.
     "v_text": """
         SELECT p_partkey AS Id, p_name AS Name, p_brand AS Brand, p_type AS Type,
