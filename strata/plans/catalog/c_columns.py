@@ -125,9 +125,9 @@ def c14(spark, sf):
     return view(spark, sf, "v_status").select("o_orderkey", C.norm_status("Status", STATUS_MAP).alias("Status_Norm"))
 
 
-@query("c15_prefix", oracle="SELECT event_id, substr(recipientOdsCode, 1, 3) AS Trust FROM v_acks")
+@query("c15_prefix", oracle="SELECT l_orderkey, l_linenumber, substr(recipientOdsCode, 1, 3) AS Trust FROM v_acks")
 def c15(spark, sf):
-    return view(spark, sf, "v_acks").select("event_id", C.prefix("recipientOdsCode", 3).alias("Trust"))
+    return view(spark, sf, "v_acks").select("l_orderkey", "l_linenumber", C.prefix("recipientOdsCode", 3).alias("Trust"))
 
 
 @query("c16_nbsp", oracle="SELECT Id, replace(Nbsp_Text, chr(160), '') AS Clean FROM v_text")

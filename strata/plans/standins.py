@@ -71,13 +71,15 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                CASE WHEN l.l_linenumber = 7 THEN NULL ELSE l.l_quantity END AS Value,
                CASE WHEN l.l_linestatus = 'F' THEN 'EMIS' ELSE 'TPP' END AS System_Supplier
         FROM {lineitem} l JOIN {orders} o ON l.l_orderkey = o.o_orderkey""",
-    # D8 message acknowledgements.
+    # D8 message acknowledgements (lineitem grain: 80 months of traffic).
     "v_acks": """
-        SELECT event_id, ts AS _time,
-               CASE WHEN event_type = 'error' THEN 'NACK' ELSE 'ACK_' || upper(event_type) END AS workflow,
-               CAST(user_id AS STRING) AS senderOdsCode,
-               'R' || CAST(user_id % 20 AS STRING) || 'X' || CAST(user_id % 3 AS STRING) AS recipientOdsCode
-        FROM {events}""",
+        SELECT l_orderkey, l_linenumber, l_shipdate AS _time,
+               CASE WHEN l_linenumber = 7 THEN 'TOC_FHIR_OP_ATTEN'
+                    ELSE 'TOC_FHIR_' || CASE l_returnflag WHEN 'A' THEN 'EC_DISCH' WHEN 'N' THEN 'IP_DISCH'
+                                                          ELSE 'MH_DISCH' END || '_ACK' END AS workflow,
+               'S' || CAST(l_suppkey % 50 AS STRING) AS senderOdsCode,
+               'R' || CAST(l_orderkey % 40 AS STRING) || 'X' || CAST(l_partkey % 3 AS STRING) AS recipientOdsCode
+        FROM {lineitem}""",
     # D9 discharge denominators per provider and day.
     "v_denominator": """
         SELECT CAST(o_orderdate AS DATE) AS Discharge_Date,
@@ -168,6 +170,8 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     # Text columns with the dirt the C-family cleans.
     "v_text": """
         SELECT p_partkey AS Id, p_name AS Name, p_brand AS Brand, p_type AS Type,
+               CASE WHEN p_partkey % 97 = 0 THEN 'Grand Total' WHEN p_partkey % 89 = 0 THEN 'nan'
+                    WHEN p_partkey % 83 = 0 THEN NULL ELSE p_name END AS Name_Dirty,
                CAST(p_size AS STRING) || '%' AS Pct_Text,
                CASE WHEN p_partkey % 11 = 0 THEN 'bad%' ELSE CAST(p_size * 2 AS STRING) || '.5%' END AS Pct_Dirty,
                chr(160) || p_brand || chr(160) AS Nbsp_Text,
