@@ -86,6 +86,20 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                'R' || CAST(o_custkey % 20 AS STRING) AS Provider_Code,
                CAST(count(*) AS BIGINT) AS Discharges
         FROM {orders} GROUP BY CAST(o_orderdate AS DATE), 'R' || CAST(o_custkey % 20 AS STRING)""",
+    # D9 mental-health discharges: provider rows (some suppressed) + national rows.
+    "v_mh": """
+        SELECT Reporting_Period_Start, Primary_Level, Breakdown, Measure_Value,
+               CASE WHEN Breakdown = 'Provider' AND (month(Reporting_Period_Start) + length(Primary_Level)) % 5 = 0
+                    THEN '*' ELSE CAST(Measure_Value AS STRING) END AS Measure_Value_Str
+        FROM (
+          SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS Reporting_Period_Start,
+                 'R' || CAST(o_custkey % 20 AS STRING) AS Primary_Level, 'Provider' AS Breakdown,
+                 CAST(count(*) AS BIGINT) AS Measure_Value
+          FROM {orders} GROUP BY Reporting_Period_Start, Primary_Level
+          UNION ALL
+          SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS Reporting_Period_Start, 'ENG' AS Primary_Level,
+                 'England' AS Breakdown, CAST(count(*) + 7 AS BIGINT) AS Measure_Value
+          FROM {orders} GROUP BY Reporting_Period_Start) u""",
     # D10 online consultations, practice x week.
     "v_weekly": """
         SELECT o_orderkey, CAST(date_trunc('week', o_orderdate) AS DATE) AS Week_Commencing,
