@@ -114,7 +114,8 @@ def state_as_of(panel: DataFrame, events: DataFrame, entity: str, month: str, ev
     Linear instead of a panel x events fan-out: events are pre-aggregated per
     (entity, month end), unioned with the panel rows and made cumulative by a
     per-entity running window whose length is bounded by the number of months.
-    ``aggs`` maps output names to ``(per-event Column, 'max' | 'sum')``.
+    ``aggs`` maps output names to ``(per-event Column, 'max' | 'sum')``;
+    months before the entity's first event get 0.
     """
     from pyspark.sql import Window
 
@@ -127,7 +128,7 @@ def state_as_of(panel: DataFrame, events: DataFrame, entity: str, month: str, ev
     w = Window.partitionBy(entity).orderBy("_me", "_panel").rowsBetween(Window.unboundedPreceding, 0)
     cum = u.select(
         entity, month, "_panel",
-        *[(comb[how](n).over(w) if how == "max" else F.coalesce(F.sum(n).over(w), F.lit(0))).alias(n) for n, (_, how) in aggs.items()],
+        *[F.coalesce(comb[how](n).over(w), F.lit(0)).alias(n) for n, (_, how) in aggs.items()],
     )
     return cum.filter(F.col("_panel") == 2).drop("_panel")
 

@@ -227,4 +227,8 @@ def with_views(sql: str) -> str:
     for n in used:
         body = _REF.sub(lambda m: m.group(1), _duck_text(n))
         ctes.append(f"{n} AS ({body})")
-    return "WITH " + ",\n".join(ctes) + "\n" + sql
+    head = "WITH " + ",\n".join(ctes)
+    body = sql.lstrip()
+    if body[:4].upper() == "WITH":
+        return head + ",\n" + body[4:].lstrip()
+    return head + "\n" + sql
