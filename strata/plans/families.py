@@ -18,3 +18,151 @@ def rolling_total(df: DataFrame, period: str, measure: str, window: int = 12, dp
     per = sum_by(df, [period], [measure])
     out = round_all(rolling_mean(per, [period], measure, window, name=avg_name), dp)
     return with_row_id(out, [period], name=row_id) if row_id else out
+
+
+# ---------------------------------------------------------------- usage
+from collections.abc import Mapping, Sequence  # noqa: E402
+
+from pyspark.sql import Column  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from strata.functions import columns as C  # noqa: E402
+from strata.operators import aggregates as A  # noqa: E402
+from strata.operators import filters as FL  # noqa: E402
+from strata.operators import joins as J  # noqa: E402
+from strata.operators import timeseries as W  # noqa: E402
+from strata.operators.projection import rename  # noqa: E402
+
+
+def daily_measure(df: DataFrame, measure: str, date: str = "Date", org: str = "OdsCode",
+                  org_name: str = "Practice_code", row_id: str | None = "Unique_ID") -> DataFrame:
+    """Coerce one text measure, sum per (date, org), surrogate key."""
+    x = df.select(date, org, C.coerce(measure).alias(measure))
+    out = rename(A.sum_by(x, [date, org], [measure]), {org: org_name})
+    return with_row_id(out, [date, org_name], name=row_id) if row_id else out
+
+
+def cum_by_org(df: DataFrame, measure: str, date: str = "Date", org: str = "OdsCode", name: str = "Cumulative") -> DataFrame:
+    """Per-org cumulative sum of a coerced measure."""
+    x = df.select(date, org, C.coerce(measure).alias(measure))
+    return W.cumsum_by(x, org, date, measure, name=name)
+
+
+def dense_cum(df: DataFrame, measure: str, date: str = "Date", org: str = "OdsCode", name: str = "Cumulative") -> DataFrame:
+    """Dense per-org cumulative series (every day from first observation)."""
+    x = df.select(date, org, C.coerce(measure).alias(measure))
+    return W.dense_cumsum(x, org, date, measure, name=name)
+
+
+def uptake_scaffold(usage: DataFrame, pop: DataFrame, measure: str, min_age: int = 12, date: str = "Date",
+                    org: str = "OdsCode", pop_org: str = "GP_Practice_Code", age: str = "AGE", size: str = "Size",
+                    snap: str = "Effective_Snapshot_Date") -> DataFrame:
+    """Cumulative registrations per practice and day against the
+    registered population on a (date x practice) scaffold."""
+    cum = cum_by_org(usage, measure, date, org, name="Cumulative").drop(measure).withColumnRenamed(org, "Practice")
+    ref = FL.adult_population(pop, age, min_age).groupBy(F.col(pop_org).alias("Practice")).agg(
+        F.sum(size).cast("long").alias("Population"), F.max(snap).alias("Snapshot"))
+    dates = cum.select(date).distinct()
+    lo, hi = dates.select(F.min(date)).scalar(), dates.select(F.max(date)).scalar()
+    grid = J.scaffold(ref, lo, hi, "1 day", date).join(dates, date, "left_semi")
+    return J.scaffold_fill(cum, grid, [date, "Practice"], ["Cumulative", "Population"], {"Snapshot": "Snapshot"})
+
+
+def weekly_pct(usage: DataFrame, pop: DataFrame, measure: str, min_age: int = 17, date: str = "Date",
+               age: str = "AGE", size: str = "Size", snap: str = "Effective_Snapshot_Date", dp: int = 4) -> DataFrame:
+    """Weekly (Sunday) totals, cumulative users, share of the latest
+    adult population snapshot."""
+    x = usage.select(date, C.coerce(measure).alias(measure))
+    wk = W.resample(x, date, [measure], "W", name="Week_Ending")
+    cum = W.cumsum(wk, ["Week_Ending"], [measure], names={measure: "Users"}).drop(measure)
+    adults = FL.adult_population(FL.latest_rows(pop, snap), age, min_age)
+    out = J.with_scalar(cum, "Adult_Population", adults.select(F.sum(size).cast("long")))
+    return out.withColumn("Share", C.ratio("Users", "Adult_Population", dp))
+
+
+def clicks(df: DataFrame, providers: Sequence[str], services: Sequence[str], cutoff: str | None = None,
+           apply_cutoff: bool = True, keys: Sequence[str] = ("Provider", "Date", "OdsCode")) -> DataFrame:
+    """Clicks for a (provider, service) selection summed per keys, from
+    a cut-off date (``apply_cutoff=False`` keeps the uncut frame)."""
+    x = df.filter(F.col("Provider").isin(list(providers)) & F.col("JumpOff").isin(list(services)))
+    out = A.sum_by(x, list(keys), ["Clicks"])
+    return FL.on_or_after(out, "Date", cutoff) if (cutoff and apply_cutoff) else out
+
+
+def clicks_dynamic(df: DataFrame) -> DataFrame:
+    """Drop the legacy ``Cie`` suffix, sum, sentence-case the service,
+    month buckets labelled by month end (the last by the true last date)."""
+    x = df.withColumn("Provider", C.regex_replace("Provider", "Cie", ""))
+    x = A.sum_by(x, ["Date", "OdsCode", "Provider", "JumpOff"], ["Clicks"])
+    x = x.withColumn("Service", C.sentence_case("JumpOff")).drop("JumpOff")
+    return W.month_bucket_truncated_last(x, "Date", ["OdsCode", "Provider", "Service"], ["Clicks"], name="Date")
+
+
+def typed_passthrough(df: DataFrame, mapping: Mapping[str, str], types: Mapping[str, str]) -> DataFrame:
+    """Rename and cast columns of an already-shaped feed."""
+    out = rename(df, mapping)
+    return out.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in out.columns])
+
+
+# ---------------------------------------------------------------- channels
+def month_rollup(df: DataFrame, date: str, measures: Sequence[str], name: str = "Month") -> DataFrame:
+    """Month roll-up of one or more measures (pandas: all-null -> 0)."""
+    return A.monthly_sum(df, date, list(measures), name=name)
+
+
+def month_combined(df: DataFrame, date: str, parts: Sequence[str], total: str = "Total", strict: str | None = None) -> DataFrame:
+    """Roll several measures up by month, then a null-skipping total
+    and (optionally) a null-propagating sum of the first two."""
+    m = A.monthly_sum(df, date, list(parts), null_sum=None)
+    m = m.withColumn(total, C.row_sum(parts))
+    return m.withColumn(strict, C.add(parts[:2])) if strict else m
+
+
+def month_project(df: DataFrame, keep: Sequence[str], rename_map: Mapping[str, str], fill_cols: Sequence[str]) -> DataFrame:
+    """Projection of a monthly table with renames and null -> 0."""
+    out = rename(df.select(*keep), rename_map)
+    return out.na.fill(0, subset=list(fill_cols))
+
+
+def month_ratio(df: DataFrame, date: str, num: str, den: str, name: str = "Ratio", dp: int = 4) -> DataFrame:
+    """Month roll-up of two measures and their ratio."""
+    m = A.monthly_sum(df, date, [num, den])
+    return m.withColumn(name, C.ratio(num, den, dp))
+
+
+def channel_shift(app: DataFrame, allch: DataFrame, app_date: str, app_measure: str, all_date: str,
+                  all_measure: str, dp: int = 4) -> DataFrame:
+    """App measure (month roll-up) vs all-channel measure (month-end
+    resample), inner-joined by month: offline residual and app share."""
+    a = A.monthly_sum(app, app_date, [app_measure]).withColumnRenamed(app_measure, "App")
+    t = W.resample(allch, all_date, [all_measure], "ME", name="Month_End").withColumn(
+        "Month", F.date_format("Month_End", "yyyy-MM")).drop("Month_End").withColumnRenamed(all_measure, "All")
+    j = J.join_on(a, t, "Month", how="inner")
+    j = j.withColumn("Offline", C.residual("All", "App"))
+    return j.withColumn("App_Share", F.bround(C.inf_to_zero("App", "All"), dp))
+
+
+def month_start_pct(df: DataFrame, date: str, measure: str, population: float, dp: int = 4) -> DataFrame:
+    """Month-start resample and share of a fixed population."""
+    m = W.resample(df, date, [measure], "MS", name="Month")
+    return m.withColumn("Population", F.lit(population)).withColumn("Share", C.ratio(measure, "Population", dp))
+
+
+def actuals(frames: Sequence[DataFrame], key: str = "Month", drop_rx: str = r"^unnamed|deprecated") -> DataFrame:
+    """Outer-merge monthly tables, drop deprecated/unnamed columns."""
+    from strata.operators.projection import drop_matching
+
+    return drop_matching(J.outer_merge_all(list(frames), key), drop_rx)
+
+
+def messages(df: DataFrame, excluded: Sequence[str], categories: Sequence[str]) -> DataFrame:
+    """Messages sent and read by notification type (read > 0 only)."""
+    x = FL.isin(df, "Supplier", list(excluded), negate=True).filter(F.col("Read_By") > 0)
+    x = x.withColumn("Push_Notification", C.fill("Push_Notification", "Unknown"))
+    return A.pivot_multi(x, ["Date"], "Push_Notification", ["Count", "Read_By"], list(categories))
+
+
+def notifications_only(df: DataFrame, excluded: Sequence[str]) -> DataFrame:
+    """Volume of notifications nobody read."""
+    x = FL.isin(df, "Supplier", list(excluded), negate=True).filter(F.col("Read_By") == 0)
+    return A.sum_by(x, ["Date"], ["Count"])

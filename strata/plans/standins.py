@@ -168,6 +168,53 @@ VIEWS: dict[str, str | tuple[str, str]] = {
     "v_batch_new": """
         SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS Period, o_orderstatus, o_totalprice
         FROM {orders} WHERE o_orderdate >= TIMESTAMP '1999-01-01 00:00:00'""",
+    # D19 GP registered population by practice and (top-coded) age.
+    "v_gp_pop": """
+        SELECT c_custkey % 150 AS GP_Practice_Code,
+               CASE WHEN c_nationkey >= 24 THEN '95+' ELSE CAST(c_nationkey * 4 AS STRING) END AS AGE,
+               CAST(floor(abs(c_acctbal)) AS BIGINT) AS Size,
+               CASE c_custkey % 3 WHEN 0 THEN DATE '2023-10-01' WHEN 1 THEN DATE '2023-11-01'
+                    ELSE DATE '2023-12-01' END AS Effective_Snapshot_Date
+        FROM {customer}""",
+    # D6 messages sent / read by notification type.
+    "v_messages": """
+        SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS Date,
+               'S' || CAST(o_custkey % 4 AS STRING) AS Supplier,
+               CASE o_orderpriority WHEN '1-URGENT' THEN 'Unknown' WHEN '2-HIGH' THEN 'Appointment'
+                    WHEN '3-MEDIUM' THEN 'Prescription' ELSE 'Message' END AS Push_Notification,
+               CAST(floor(o_totalprice / 1000) AS BIGINT) AS Count,
+               CASE WHEN o_orderstatus = 'P' THEN 0 ELSE CAST(floor(o_totalprice / 5000) AS BIGINT) END AS Read_By
+        FROM {orders}""",
+    # D11 prescription items with text percentages.
+    "v_eps": """
+        SELECT o_orderkey, o_custkey AS ODS_Code, CAST(date_trunc('month', o_orderdate) AS DATE) AS Date,
+               CAST(floor(o_totalprice / 1000) AS BIGINT) AS EPS_Items,
+               CAST(floor(o_totalprice / 900) AS BIGINT) + 1 AS All_Items,
+               CASE WHEN o_orderkey % 17 = 0 THEN 'n/a%' ELSE CAST(o_orderkey % 101 AS STRING) || '%' END AS EPS_Utilisation
+        FROM {orders}""",
+    # D12 survey numerators/denominators per practice and year (negative sentinel).
+    "v_survey": """
+        SELECT o_custkey AS Practice_Code, year(o_orderdate) AS Year,
+               CASE WHEN o_custkey % 13 = 0 THEN -1 ELSE CAST(count_if(o_orderstatus = 'F') AS BIGINT) END AS M090_num,
+               CAST(count_if(o_orderstatus = 'O') AS BIGINT) AS M091_num,
+               CAST(count(*) AS BIGINT) AS M090_den
+        FROM {orders} GROUP BY o_custkey, year(o_orderdate)""",
+    # D20 virtual wards: organisation x fortnight.
+    "v_vw": """
+        SELECT o.o_orderkey AS Submission, CAST(o.o_orderdate AS DATE) AS Period_End,
+               'R' || CAST(o.o_custkey % 20 AS STRING) AS organisation_code,
+               'Brand#' || CAST(o.o_custkey % 30 AS STRING) AS ICB_Code,
+               CASE WHEN o.o_orderkey % 9 = 0 THEN NULL ELSE CAST(floor(o.o_totalprice / 10000) AS BIGINT) END AS current_capacity,
+               CAST(floor(o.o_totalprice / 20000) AS BIGINT) AS total_number_of_patients_on_ward
+        FROM {orders} o""",
+    # D27 shared-care-record partners per month.
+    "v_partners": """
+        SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS For_Month,
+               'ICB' || CAST(o_custkey % 7 AS STRING) AS ICB_Code, 'O' || CAST(o_custkey AS STRING) AS ODS_Code,
+               CASE WHEN o_orderkey % 31 = 0 THEN 'nan' ELSE 'Org ' || CAST(o_custkey AS STRING) END AS Name,
+               CASE o_orderstatus WHEN 'F' THEN 'Connected' WHEN 'O' THEN 'Please select' ELSE 'Not connected' END AS Connected,
+               CASE WHEN o_custkey % 2 = 0 THEN 'Acute' ELSE 'Community' END AS Org_Type
+        FROM {orders}""",
     # Dates as text in several layouts, some invalid.
     "v_datetext": """
         SELECT o_orderkey AS Id, CAST(o_orderdate AS DATE) AS Date,
