@@ -166,3 +166,147 @@ def notifications_only(df: DataFrame, excluded: Sequence[str]) -> DataFrame:
     """Volume of notifications nobody read."""
     x = FL.isin(df, "Supplier", list(excluded), negate=True).filter(F.col("Read_By") == 0)
     return A.sum_by(x, ["Date"], ["Count"])
+
+
+# ---------------------------------------------------------------- practice feeds
+def utilisation(df: DataFrame, keep: Sequence[str], pct_col: str, name: str = "Utilisation", dp: int = 4) -> DataFrame:
+    """Percent text -> fraction, rounded."""
+    return df.select(*keep, F.bround(C.percent(pct_col), dp).alias(name))
+
+
+def compliance(df: DataFrame, key: str, answer: str, name: str = "Compliant", dp: int = 4) -> DataFrame:
+    """YES/NO -> 1/0, compliant count, practices and share per key."""
+    x = df.withColumn("_flag", C.yesno(answer))
+    out = A.agg_by(x, [key], [("sum", "_flag", name), ("size", key, "Practices")])
+    return out.withColumn(f"{name}_Share", C.ratio(name, "Practices", dp))
+
+
+def latest_extract(df: DataFrame, ref: DataFrame, date: str, key: str, ref_key: str, ref_cols: Sequence[str]) -> DataFrame:
+    """Last extract day of each month, joined to a reference table."""
+    latest = FL.latest_per_month(df, date)
+    return J.join_on(latest, ref.select(ref_key, *ref_cols), key, ref_key, "left").drop(ref_key)
+
+
+def survey(df: DataFrame, keys: Sequence[str], num: str, den: str, other: str, dp: int = 4) -> DataFrame:
+    """Survey proportions; negative sentinels are missing values."""
+    x = df.select(*keys, C.null_if_negative(num).alias(num), C.null_if_negative(den).alias(den), C.null_if_negative(other).alias(other))
+    x = x.withColumn("Prop", C.ratio(num, den, dp))
+    return x.withColumn("Remainder", C.residual(den, num))
+
+
+def rolling_rate(df: DataFrame, period: str, num: str, den: str, window: int = 12, per: float = 1000.0, dp: int = 2) -> DataFrame:
+    """Rate per ``per`` population and its trailing mean."""
+    agg = A.agg_by(df, [period], [("sum", num, num), ("sum", den, den)])
+    agg = agg.withColumn("Rate", C.rate(num, den, per))
+    return round_all(rolling_mean(agg, [period], "Rate", window, name="Rolling_Rate"), dp)
+
+
+def valid_rows(df: DataFrame, flag: str, supplier: str, run_date: str) -> DataFrame:
+    """Valid practices only, supplier cleaned, run date stamped."""
+    from strata.operators.projection import with_literal
+
+    x = df.filter(F.col(flag) == 1)
+    x = x.withColumn(supplier, C.regex_replace(C.fill(supplier, "Unknown"), r"^\d+", "UNKNOWN"))
+    return with_literal(x, "Run_Date", F.lit(run_date).cast("date"))
+
+
+def field_flag(df: DataFrame, field: str, value: str, target, name: str = "Enabled", drop: Sequence[str] = ()) -> DataFrame:
+    """Rows of one Field, numeric value compared with a target -> 1/0."""
+    x = df.filter(F.col("Field") == field).withColumn(value, C.coerce(value))
+    return x.withColumn(name, C.eq_flag(value, target)).drop(*drop)
+
+
+def field_passthrough(df: DataFrame, field: str, drop: Sequence[str], mapping: Mapping[str, str]) -> DataFrame:
+    """Rows of one Field, columns dropped and renamed."""
+    return rename(df.filter(F.col("Field") == field).drop(*drop), mapping)
+
+
+def national_sma(df: DataFrame, period: str, field: str, value: str, n: int = 3) -> DataFrame:
+    """National total per period and its floored n-period mean."""
+    x = A.sum_by(df.filter(F.col("Field") == field), [period], [value])
+    r = rolling_mean(x, [period], value, n, name="_r")
+    return r.withColumn("SMA", C.floor_fill("_r")).drop("_r")
+
+
+def enabled_pct(df: DataFrame, keys: Sequence[str], num_field: str, den_field: str, dp: int = 4, sanity: bool = False) -> DataFrame:
+    """numerator/denominator fields per keys and their ratio;
+    ``sanity`` drops impossible ratios (> 1) but keeps missing ones."""
+    nd = J.num_den(df, list(keys), "Field", "Value", num_field, den_field)
+    nd = nd.withColumn("Pct", C.ratio("Numerator", "Denominator", dp))
+    return FL.not_gt_keep_null(nd, "Pct", 1) if sanity else nd
+
+
+# ---------------------------------------------------------------- message acknowledgements
+ACK = "ACK"
+
+
+def ack_pairs(acks: DataFrame, keys: Sequence[str], time: str = "_time") -> DataFrame:
+    """Acknowledgement pairs per keys: count per (keys, sender, recipient),
+    floor(n/2), summed per keys (A8)."""
+    x = FL.contains(acks, "workflow", ACK).withColumn("Month", F.date_format(time, "yyyy-MM"))
+    return A.paired_ack_count(x, [*keys, "senderOdsCode", "recipientOdsCode"], list(keys), name="Pairs")
+
+
+def ack_pivot(acks: DataFrame, categories: Sequence[str], run_date: str) -> DataFrame:
+    """National monthly pairs pivoted by workflow; incomplete run month dropped."""
+    p = ack_pairs(acks, ["Month", "workflow"])
+    wide = A.pivot_sum(p, ["Month"], "workflow", "Pairs", list(categories))
+    return FL.drop_incomplete(wide, "Month", run_date=run_date)
+
+
+def ack_trust(acks: DataFrame, categories: Sequence[str], run_date: str) -> DataFrame:
+    """Per receiving trust (3-character code): pairs per site first,
+    then the site codes are cut to the trust code and re-summed (T13)."""
+    x = FL.contains(acks, "workflow", ACK).withColumn("Month", F.date_format("_time", "yyyy-MM"))
+    site = A.count_by(x, ["Month", "workflow", "recipientOdsCode"], name="n").withColumn("Pairs", F.floor(F.col("n") / 2).cast("long"))
+    site = site.withColumn("Trust", C.prefix("recipientOdsCode", 3))
+    wide = A.pivot_sum(site, ["Month", "Trust"], "workflow", "Pairs", list(categories))
+    return FL.drop_incomplete(wide, "Month", run_date=run_date)
+
+
+def utilisation_positional(acks: DataFrame, denom: DataFrame, workflow: str, den_date: str, den_measure: str, dp: int = 2) -> DataFrame:
+    """Monthly discharges matched to monthly message pairs by position
+    (as the reference does), rate per 1 000 discharges."""
+    d = A.monthly_sum(denom, den_date, [den_measure])
+    p = ack_pairs(acks.filter(F.col("workflow") == workflow), ["Month"]).withColumnRenamed("Month", "Ack_Month")
+    z = J.zip_join(d, p, ["Month"], ["Ack_Month"]).drop("Ack_Month")
+    return z.withColumn("Per_1000", F.bround(C.rate("Pairs", den_measure, 1000), dp))
+
+
+def trust_rate(acks: DataFrame, denom: DataFrame, workflow: str, den_date: str, den_org: str, den_measure: str,
+               grain: str = "month", drop_last: bool = False, dp: int = 2) -> DataFrame:
+    """Trust-level pairs per 1 000 discharges. ``grain='day'``
+    joins day by day and re-aggregates to months (M35)."""
+    x = FL.contains(acks.filter(F.col("workflow") == workflow), "workflow", ACK)
+    x = x.withColumn("Trust", C.prefix("recipientOdsCode", 3))
+    if grain == "day":
+        x = x.withColumn("Day", F.to_date("_time"))
+        pairs = A.paired_ack_count(x, ["Day", "Trust", "senderOdsCode", "recipientOdsCode"], ["Day", "Trust"], name="Pairs")
+        den = A.sum_by(denom, [den_date, den_org], [den_measure]).withColumnRenamed(den_date, "Day").withColumnRenamed(den_org, "Trust")
+        j = J.join_on(den, pairs, ["Day", "Trust"], how="left").na.fill(0, subset=["Pairs"])
+        j = j.withColumn("Month", F.date_format("Day", "yyyy-MM"))
+        out = A.sum_by(j, ["Month", "Trust"], [den_measure, "Pairs"])
+    else:
+        x = x.withColumn("Month", F.date_format("_time", "yyyy-MM"))
+        pairs = A.paired_ack_count(x, ["Month", "Trust", "senderOdsCode", "recipientOdsCode"], ["Month", "Trust"], name="Pairs")
+        den = A.sum_by(denom.withColumn("Month", F.date_format(den_date, "yyyy-MM")), ["Month", den_org], [den_measure])
+        out = J.join_on(den.withColumnRenamed(den_org, "Trust"), pairs, ["Month", "Trust"], how="left").na.fill(0, subset=["Pairs"])
+    if drop_last:
+        out = FL.drop_incomplete(out, "Month", mode="max")
+    return out.withColumn("Per_1000", F.bround(C.rate("Pairs", den_measure, 1000), dp))
+
+
+def trust_suppressed(acks: DataFrame, mh: DataFrame, workflow: str, dp: int = 2) -> DataFrame:
+    """Suppressed provider counts imputed from the national total, summed
+    per (month, trust), joined to message pairs, rate per 1 000."""
+    national = mh.filter(F.col("Breakdown") == "England").select(F.sum("Measure_Value").cast("double")).scalar()
+    prov = mh.filter(F.col("Breakdown") == "Provider")
+    imp = A.impute_suppressed(prov, "Measure_Value_Str", national, name="Discharges")
+    imp = imp.withColumn("Month", F.date_format("Reporting_Period_Start", "yyyy-MM")).withColumnRenamed("Primary_Level", "Trust")
+    den = A.sum_by(imp, ["Month", "Trust"], ["Discharges"])
+    x = FL.contains(acks.filter(F.col("workflow") == workflow), "workflow", ACK).withColumn("Month", F.date_format("_time", "yyyy-MM"))
+    site = A.count_by(x, ["Month", "recipientOdsCode"], name="n").withColumn("Pairs", F.floor(F.col("n") / 2).cast("long"))
+    site = site.withColumn("Trust", C.prefix("recipientOdsCode", 3))
+    pairs = A.sum_by(site, ["Month", "Trust"], ["Pairs"])
+    j = J.join_on(den, pairs, ["Month", "Trust"], how="left").na.fill(0, subset=["Pairs"])
+    return j.withColumn("Per_1000", F.bround(C.rate("Pairs", "Discharges", 1000), dp)).withColumn("Discharges", F.bround("Discharges", dp))
