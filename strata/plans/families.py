@@ -310,3 +310,32 @@ def trust_suppressed(acks: DataFrame, mh: DataFrame, workflow: str, dp: int = 2)
     pairs = A.sum_by(site, ["Month", "Trust"], ["Pairs"])
     j = J.join_on(den, pairs, ["Month", "Trust"], how="left").na.fill(0, subset=["Pairs"])
     return j.withColumn("Per_1000", F.bround(C.rate("Pairs", "Discharges", 1000), dp)).withColumn("Discharges", F.bround("Discharges", dp))
+
+
+# ---------------------------------------------------------------- wards
+def per_100k(facts: DataFrame, pop: DataFrame, period: str, org: str, measure: str, cutoff: str | None,
+             pop_org: str, age: str, size: str, min_age: int = 17, require: str | None = None, dp: int = 2) -> DataFrame:
+    """Measure per (month, org) after a cut-off, against the adult
+    population of the org (full join), per 100 000."""
+    x = FL.on_or_after(facts, period, cutoff) if cutoff else facts
+    if require:
+        x = FL.nulls(x, require, keep_null=False)
+    x = x.withColumn("Month", F.trunc(period, "MM"))
+    m = A.sum_by(x, ["Month", org], [measure])
+    p = A.sum_by(FL.adult_population(pop, age, min_age), [pop_org], [size]).withColumnRenamed(pop_org, org)
+    j = J.full_join(m, p, org)
+    return j.withColumn("Per_100k", F.bround(C.rate(measure, size, 100000), dp))
+
+
+def fiscal_per_100k(facts: DataFrame, pop: DataFrame, org: str, date: str, measures: Sequence[str],
+                    pop_date: str, size: str, dp: int = 2) -> DataFrame:
+    """Measures stacked long (union), summed per (org, fiscal year) and
+    joined to the population extract of that fiscal year, per 100 000."""
+    from strata.operators.sets import union_all
+
+    long = union_all(*[facts.select(org, date, F.lit(m).alias("Measure"), F.col(m).cast("long").alias("Value")) for m in measures])
+    long = long.withColumn("FY_Date", F.make_date(C.fin_year_start(date), F.lit(6), F.lit(1)))
+    agg = A.sum_by(long, [org, "FY_Date", "Measure"], ["Value"])
+    j = J.join_fiscal_year(agg, pop, org, "FY_Date", pop_date, how="left")
+    return j.withColumn("Per_100k", F.bround(C.rate("Value", size, 100000), dp)).withColumn(
+        "FY", C.fin_year("FY_Date")).drop("FY_Date", pop_date)
