@@ -73,11 +73,12 @@ def with_snapshot_date(df: DataFrame, source: str = "path", pattern: str = r"(\d
 # ---------------------------------------------------------------- files
 def read_matching(spark: SparkSession, root: str, glob: str, fmt: str = "csv", schema: StructType | None = None,
                   options: Mapping[str, str] | None = None) -> DataFrame:
-    """Every file under ``root`` whose name matches ``glob``."""
-    r = spark.read.format(fmt).option("pathGlobFilter", glob).option("recursiveFileLookup", "true").options(**(options or {}))
+    """Every drop under ``root`` whose name matches ``glob`` (a Hadoop
+    path glob on the entries of ``root``; files inside matching folders are read)."""
+    r = spark.read.format(fmt).option("recursiveFileLookup", "true").options(**(options or {}))
     if schema is not None:
         r = r.schema(schema)
-    return r.load(root)
+    return r.load(f"{root.rstrip('/')}/{glob}")
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None, encoding: str = "UTF-8",
@@ -137,7 +138,7 @@ def page_numbers(html: Column, strip: str = ",%()") -> Column:
 def extract_page_numbers(pages: DataFrame, html: str, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Map the i-th integer of each page to the i-th measure name."""
     nums = page_numbers(F.col(html))
-    return pages.select(*keep, *[F.element_at(nums, i + 1).try_cast("long").alias(n) for i, n in enumerate(names)])
+    return pages.select(*keep, *[F.try_element_at(nums, F.lit(i + 1)).try_cast("long").alias(n) for i, n in enumerate(names)])
 
 
 def page_links(pages: DataFrame, html: str, substring: str, keep: Sequence[str] = ()) -> DataFrame:
