@@ -3,6 +3,7 @@ them into the Parquet scan; helpers here encode the pandas null semantics and
 the clock- and data-dependent cut-offs explicitly."""
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -23,8 +24,11 @@ def isin(df: DataFrame, c, values: Sequence, negate: bool = False) -> DataFrame:
 
 
 def contains(df: DataFrame, c, pattern: str, negate: bool = False) -> DataFrame:
-    """regex search; the negated form drops nulls (pandas ``== False``)."""
-    m = col(c).rlike(pattern)
+    """regex search; the negated form drops nulls (pandas ``== False``).
+
+    A literal pattern becomes a substring test, which Parquet can push down
+    (``StringContains``) and which avoids the regex engine per row."""
+    m = col(c).contains(pattern) if re.fullmatch(r"[\w \-]+", pattern) else col(c).rlike(pattern)
     return df.filter(~m if negate else m)
 
 
