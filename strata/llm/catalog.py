@@ -6,10 +6,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm import language_id
 from strata.llm.common import load
 from strata.llm.decontaminate import contaminated, overlaps
 from strata.llm.line_dedup import line_dedup
+from strata.llm.secret_scan import scan, train, written
 from strata.llm.topk_search import topk
+from strata.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -78,3 +81,36 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"))
+
+
+@_register("op4_warc", """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+g AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h),
+c AS (SELECT h, string_agg(
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INTEGER, 1), '' ORDER BY i) AS b32
+  FROM (SELECT h, unnest(range(32)) AS i FROM g) GROUP BY h)
+SELECT page_id, n AS payload_bytes, b32 AS payload_digest,
+  CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM p JOIN g USING (h) JOIN c USING (h)
+""")
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(load(spark, sf_dir, "pages"), min_revisit_bytes=0)
+
+
+@_register("op9_secret_scan")
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    out = scan(docs, train(docs), min_chars=20, min_bits=1.0)
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return out.select(
+        F.col("id").alias("doc_id"), of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+        F.sha2(written(F.filter("spans", lambda s: s["kind"] < 3)), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"))
+
+
+@_register("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    out = language_id.predict(docs, language_id.train(docs))
+    return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")

@@ -68,3 +68,8 @@ def running_total(
         .withColumn(name, (F.col("_rt_offset") + F.col("_rt_local")).cast("long"))
         .drop("_rt_bucket", "_rt_value", "_rt_local", "_rt_key", "_rt_b", "_rt_offset")
     )
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Python stages get whole texts in Arrow batches of at most ``rows`` rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

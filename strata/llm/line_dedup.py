@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from strata.llm.common import settle
+from strata.llm.common import settle, small_batches
 
 _BLANK = b" \t\n\x0b\x0c\r"
 
@@ -43,7 +43,7 @@ def _hash_lines(min_chars: int):
     return run
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without_lines(text: pd.Series, dropped: pd.Series) -> pd.Series:
     out = []
     for t, d in zip(text, dropped):
@@ -74,6 +74,7 @@ def line_dedup(
     A line in a third of all documents is spread over ``salts`` join keys; only
     16 bytes per line are shuffled before the hits meet their documents.
     """
+    small_batches(docs.sparkSession)
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
     id_type = base.schema["id"].dataType
     key = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
