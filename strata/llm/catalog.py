@@ -10,7 +10,9 @@ from strata.llm import language_id
 from strata.llm.common import load
 from strata.llm.decontaminate import contaminated, overlaps
 from strata.llm.line_dedup import line_dedup
+from strata.llm.mixing import mix
 from strata.llm.secret_scan import scan, train, written
+from strata.llm.sharding import shard_documents
 from strata.llm.topk_search import topk
 from strata.llm.warc import round_trip
 
@@ -114,3 +116,14 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     out = language_id.predict(docs, language_id.train(docs))
     return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+
+
+@_register("op1_source_mix")
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(load(spark, sf_dir, "documents"), block=8, period=200, max_share=0.2).select("doc_id", "mix.*")
+
+
+@_register("op8_shards")
+def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = shard_documents(load(spark, sf_dir, "documents"), shards=8)
+    return out.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
