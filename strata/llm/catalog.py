@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from strata.llm import language_id
 from strata.llm.common import load
 from strata.llm.decontaminate import contaminated, overlaps
+from strata.llm.jaccard_join import jaccard_join
 from strata.llm.line_dedup import line_dedup
 from strata.llm.mixing import mix
 from strata.llm.secret_scan import scan, train, written
@@ -127,3 +128,20 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shard_documents(load(spark, sf_dir, "documents"), shards=8)
     return out.withColumn("law", F.lit("rows")).withColumn("grown_shard", F.lit(None).cast("int"))
+
+
+@_register("op6_jaccard_join", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r AS (WITH RECURSIVE r(id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.id, e.b FROM r JOIN e ON r.c = e.a) SELECT * FROM r)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) m ON m.id = d.doc_id
+""")
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join(load(spark, sf_dir, "documents"), k=5, percent=80)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
