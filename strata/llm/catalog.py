@@ -15,6 +15,7 @@ from strata.llm.mixing import mix
 from strata.llm.secret_scan import scan, train, written
 from strata.llm.sharding import shard_documents
 from strata.llm.topk_search import topk
+from strata.llm.url_filter import url_filter
 from strata.llm.warc import round_trip
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +146,19 @@ FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(c) AS c FROM r GROUP BY i
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join(load(spark, sf_dir, "documents"), k=5, percent=80)
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+
+@_register("op7_url_filter")
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "action string, host string, path string")
+    return url_filter(load(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
+
+
+@_register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

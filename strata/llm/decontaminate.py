@@ -59,9 +59,10 @@ def _all_grams(word_list: Column, m: int) -> Column:
 
 def overlaps(
     docs: DataFrame, benchmark: DataFrame, window: int = 13, k: int = 7, id_col: str = "doc_id",
-    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", keep: list[str] | None = None,
 ) -> DataFrame:
-    """Returns ``id, row_hash, n_words, n_hit, items`` for every document row.
+    """Returns ``id, kept, n_words, n_hit, items`` for every document row; ``kept`` is a struct of the text and
+    the columns ``keep``.
 
     A window is ``window`` consecutive item words; an item of fewer words, but
     not none, is one window. ``n_hit`` counts the document's words inside any
@@ -79,7 +80,9 @@ def overlaps(
     splits a frequent fingerprint.
     """
     w = window - k + 1
-    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
+    keep = [c for c in keep or [] if c != text_col]
+    base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row_hash"), F.struct(text_col, *keep).alias("kept"))
+    text = F.col("kept")[text_col]
     items = settle(
         benchmark.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("item_words"))
         .where(F.size("item_words") > 0)
@@ -96,7 +99,7 @@ def overlaps(
     for own, fingerprint in prints:
         own = settle(own.select("item_key", F.col("pos").alias("item_pos"), "h"), "item-prints")
         found = (
-            base.select("id", "row_hash", F.inline(fingerprint(words(F.col("text")))))
+            base.select("id", "row_hash", F.inline(fingerprint(words(text))))
             .join(own, "h").select("id", "row_hash", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")))
         hits = found if hits is None else hits.unionByName(found)
     hits = settle(hits.distinct(), "hits")  # an alignment of a document and an item
@@ -117,7 +120,7 @@ def overlaps(
             F.flatten(F.transform(starts, lambda s: F.sequence(s + hit["shift"], s + hit["shift"] + need - 1))).alias("covered"))
 
     none = F.array().cast("array<struct<item_id:%s,covered:array<int>>>" % items.schema["item_id"].dataType.simpleString())
-    found = let(words(F.col("text")), lambda ws: F.struct(
+    found = let(words(text), lambda ws: F.struct(
         F.size(ws).alias("n"),
         F.when(F.col("hits").isNull(), none).otherwise(F.filter(
             F.transform(F.col("hits"), lambda h: extend(ws, h)), lambda f: F.size(f["covered"]) > 0)).alias("found")))
@@ -127,7 +130,7 @@ def overlaps(
         F.array_sort(F.array_compact(F.array_distinct(
             F.transform(j["found"], lambda f: f["item_id"].cast("string"))))).alias("items")))
     # inline, a generator, keeps Spark from copying the expression into every column that uses it
-    return joined.select("id", "row_hash", F.inline(F.array(judged)))
+    return joined.select("id", "kept", F.inline(F.array(judged)))
 
 
 def contaminated(n_hit: Column, n_words: Column) -> Column:

@@ -315,7 +315,8 @@ def jaccard_join(
     docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text",
     block_nodes: int = BLOCK_NODES, block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """Returns ``id, row_hash, n_shingles, component_id`` for every row; ``row_hash`` is xxhash64 of the text.
+    """Returns ``id, row_hash, n_shingles, component_id, component`` for every row; ``row_hash`` is xxhash64 of the
+    text, ``component`` a key that also tells components of null ids apart (null without shingles).
 
     Two documents link when 100 * |intersection| >= ``percent`` * |union| of their sets of
     distinct ``k``-word shingles; fewer words are one shingle. ``component_id`` is
@@ -411,7 +412,8 @@ def jaccard_join(
         labels = components(links.unionByName(more), nodes.select("node", "label"))
 
     component = settle(nodes.select("node", "label").join(labels.select("node", F.col("label").alias("new")), "node", "left").select(
-        "node", F.coalesce("new", "label")["id"].alias("component_id"), F.lit(True).alias("known")), "components")
+        "node", F.coalesce("new", "label").alias("top")).select(
+        "node", F.col("top.id").alias("component_id"), F.col("top.node").alias("component")), "components")
     return rows.join(component, "node", "left").select(
         "id", "row_hash", F.col("n").alias("n_shingles"),
-        F.when(F.col("known"), F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+        F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "component")
