@@ -64,7 +64,10 @@ def compile_trees(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarr
         np.add.at(sums, at, table)
         return out, sums
 
-    tri, tri_counts = shorter(keys, table, 0xFFFFFF)
+    last, last_counts = shorter(keys, table, 0xFFFFFF)
+    tri = np.union1d(last, keys >> 8)  # contexts too, though the start of a text ends no string
+    tri_counts = np.zeros((len(tri), n))
+    tri_counts[np.searchsorted(tri, last)] = last_counts
     pair_keys, pair_sums = shorter(tri, tri_counts, 0xFFFF)
     pair_counts = np.zeros((65536, n))
     pair_counts[pair_keys] = pair_sums
@@ -93,9 +96,7 @@ def compile_trees(langs: list[str], counts: dict[str, tuple[np.ndarray, np.ndarr
     number = np.zeros(len(ctx), np.int64)
     number[kept] = np.arange(1, len(kept) + 1)
     node = np.zeros(len(tri) + 1, np.int32)
-    place = np.searchsorted(tri, ctx[kept])
-    known = (place < len(tri)) & (tri[np.minimum(place, max(0, len(tri) - 1))] == ctx[kept]) if len(tri) else np.zeros(0, bool)
-    node[place[known] + 1] = number[kept][known]
+    node[np.searchsorted(tri, ctx[kept]) + 1] = number[kept]
     rows = number[at] > 0
     quad_bits = _bits(table[rows], total[at[rows]], distinct[at[rows]], tri_bits[np.searchsorted(tri, keys[rows] & 0xFFFFFF)])
     pad = lambda a: np.concatenate([np.zeros((1, n)), a]).astype(np.float32)

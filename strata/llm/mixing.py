@@ -43,7 +43,7 @@ def capped_weights(counts: dict[str | None, int], period: int, max_share: float)
     cap = max(max_share, 1 / len(names))
     share, left, rows = {}, 1.0, total
     for s in names:  # from the largest: those over the cap get it, the others share what is left
-        share[s] = min(cap, left * counts[s] / rows)
+        share[s] = min(cap, left * counts[s] / max(1, rows))
         left -= share[s]
         rows -= counts[s]
     whole = {s: max(1, math.floor(share[s] * period)) for s in names}

@@ -24,6 +24,7 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _N = len(ALPHABET)
 TOKEN = r"[A-Za-z0-9+/_=-]{%d,}"
+IDENTIFIER = r"\b(?:[A-Z][A-Z_]{5,}|[A-Za-z][a-z_]{5,})\b"  # letters of one case; the first may be a capital
 _SPAN = "struct<start:int,kind:int,end:int>"
 _NONE = f"array<{_SPAN}>"
 
@@ -61,12 +62,12 @@ def _pairs(codes: Column) -> Column:
         F.sequence(F.lit(0), F.size(codes) - 2), lambda i: F.get(codes, i) * _N + F.get(codes, i + 1))
 
 
-def train(docs: DataFrame, sample_docs: int = 5000, smoothing: float = 2.0, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
+def train(docs: DataFrame, sample_docs: int = 5000, smoothing: float = 8.0, id_col: str = "doc_id", text_col: str = "text") -> list[float]:
     """Log-likelihood ratio (bits) of every character pair, random string against identifier.
 
     Fitted on a bounded sample: about ``sample_docs`` documents, by a hash of
-    the id and text. Labels: values that the base patterns match are random, all
-    other tokens of six characters or more are identifiers. Only the pair
+    the id and text. Labels: values that the base patterns match are random; of the
+    other tokens, those of six letters or more in one case are identifiers. Only the pair
     counts (at most 2 * 67 * 67) come to the driver. Without samples all
     ratios are 0.
     """
@@ -79,14 +80,18 @@ def train(docs: DataFrame, sample_docs: int = 5000, smoothing: float = 2.0, id_c
         F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(2)), lambda v: (F.char_length(v) >= 12) & ~v.contains(".")),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)), F.regexp_extract_all("text", F.lit(HEX), F.lit(0)))
     labelled = sample.select(F.lit(1).alias("random"), F.explode(values).alias("token")).unionByName(
-        sample.select(F.lit(0).alias("random"), F.explode(F.regexp_extract_all(rest, F.lit(TOKEN % 6), F.lit(0))).alias("token")))
+        sample.select(F.lit(0).alias("random"), F.explode(F.regexp_extract_all(rest, F.lit(IDENTIFIER), F.lit(0))).alias("token")))
     counts = labelled.select("random", F.explode(let(_codes(F.col("token")), _pairs)).alias("pair")).groupBy("random", "pair").count().collect()
     table = {(r["random"], r["pair"]): r["count"] for r in counts}
 
     def bits(label: int) -> list[float]:
+        """Each row is smoothed with the label's single characters, so that a character
+        that a label hardly has stays unlikely after one that it never has."""
+        seen = [0.5 + sum(table.get((label, a * _N + b), 0) for a in range(_N)) for b in range(_N)]
+        single = [x / sum(seen) for x in seen]
         out = []
         for a in range(_N):
-            row = [table.get((label, a * _N + b), 0) + smoothing for b in range(_N)]
+            row = [table.get((label, a * _N + b), 0) + smoothing * single[b] for b in range(_N)]
             out += [math.log2(x / sum(row)) for x in row]
         return out
 

@@ -62,8 +62,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = 6, id_col: s
 
     Defined cases: a null text has size 1 and checksum 0 and links with
     nothing; an empty text is a text; repeated rows are documents of their own
-    (and linked); null ids are kept; a group larger than a shard is spread over
-    as few shards as the quotas allow; an empty table gives no rows; extra
+    (and linked); null ids are kept; a group larger than a shard is spread,
+    and the rounds pull it together as far as quotas have room; an empty table gives no rows; extra
     columns are ignored.
 
     Rounds work on (group, shard, count) rows, however large a group is; only

@@ -62,7 +62,7 @@ class _Archive:
     def __init__(self, folder: str, sample_records: int, sample_bytes: int, dictionary_bytes: int):
         fs, path = pafs.FileSystem.from_uri(folder)
         self.name = f"{uuid.uuid4().hex}.warc.zst"
-        self.out = fs.open_output_stream(f"{path}/{self.name}")
+        self.out = fs.open_output_stream(f"{path}/{self.name}", compression=None)
         self.limits = (sample_records, sample_bytes, dictionary_bytes)
         self.held: list[bytes] = []
         self.held_bytes = self.raw = self.at = 0
@@ -206,7 +206,7 @@ def _reader(folder: str, with_payload: bool):
         for batch in batches:
             for name in batch.column(0).to_pylist():
                 rows, held = [], 0
-                with fs.open_input_stream(f"{path}/{name}") as source, open_archive(source) as stream:
+                with fs.open_input_stream(f"{path}/{name}", compression=None) as source, open_archive(source) as stream:
                     for head, block in _records(stream):
                         http, _, payload = block.partition(b"\r\n\r\n")
                         kind, sha1 = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
