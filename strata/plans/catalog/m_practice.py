@@ -111,6 +111,8 @@ def m30(spark, sf):
     return supplier_flag(view(spark, sf, "v_field"), ["Report_Period_End", "Practice_Code"], "System_Supplier", "TPP")
 
 
+EMERGENCY_RUN_DATE = "2001-06-15"  # discharges dated on or after the run are fictitious
+
 _PAIRS = """(SELECT {k}, CAST(sum(floor(n / 2)) AS BIGINT) AS Pairs FROM (
   SELECT strftime(_time, '%Y-%m') AS Month, workflow, senderOdsCode, recipientOdsCode, count(*) AS n
   FROM v_acks WHERE regexp_matches(workflow, 'ACK') {w} GROUP BY ALL) t GROUP BY {k})"""
@@ -145,32 +147,31 @@ def m33(spark, sf):
 
 
 @query("m34_trust_admitted", oracle="""
-WITH pairs AS (SELECT Month, Trust, CAST(sum(floor(n / 2)) AS BIGINT) AS Pairs FROM (
-                 SELECT strftime(_time, '%Y-%m') AS Month, substr(recipientOdsCode, 1, 3) AS Trust, senderOdsCode, recipientOdsCode, count(*) AS n
-                 FROM v_acks WHERE workflow = 'TOC_FHIR_IP_DISCH_ACK' GROUP BY ALL) t GROUP BY ALL),
-     den AS (SELECT strftime(Discharge_Date, '%Y-%m') AS Month, Provider_Code AS Trust, CAST(sum(Discharges) AS BIGINT) AS Discharges
+WITH site AS (SELECT strftime(_time, '%Y-%m') AS Month, recipientOdsCode, CAST(floor(count(*) / 2) AS BIGINT) AS Pairs
+              FROM v_acks WHERE workflow = 'TOC_FHIR_IP_DISCH_ACK' GROUP BY ALL),
+     den AS (SELECT strftime(Discharge_Date, '%Y-%m') AS Month, substr(Provider_Code, 1, 3) AS Trust, CAST(sum(Discharges) AS BIGINT) AS Discharges
              FROM v_denominator GROUP BY ALL)
-SELECT den.Month, den.Trust, den.Discharges, coalesce(pairs.Pairs, 0) AS Pairs,
-       CAST(round_even(coalesce(pairs.Pairs, 0) / (den.Discharges / 1000.0), 2) AS DOUBLE) AS Per_1000
-FROM den LEFT JOIN pairs ON den.Month = pairs.Month AND den.Trust = pairs.Trust""")
+SELECT den.Month, den.Trust, den.Discharges, coalesce(site.Pairs, 0) AS Pairs,
+       CAST(round_even(coalesce(site.Pairs, 0) / (den.Discharges / 1000.0), 2) AS DOUBLE) AS Per_1000
+FROM den LEFT JOIN site ON den.Month = site.Month AND den.Trust = substr(site.recipientOdsCode, 1, 3)""")
 def m34(spark, sf):
     return fam.trust_rate(view(spark, sf, "v_acks"), view(spark, sf, "v_denominator"), "TOC_FHIR_IP_DISCH_ACK",
                           "Discharge_Date", "Provider_Code", "Discharges")
 
 
-@query("m35_trust_emergency", oracle="""
-WITH pairs AS (SELECT Day, Trust, CAST(sum(floor(n / 2)) AS BIGINT) AS Pairs FROM (
-                 SELECT CAST(_time AS DATE) AS Day, substr(recipientOdsCode, 1, 3) AS Trust, senderOdsCode, recipientOdsCode, count(*) AS n
-                 FROM v_acks WHERE workflow = 'TOC_FHIR_EC_DISCH_ACK' GROUP BY ALL) t GROUP BY ALL),
-     den AS (SELECT Discharge_Date AS Day, Provider_Code AS Trust, CAST(sum(Discharges) AS BIGINT) AS Discharges FROM v_denominator GROUP BY ALL),
+@query("m35_trust_emergency", oracle=f"""
+WITH site AS (SELECT CAST(_time AS DATE) AS Day, recipientOdsCode, CAST(floor(count(*) / 2) AS BIGINT) AS Pairs
+              FROM v_acks WHERE workflow = 'TOC_FHIR_EC_DISCH_ACK' GROUP BY ALL),
+     den AS (SELECT Discharge_Date AS Day, Provider_Code AS Trust, CAST(sum(Discharges) AS BIGINT) AS Discharges FROM v_denominator
+             WHERE Discharge_Date < DATE '{EMERGENCY_RUN_DATE}' GROUP BY ALL),
      j AS (SELECT strftime(den.Day, '%Y-%m') AS Month, den.Trust, CAST(sum(den.Discharges) AS BIGINT) AS Discharges,
-                  CAST(sum(coalesce(pairs.Pairs, 0)) AS BIGINT) AS Pairs
-           FROM den LEFT JOIN pairs ON den.Day = pairs.Day AND den.Trust = pairs.Trust GROUP BY ALL)
+                  CAST(sum(coalesce(site.Pairs, 0)) AS BIGINT) AS Pairs
+           FROM den LEFT JOIN site ON den.Day = site.Day AND den.Trust = substr(site.recipientOdsCode, 1, 3) GROUP BY ALL)
 SELECT Month, Trust, Discharges, Pairs, CAST(round_even(Pairs / (Discharges / 1000.0), 2) AS DOUBLE) AS Per_1000
 FROM j WHERE Month < (SELECT max(Month) FROM j)""")
 def m35(spark, sf):
     return fam.trust_rate(view(spark, sf, "v_acks"), view(spark, sf, "v_denominator"), "TOC_FHIR_EC_DISCH_ACK",
-                          "Discharge_Date", "Provider_Code", "Discharges", grain="day", drop_last=True)
+                          "Discharge_Date", "Provider_Code", "Discharges", grain="day", drop_last=True, run_date=EMERGENCY_RUN_DATE)
 
 
 @query("m36_trust_suppressed", oracle="""

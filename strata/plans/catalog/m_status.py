@@ -150,13 +150,14 @@ def m48(spark, sf):
 
 
 @query("m49_offset_join", oracle=_COLLATED + """,
-     b AS (SELECT Location, strftime(Date, '%Y-%m') AS ym, CAST(sum(Beds) AS BIGINT) AS Beds FROM v_answers GROUP BY ALL)
-SELECT c.Location, c.Date, c.Answer, c.ICB_Name, b.Beds FROM c JOIN b ON c.Location = b.Location AND strftime(c.Date + INTERVAL 1 MONTH, '%Y-%m') = b.ym
-WHERE c.Answer IS NOT NULL AND c.ICB_Name IS NOT NULL""", dates=["Date"])
+     b AS (SELECT Location, strftime(CAST(date_trunc('month', Date) AS DATE) + INTERVAL 1 MONTH, '%Y-%m') AS ym, CAST(sum(Beds) AS BIGINT) AS Beds
+           FROM v_answers GROUP BY ALL)
+SELECT c.Location, c.Date, c.Answer, c.ICB_Name, b.Beds FROM c LEFT JOIN b ON c.Location = b.Location AND strftime(c.Date, '%Y-%m') = b.ym""",
+       dates=["Date"])
 def m49(spark, sf):
+    """The capacity feed is moved one month forward: a month's answer gets the beds of the month before."""
     beds = view(spark, sf, "v_answers").groupBy("Location", F.trunc("Date", "MM").alias("BMonth")).agg(F.sum("Beds").cast("long").alias("Beds"))
-    j = J.join_month_offset(_collated(spark, sf), beds, "Location", "Date", "BMonth", 1, how="inner").drop("BMonth")
-    return FL.dropna(j)
+    return J.join_month_offset(_collated(spark, sf), beds, "Location", "Date", "BMonth", -1, how="left").drop("BMonth")
 
 
 @query("m50_state_to_date", oracle="""
@@ -174,18 +175,24 @@ def m50(spark, sf):
 
 
 @query("m51_adoption", oracle="""
-WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Location ORDER BY Date, o_orderkey) AS rn FROM v_answers) t WHERE rn = 1),
-     m AS (SELECT strftime(Date, '%Y-%m') AS Month, CAST(coalesce(sum(CASE upper(trim(Answer)) WHEN 'YES' THEN 1 WHEN 'NO' THEN 0 END), 0) AS BIGINT) AS Adopters,
-                  CAST(count(*) AS BIGINT) AS Orgs FROM f GROUP BY 1)
-SELECT Month, Adopters, Orgs, CAST(sum(Adopters) OVER w AS BIGINT) AS Cum_Adopters, CAST(sum(Orgs) OVER w AS BIGINT) AS Cum_Orgs,
-       CAST(round_even(CAST(sum(Adopters) OVER w AS DOUBLE) / sum(Orgs) OVER w, 4) AS DOUBLE) AS Adoption FROM m
-WINDOW w AS (ORDER BY Month ROWS UNBOUNDED PRECEDING)""")
+WITH f AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Location, Answer ORDER BY Date, o_orderkey) AS rn FROM v_answers) t WHERE rn = 1),
+     a AS (SELECT f.* FROM f JOIN v_org o ON f.Location = o.Code WHERE o.Close_Date IS NULL),
+     m AS (SELECT strftime(Date, '%Y-%m') AS Month, CAST(count_if(Answer = 'Yes') AS BIGINT) AS Adopters, CAST(count(Answer) AS BIGINT) AS Returned
+           FROM a GROUP BY 1),
+     d AS (SELECT strftime(Month, '%Y-%m') AS Month, CAST(count(Location) AS BIGINT) AS Active_Orgs FROM v_active WHERE Dormant = 'N' GROUP BY 1),
+     c AS (SELECT Month, CAST(sum(Adopters) OVER (ORDER BY Month) AS BIGINT) AS Cum_Adopters, CAST(sum(Returned) OVER (ORDER BY Month) AS BIGINT) AS Cum_Returned FROM m)
+SELECT c.*, d.Active_Orgs, CAST(round_even(CAST(Cum_Adopters AS DOUBLE) / Active_Orgs, 4) AS DOUBLE) AS Adoption FROM c LEFT JOIN d USING (Month)""")
 def m51(spark, sf):
-    f = U.dedup_first(view(spark, sf, "v_answers"), ["Location"], ["Date", "o_orderkey"])
-    f = f.withColumn("Month", F.date_format("Date", "yyyy-MM")).withColumn("_yes", C.yesno("Answer"))
-    m = A.agg_by(f, ["Month"], [("sum", "_yes", "Adopters"), ("size", "Month", "Orgs")])
-    m = W.cumsum(m, ["Month"], ["Adopters", "Orgs"], names={"Adopters": "Cum_Adopters", "Orgs": "Cum_Orgs"})
-    return m.withColumn("Cum_Adopters", F.col("Cum_Adopters").cast("long")).withColumn("Adoption", C.ratio("Cum_Adopters", "Cum_Orgs", 4))
+    """First row per location and answer, active locations only; the share is of the month's active organisations."""
+    f = U.dedup_first(view(spark, sf, "v_answers"), ["Location", "Answer"], ["Date", "o_orderkey"])
+    active = FL.nulls(view(spark, sf, "v_org"), "Close_Date", keep_null=True).select(F.col("Code").alias("Location"))
+    f = f.join(active, "Location", "left_semi").withColumn("Month", F.date_format("Date", "yyyy-MM"))
+    m = f.groupBy("Month").agg(F.count_if(F.col("Answer") == "Yes").alias("Adopters"), F.count("Answer").alias("Returned"))
+    m = W.cumsum(m, ["Month"], ["Adopters", "Returned"], names={"Adopters": "Cum_Adopters", "Returned": "Cum_Returned"})
+    m = m.select("Month", F.col("Cum_Adopters").cast("long").alias("Cum_Adopters"), F.col("Cum_Returned").cast("long").alias("Cum_Returned"))
+    d = FL.keep(view(spark, sf, "v_active"), F.col("Dormant") == "N").groupBy(F.date_format("Month", "yyyy-MM").alias("Month")).agg(
+        F.count("Location").alias("Active_Orgs"))
+    return m.join(d, "Month", "left").withColumn("Adoption", C.ratio("Cum_Adopters", "Active_Orgs", 4))
 
 
 @query("m52_coverage", oracle="""

@@ -1,53 +1,54 @@
-"""Virtual-ward families."""
-from pyspark.sql import functions as F
+"""Virtual-ward families.
 
+Rules: the delivered date stays as it is; population of STP rows of both sexes aged 16
+and over, per extract; full outer join on the organisation.
+"""
 from strata.plans import families as fam
 from strata.plans.registry import query
 from strata.plans.standins import view
-from strata.sources.tables import table
 
-_POP = """(SELECT Area_Code AS ICB_Code, CAST(sum(Size) AS BIGINT) AS Size FROM v_pop
-           WHERE TRY_CAST(regexp_replace(Age, '\\+$', '') AS INTEGER) > 17 GROUP BY 1)"""
+_POP = """(SELECT EXTRACT_DATE, ORG_CODE, CAST(sum(NUMBER_OF_PATIENTS) AS BIGINT) AS Size FROM v_stp_pop
+           WHERE ORG_TYPE = 'STP' AND SEX IN ('FEMALE', 'MALE') AND AGE <> 'ALL'
+             AND CAST(CASE AGE WHEN '95+' THEN '95' ELSE AGE END AS INTEGER) >= 16 GROUP BY ALL)"""
+
+
+def _pop(spark, sf):
+    return fam.stp_population(view(spark, sf, "v_stp_pop"), "EXTRACT_DATE", "ORG_TYPE", "ORG_CODE", "SEX", "AGE", "NUMBER_OF_PATIENTS") \
+        .withColumnsRenamed({"ORG_CODE": "ICB_Code", "NUMBER_OF_PATIENTS": "Size"})
 
 
 def _per100k_sql(measure, extra=""):
     return f"""
-WITH m AS (SELECT CAST(date_trunc('month', Period_End) AS DATE) AS Month, ICB_Code, CAST(coalesce(sum({measure}), 0) AS BIGINT) AS {measure}
+WITH m AS (SELECT Period_End, ICB_Code, CAST(coalesce(sum({measure}), 0) AS BIGINT) AS {measure}
            FROM v_vw WHERE Period_End >= DATE '1996-01-01' {extra} GROUP BY ALL),
      p AS {_POP}
-SELECT m.Month, coalesce(m.ICB_Code, p.ICB_Code) AS ICB_Code, m.{measure}, p.Size,
+SELECT m.Period_End, coalesce(m.ICB_Code, p.ORG_CODE) AS ICB_Code, m.{measure}, p.Size,
        CAST(round_even(m.{measure} / (p.Size / 100000.0), 2) AS DOUBLE) AS Per_100k
-FROM m FULL OUTER JOIN p ON m.ICB_Code = p.ICB_Code"""
+FROM p FULL OUTER JOIN m ON m.ICB_Code = p.ORG_CODE"""
 
 
-@query("m38_per_100k", oracle=_per100k_sql("total_number_of_patients_on_ward"), dates=["Month"])
+@query("m38_per_100k", oracle=_per100k_sql("total_number_of_patients_on_ward"), dates=["Period_End"])
 def m38(spark, sf):
-    return fam.per_100k(view(spark, sf, "v_vw"), view(spark, sf, "v_pop"), "Period_End", "ICB_Code",
-                        "total_number_of_patients_on_ward", "1996-01-01", "Area_Code", "Age", "Size")
+    return fam.per_100k(view(spark, sf, "v_vw"), _pop(spark, sf), "Period_End", "ICB_Code",
+                        "total_number_of_patients_on_ward", "1996-01-01", "EXTRACT_DATE", "Size")
 
 
-@query("m40_capacity", oracle=_per100k_sql("current_capacity", "AND current_capacity IS NOT NULL"), dates=["Month"])
+@query("m40_capacity", oracle=_per100k_sql("current_capacity", "AND current_capacity IS NOT NULL"), dates=["Period_End"])
 def m40(spark, sf):
-    return fam.per_100k(view(spark, sf, "v_vw"), view(spark, sf, "v_pop"), "Period_End", "ICB_Code",
-                        "current_capacity", "1996-01-01", "Area_Code", "Age", "Size", require="current_capacity")
-
-
-@query("m39_fiscal_per_100k", oracle="""
-WITH long AS (SELECT ICB_Code, Period_End, 'current_capacity' AS Measure, current_capacity AS Value FROM v_vw
-              UNION ALL SELECT ICB_Code, Period_End, 'total_number_of_patients_on_ward', total_number_of_patients_on_ward FROM v_vw),
-     agg AS (SELECT ICB_Code, CASE WHEN month(Period_End) >= 4 THEN year(Period_End) ELSE year(Period_End) - 1 END AS fy, Measure,
-                    CAST(coalesce(sum(Value), 0) AS BIGINT) AS Value FROM long GROUP BY ALL),
-     pop AS (SELECT 'Brand#' || CAST(o_custkey % 30 AS VARCHAR) AS ICB_Code,
-                    CASE WHEN month(o_orderdate) >= 4 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END AS fy,
-                    CAST(count(DISTINCT o_custkey) AS BIGINT) AS Size FROM orders GROUP BY ALL)
-SELECT agg.ICB_Code, agg.Measure, agg.Value, pop.Size, CAST(round_even(agg.Value / (pop.Size / 100000.0), 2) AS DOUBLE) AS Per_100k,
-       CAST(agg.fy AS VARCHAR) || '/' || CAST(agg.fy + 1 AS VARCHAR) AS FY
-FROM agg LEFT JOIN pop ON agg.ICB_Code = pop.ICB_Code AND agg.fy = pop.fy""")
+    return fam.per_100k(view(spark, sf, "v_vw"), _pop(spark, sf), "Period_End", "ICB_Code",
+                        "current_capacity", "1996-01-01", "EXTRACT_DATE", "Size", require=True)
+
+
+@query("m39_fiscal_per_100k", oracle=f"""
+WITH pop AS {_POP},
+     m AS (SELECT Period_End, ICB_Code, CAST(sum(current_capacity) AS BIGINT) AS current_capacity FROM v_vw
+           WHERE current_capacity IS NOT NULL AND Period_End >= DATE '1996-05-20' GROUP BY ALL),
+     e AS (SELECT DISTINCT EXTRACT_DATE FROM pop),
+     n AS (SELECT e.EXTRACT_DATE, m.* FROM e JOIN m ON m.Period_End >= make_date(year(e.EXTRACT_DATE), 4, 1)
+             AND m.Period_End < make_date(year(e.EXTRACT_DATE) + 1, 4, 1))
+SELECT year(coalesce(n.EXTRACT_DATE, pop.EXTRACT_DATE)) AS FY, coalesce(n.ICB_Code, pop.ORG_CODE) AS ICB_Code, n.Period_End,
+       n.current_capacity, pop.Size, CAST(round_even(n.current_capacity / (pop.Size / 100000.0), 2) AS DOUBLE) AS Per_100k
+FROM pop FULL OUTER JOIN n ON n.ICB_Code = pop.ORG_CODE AND n.EXTRACT_DATE = pop.EXTRACT_DATE""", dates=["Period_End"])
 def m39(spark, sf):
-    from strata.functions.columns import fin_year_start
-    o = table(spark, sf, "orders")
-    pop = o.groupBy(F.concat(F.lit("Brand#"), (F.col("o_custkey") % 30).cast("string")).alias("ICB_Code"),
-                    fin_year_start("o_orderdate").alias("fy")).agg(F.count_distinct("o_custkey").cast("long").alias("Size"))
-    pop = pop.withColumn("Extract_Date", F.make_date("fy", F.lit(4), F.lit(1))).drop("fy")
-    return fam.fiscal_per_100k(view(spark, sf, "v_vw"), pop, "ICB_Code", "Period_End",
-                               ["current_capacity", "total_number_of_patients_on_ward"], "Extract_Date", "Size")
+    return fam.fiscal_per_100k(view(spark, sf, "v_vw"), _pop(spark, sf), "Period_End", "ICB_Code",
+                               "current_capacity", "1996-05-20", "EXTRACT_DATE", "Size")

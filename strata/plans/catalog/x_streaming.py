@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from strata.plans.registry import query
 from strata.session import scratch_path
 from strata.sources.tables import table
-from strata.streaming.ingest import incremental_ingest, period_of
+from strata.streaming.ingest import incremental_ingest, period_of, read_history
 
 SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING"
 
@@ -12,11 +12,19 @@ SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING"
 @query("x1_incremental_ingest", oracle="""
 SELECT event_id, ts, user_id, event_type, CAST(ts AS DATE) AS Period FROM events""", dates=["ts", "Period"])
 def x1(spark, sf):
+    """Every day spans several files in several micro-batches; one day is sent
+    again, in the same drop and in a second run."""
     base = scratch_path(spark, "x1")
     ev = table(spark, sf, "events", ["event_id", "ts", "user_id", "event_type"])
-    # drops arrive as several files; one drop is delivered twice (a re-sent file)
-    ev.repartition(6, F.to_date("ts")).write.parquet(f"{base}/landing/drop1")
-    ev.filter(F.to_date("ts") == F.lit("2024-01-05").cast("date")).write.parquet(f"{base}/landing/drop2_resend")
-    incremental_ingest(spark, f"{base}/landing/*", SCHEMA, f"{base}/history", f"{base}/checkpoint", "Period",
-                       max_files_per_trigger=2, transform=period_of("ts"))
-    return spark.read.parquet(f"{base}/history")
+    again = ev.filter(F.to_date("ts") == F.lit("2024-01-05").cast("date"))
+
+    def drain():
+        incremental_ingest(spark, f"{base}/landing/*", SCHEMA, f"{base}/history", f"{base}/checkpoint", "Period",
+                           max_files_per_trigger=2, transform=period_of("ts"))
+
+    ev.repartition(6).write.parquet(f"{base}/landing/drop1")
+    again.coalesce(1).write.mode("append").parquet(f"{base}/landing/drop1")
+    drain()
+    again.write.parquet(f"{base}/landing/drop2_resend")
+    drain()
+    return read_history(spark, f"{base}/history")

@@ -274,23 +274,26 @@ def utilisation_positional(acks: DataFrame, denom: DataFrame, workflow: str, den
 
 
 def trust_rate(acks: DataFrame, denom: DataFrame, workflow: str, den_date: str, den_org: str, den_measure: str,
-               grain: str = "month", drop_last: bool = False, dp: int = 2) -> DataFrame:
-    """Trust-level pairs per 1 000 discharges. ``grain='day'``
-    joins day by day and re-aggregates to months (M35)."""
+               grain: str = "month", drop_last: bool = False, run_date: str | None = None, dp: int = 2) -> DataFrame:
+    """Pairs per 1 000 discharges. Pairs are floor(n / 2) per (period,
+    recipient site), whoever sent them; site and provider codes are then cut
+    to the trust's three characters, and every site keeps its row beside its
+    trust's discharges. ``grain='day'`` joins day by day, leaves out
+    denominators dated ``run_date`` or later, and sums to months (M35)."""
     x = FL.contains(acks.filter(F.col("workflow") == workflow), "workflow", ACK)
-    x = x.withColumn("Trust", C.prefix("recipientOdsCode", 3))
-    if grain == "day":
-        x = x.withColumn("Day", F.to_date("_time"))
-        pairs = A.paired_ack_count(x, ["Day", "Trust", "senderOdsCode", "recipientOdsCode"], ["Day", "Trust"], name="Pairs")
-        den = A.sum_by(denom, [den_date, den_org], [den_measure]).withColumnRenamed(den_date, "Day").withColumnRenamed(den_org, "Trust")
-        j = J.join_on(den, pairs, ["Day", "Trust"], how="left").na.fill(0, subset=["Pairs"])
-        j = j.withColumn("Month", F.date_format("Day", "yyyy-MM"))
-        out = A.sum_by(j, ["Month", "Trust"], [den_measure, "Pairs"])
-    else:
-        x = x.withColumn("Month", F.date_format("_time", "yyyy-MM"))
-        pairs = A.paired_ack_count(x, ["Month", "Trust", "senderOdsCode", "recipientOdsCode"], ["Month", "Trust"], name="Pairs")
-        den = A.sum_by(denom.withColumn("Month", F.date_format(den_date, "yyyy-MM")), ["Month", den_org], [den_measure])
-        out = J.join_on(den.withColumnRenamed(den_org, "Trust"), pairs, ["Month", "Trust"], how="left").na.fill(0, subset=["Pairs"])
+    day = grain == "day"
+    period = F.to_date if day else (lambda c: F.date_format(c, "yyyy-MM"))
+    name = "Day" if day else "Month"
+    site = A.count_by(x.withColumn(name, period(F.col("_time"))), [name, "recipientOdsCode"], name="n")
+    site = site.select(name, C.prefix("recipientOdsCode", 3).alias("Trust"), F.floor(F.col("n") / 2).cast("long").alias("Pairs"))
+    den = denom.withColumn(name, period(F.col(den_date)))
+    den = den.withColumn("Trust", F.col(den_org) if day else C.prefix(den_org, 3))
+    den = A.sum_by(den, [name, "Trust"], [den_measure])
+    if run_date:
+        den = den.filter(F.col(name) < F.lit(run_date).cast("date"))
+    out = J.join_on(den, site, [name, "Trust"], how="left").na.fill(0, subset=["Pairs"])
+    if day:
+        out = A.sum_by(out.withColumn("Month", F.date_format("Day", "yyyy-MM")), ["Month", "Trust"], [den_measure, "Pairs"])
     if drop_last:
         out = FL.drop_incomplete(out, "Month", mode="max")
     return out.withColumn("Per_1000", F.bround(C.rate("Pairs", den_measure, 1000), dp))
@@ -313,29 +316,31 @@ def trust_suppressed(acks: DataFrame, mh: DataFrame, workflow: str, dp: int = 2)
 
 
 # ---------------------------------------------------------------- wards
-def per_100k(facts: DataFrame, pop: DataFrame, period: str, org: str, measure: str, cutoff: str | None,
-             pop_org: str, age: str, size: str, min_age: int = 17, require: str | None = None, dp: int = 2) -> DataFrame:
-    """Measure per (month, org) after a cut-off, against the adult
-    population of the org (full join), per 100 000."""
-    x = FL.on_or_after(facts, period, cutoff) if cutoff else facts
-    if require:
-        x = FL.nulls(x, require, keep_null=False)
-    x = x.withColumn("Month", F.trunc(period, "MM"))
-    m = A.sum_by(x, ["Month", org], [measure])
-    p = A.sum_by(FL.adult_population(pop, age, min_age), [pop_org], [size]).withColumnRenamed(pop_org, org)
-    j = J.full_join(m, p, org)
+def stp_population(pop: DataFrame, extract: str, org_type: str, org: str, sex: str, age: str, size: str, min_age: int = 16) -> DataFrame:
+    """Registered population per (extract date, organisation): STP rows of both
+    sexes, all-age rows left out, ``min_age`` and over."""
+    x = pop.filter((F.col(org_type) == "STP") & F.col(sex).isin("FEMALE", "MALE"))
+    return A.sum_by(FL.adult_population(x, age, min_age - 1), [extract, org], [size])
+
+
+def per_100k(facts: DataFrame, pop: DataFrame, date: str, org: str, measure: str, cutoff: str | None,
+             extract: str, size: str, require: bool = False, dp: int = 2) -> DataFrame:
+    """Measure per (date, org) from the cut-off on, full outer join to
+    the population of every extract of the org, per 100 000."""
+    x = FL.nulls(facts, measure, keep_null=False) if require else facts
+    m = A.sum_by(FL.on_or_after(x, date, cutoff) if cutoff else x, [date, org], [measure])
+    j = J.full_join(m, pop, org).drop(extract)
     return j.withColumn("Per_100k", F.bround(C.rate(measure, size, 100000), dp))
 
 
-def fiscal_per_100k(facts: DataFrame, pop: DataFrame, org: str, date: str, measures: Sequence[str],
-                    pop_date: str, size: str, dp: int = 2) -> DataFrame:
-    """Measures stacked long (union), summed per (org, fiscal year) and
-    joined to the population extract of that fiscal year, per 100 000."""
-    from strata.operators.sets import union_all
-
-    long = union_all(*[facts.select(org, date, F.lit(m).alias("Measure"), F.col(m).cast("long").alias("Value")) for m in measures])
-    long = long.withColumn("FY_Date", F.make_date(C.fin_year_start(date), F.lit(6), F.lit(1)))
-    agg = A.sum_by(long, [org, "FY_Date", "Measure"], ["Value"])
-    j = J.join_fiscal_year(agg, pop, org, "FY_Date", pop_date, how="left")
-    return j.withColumn("Per_100k", F.bround(C.rate("Value", size, 100000), dp)).withColumn(
-        "FY", C.fin_year("FY_Date")).drop("FY_Date", pop_date)
+def fiscal_per_100k(facts: DataFrame, pop: DataFrame, date: str, org: str, measure: str, cutoff: str,
+                    extract: str, size: str, dp: int = 2) -> DataFrame:
+    """Measure per (date, org), full outer join to the population extract
+    whose year's April opens the fiscal year of the date, per 100 000. Dates
+    of fiscal years without an extract are left out, as the reference's loop over extracts does."""
+    x = FL.on_or_after(FL.nulls(facts, measure, keep_null=False), date, cutoff)
+    m = A.sum_by(x, [date, org], [measure]).withColumn("FY", C.fin_year_start(date))
+    extracts = pop.select(F.year(extract).alias("FY"), F.col(extract)).distinct()
+    m = m.join(extracts, "FY")
+    j = J.full_join(m, pop.withColumn("FY", F.year(extract)), ["FY", extract, org]).drop(extract)
+    return j.withColumn("Per_100k", F.bround(C.rate(measure, size, 100000), dp))

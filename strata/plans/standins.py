@@ -139,6 +139,23 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                     ELSE CAST(p_size AS STRING) END AS Age,
                CAST(floor(p_retailprice) AS BIGINT) AS Size
         FROM {part}""",
+    # D19 registered population per extract, organisation, sex and (top-coded) age.
+    "v_stp_pop": """
+        SELECT p_partkey AS Pop_Id,
+               CASE p_size % 3 WHEN 0 THEN DATE '1996-04-01' WHEN 1 THEN DATE '1997-04-01' ELSE DATE '1998-04-01' END AS EXTRACT_DATE,
+               CASE WHEN CAST(floor(p_retailprice * 7) AS BIGINT) % 4 = 0 THEN 'CCG' ELSE 'STP' END AS ORG_TYPE,
+               'Brand#' || CAST(p_partkey % 31 AS STRING) AS ORG_CODE,
+               CASE WHEN CAST(floor(p_retailprice) AS BIGINT) % 5 = 0 THEN 'ALL'
+                    WHEN CAST(floor(p_retailprice) AS BIGINT) % 5 < 3 THEN 'FEMALE' ELSE 'MALE' END AS SEX,
+               CASE WHEN p_partkey % 50 = 0 THEN 'ALL' WHEN p_size >= 45 THEN '95+'
+                    ELSE CAST(p_size AS STRING) END AS AGE,
+               CAST(floor(p_retailprice) AS BIGINT) AS NUMBER_OF_PATIENTS
+        FROM {part}""",
+    # D22 active organisations per month.
+    "v_active": """
+        SELECT o_custkey AS Location, CAST(date_trunc('month', o_orderdate) AS DATE) AS Month,
+               CASE o_orderstatus WHEN 'P' THEN 'Y' ELSE 'N' END AS Dormant
+        FROM {orders}""",
     # D21-D23 answers per location.
     "v_answers": """
         SELECT o_orderkey, o_custkey AS Location, CAST(o_orderdate AS DATE) AS Date,

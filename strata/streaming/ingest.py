@@ -1,30 +1,73 @@
 """Incremental landing-zone ingest with Structured Streaming.
 
 New files in the landing folder are picked up exactly once (the file source
-tracks them in the checkpoint), each micro-batch is de-duplicated by period
-against the history and appended. ``trigger(availableNow=True)`` processes
-the backlog in bounded micro-batches and stops — the scheduled-drop
-equivalent of the reference's per-file notebook runs. Both the history and
-the checkpoint live in the shared folder, so a restarted or re-scheduled job
-resumes where it stopped.
+tracks them in the checkpoint). Which periods are new is decided once per run,
+from the history as it stood before the run, so the result does not depend on how
+files fall into micro-batches. Every micro-batch writes its own ``_epoch``
+folder of the history and replaces it when it is retried.
+``trigger(availableNow=True)`` processes the backlog in bounded micro-batches
+and stops — the scheduled-drop equivalent of the reference's per-file
+notebook runs. History and checkpoint live in the shared folder, so a restarted or
+re-scheduled job resumes where it stopped.
 """
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+EPOCH = "_epoch"
+
+
+def _read(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None only if there is no such path, any other failure surfaces."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def read_history(spark: SparkSession, history_path: str) -> DataFrame:
+    return spark.read.parquet(history_path).drop(EPOCH)
+
+
+def _first_epoch(spark: SparkSession, history_path: str, checkpoint: str) -> int:
+    """The run's first epoch. A run that broke off left its marker: its successor goes on with the same one."""
+    marker = _read(spark, f"{checkpoint}-run")
+    row = marker.first() if marker is not None else None
+    if row is not None and not row["done"]:
+        return row["first_epoch"]
+    history = _read(spark, history_path)
+    last = history.agg(F.max(EPOCH)).first()[0] if history is not None else None
+    return 0 if last is None else int(last) + 1
+
+
+def _mark(spark: SparkSession, checkpoint: str, first_epoch: int, done: bool) -> None:
+    spark.createDataFrame([(first_epoch, done)], "first_epoch long, done boolean").coalesce(1).write.mode("overwrite").parquet(
+        f"{checkpoint}-run")
+
+
+def append_new(history_path: str, period: str, first_epoch: int):
+    """foreachBatch writer: rows of periods that were not in the history before
+    ``first_epoch``, without rows that the batch or the run has already."""
 
-def _append_new_periods(history_path: str, period: str):
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        try:
-            seen = spark.read.parquet(history_path).select(period).distinct()
-            fresh = batch.join(seen, period, "left_anti")
-        except Exception:  # noqa: BLE001 - first batch: no history yet
-            fresh = batch
-        # a period is appended once: rows of a period already in the history are dropped
-        fresh.write.mode("append").parquet(history_path)
+        fresh = batch.dropDuplicates()
+        history = _read(spark, history_path)
+        if history is not None:
+            seen = history.where(F.col(EPOCH) < first_epoch).select(F.col(period).alias("_seen")).distinct()
+            fresh = fresh.join(seen, F.col(period).eqNullSafe(F.col("_seen")), "left_anti")
+            mine = history.where((F.col(EPOCH) >= first_epoch) & (F.col(EPOCH) < epoch_id))
+            mine = mine.select(*(F.col(c).alias(f"_h_{c}") for c in batch.columns))
+            fresh = fresh.join(mine, reduce(and_, (F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in batch.columns)), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{history_path}/{EPOCH}={epoch_id}")
 
     return run
 
@@ -32,15 +75,21 @@ def _append_new_periods(history_path: str, period: str):
 def incremental_ingest(spark: SparkSession, landing: str, schema: StructType | str, history_path: str,
                        checkpoint: str, period: str, fmt: str = "parquet", max_files_per_trigger: int = 100,
                        transform=None) -> None:
-    """Drain the landing folder into the history (blocks until done)."""
+    """Drain the landing folder into the history (blocks until done).
+
+    ``max_files_per_trigger`` bounds the memory of a micro-batch and nothing else.
+    """
+    first_epoch = _first_epoch(spark, history_path, checkpoint)
+    _mark(spark, checkpoint, first_epoch, done=False)
     stream = (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).load(landing))
     if transform is not None:
         stream = transform(stream)
-    q = (stream.writeStream.foreachBatch(_append_new_periods(history_path, period))
+    q = (stream.writeStream.foreachBatch(append_new(history_path, period, first_epoch))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    _mark(spark, checkpoint, first_epoch, done=True)
 
 
 def period_of(ts_col: str, name: str = "Period"):
