@@ -166,12 +166,14 @@ def pivot_multi(df: DataFrame, keys, pivot_col, values: Sequence[str], categorie
 def duplicates(df: DataFrame, keys, name: str = "n") -> DataFrame:
     """Rows whose key occurs more than once, with the key's count.
 
-    Counts are a partial aggregate; the offending keys are joined back (AQE
-    splits a hot key on the large side) rather than windowed.
+    Counts are a partial aggregate; the offending keys are joined back by a
+    salted join that spreads a hot key, rather than windowed.
     """
+    from strata.operators.timeseries import attach
+
     keys = _keys(keys)
     dup = count_by(df, keys, name=name).filter(F.col(name) > 1)
-    return df.join(dup, keys, "inner")
+    return attach(df, dup, keys, "inner")
 
 
 def impute_suppressed(df: DataFrame, value_col: str, total, token: str = "*", name: str | None = None) -> DataFrame:

@@ -1,8 +1,10 @@
 """Idempotent history maintenance (I1-I11): ``(history, batch) -> history'``.
 
 Every rule decides with semi/anti joins or scalar subqueries evaluated on
-the executors — the key lists are never collected to the driver — and is a
-no-op when the same batch is merged twice. The result is a lazy DataFrame;
+the executors — the key lists are never collected to the driver. Merging the
+newest batch twice is a no-op under every rule. ``append_if_max_differs`` keeps
+the reference's plain ``!=``: a batch older than the history is appended each time
+it comes (``append_max_in_set`` is the rule that refuses it). The result is a lazy DataFrame;
 write it with :func:`strata.sources.files.write_snapshot` (dynamic partition
 overwrite) or :func:`write_history`.
 """
@@ -106,10 +108,12 @@ def merge_history(
     raise ValueError(f"unknown rule {rule!r}; expected one of {RULES}")
 
 
-def write_history(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
-    """Persist a merged history. With ``partition_by`` only the partitions
-    present in ``df`` are replaced (dynamic partition overwrite)."""
-    w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
+def write_history(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", whole: bool = True) -> None:
+    """Persist a merged history. ``whole``: ``df`` is the whole history and
+    replaces what is there, stale partitions too (what ``replace_if_new`` and
+    ``overwrite`` need). Else only the partitions present in ``df`` are
+    replaced (dynamic partition overwrite). ``path`` must not be one that ``df`` reads."""
+    w = df.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "static" if whole else "dynamic")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.save(path)

@@ -54,11 +54,16 @@ def outer_merge_all(dfs: Sequence[DataFrame], key) -> DataFrame:
 
     One shuffle: union all inputs by name (missing columns null) and take the
     single non-null value per column and key — instead of n-1 chained joins.
+    A key that an input holds twice would need several rows; it raises.
     """
     keys = _keys(key)
-    u = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), dfs)
-    vals = [c for c in u.columns if c not in keys]
-    return u.groupBy(*keys).agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in vals])
+    tagged = [d.withColumn("_input", F.lit(i)) for i, d in enumerate(dfs)]
+    u = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), tagged)
+    vals = [c for c in u.columns if c not in (*keys, "_input")]
+    most = F.greatest(F.lit(0), *[F.count_if(F.col("_input") == i) for i in range(len(dfs))])
+    out = u.groupBy(*keys).agg(most.alias("_most"), *[F.max(F.col(f"`{c}`")).alias(c) for c in vals])
+    unique = F.when(F.col("_most") > 1, F.raise_error(F.lit("outer_merge_all: a key occurs twice in an input"))).otherwise(F.lit(True))
+    return out.filter(unique).drop("_most")
 
 
 def calendar(spark, start: Column, end: Column, step: str = "1 day", name: str = "Date") -> DataFrame:
@@ -75,29 +80,46 @@ def scaffold(entities: DataFrame, start: Column, end: Column, step: str = "1 day
     return entities.distinct().withColumn(name, F.explode(F.sequence(start, end, F.expr(f"INTERVAL {step}"))))
 
 
+def scaffold_dates(entities: DataFrame, dates: DataFrame, name: str = "Date") -> DataFrame:
+    """J6 over the dates that occur: every entity x every distinct date (a
+    calendar-bounded set, one array), without a cross join."""
+    known = dates.agg(F.array_sort(F.collect_set(F.col(name).cast("date")))).scalar()
+    return entities.distinct().withColumn(name, F.explode(known))
+
+
+MAX_PERIODS = 100_000
+
+
+def _numbered_periods(df: DataFrame, order: Sequence) -> DataFrame:
+    from pyspark.sql import Window
+
+    at = F.row_number().over(Window.orderBy(*order))
+    return df.withColumn("_pos", F.when(at > MAX_PERIODS, F.raise_error(F.lit(
+        f"positional join: more than {MAX_PERIODS} rows; it is meant for one row per period")).cast("int")).otherwise(at))
+
+
 def zip_join(a: DataFrame, b: DataFrame, order_a: Sequence, order_b: Sequence, how: str = "left") -> DataFrame:
-    """Positional join — i-th row of ``a`` (by ``order_a``) with the i-th of ``b``."""
-    ia = with_row_id(a, order_a, name="_pos")
-    ib = with_row_id(b, order_b, name="_pos")
-    return ia.join(ib, "_pos", how).drop("_pos")
+    """Positional join — i-th row of ``a`` (by ``order_a``) with the i-th of
+    ``b``. For period-grain frames: more than MAX_PERIODS rows raise."""
+    return _numbered_periods(a, order_a).join(_numbered_periods(b, order_b), "_pos", how).drop("_pos")
 
 
 def widen(spine: DataFrame, feeds: Mapping[str, tuple[DataFrame, str]], keys, agg: str = "sum") -> DataFrame:
     """Left-join many same-grain feeds onto a spine in one shuffle.
 
-    ``feeds`` maps an output column to ``(frame, value column)``. All inputs
-    are unioned in long form and pivoted once on the metric name; rows whose
-    keys are absent from the spine are dropped by a presence marker.
+    ``feeds`` maps an output column to ``(frame, value column)``. Every input
+    becomes rows with its own column filled, in its own type (longs stay
+    exact); one aggregation brings them together, and rows whose keys are
+    absent from the spine are dropped by a presence marker.
     """
     keys = _keys(keys)
     marker = "__spine"
-    parts = [spine.select(*keys).withColumn("_metric", F.lit(marker)).withColumn("_v", F.lit(1.0))]
-    for name, (df, value) in feeds.items():
-        parts.append(df.select(*keys, F.lit(name).alias("_metric"), F.col(value).cast("double").alias("_v")))
-    long = reduce(lambda x, y: x.unionByName(y), parts)
+    parts = [spine.select(*keys, F.lit(True).alias(marker))]
+    parts += [df.select(*keys, F.col(value).alias(name)) for name, (df, value) in feeds.items()]
+    rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
     f = {"sum": F.sum, "max": F.max, "first": F.min}[agg]
-    wide = long.groupBy(*keys).pivot("_metric", [marker, *feeds.keys()]).agg(f("_v"))
-    return wide.filter(F.col(marker).isNotNull()).drop(marker)
+    wide = rows.groupBy(*keys).agg(F.max(marker).alias(marker), *[f(n).alias(n) for n in feeds])
+    return wide.filter(F.col(marker)).drop(marker)
 
 
 def join_month_offset(a: DataFrame, b: DataFrame, key: str, a_date, b_date, offset: int = 1, how: str = "left") -> DataFrame:
@@ -163,9 +185,10 @@ def scaffold_fill(facts: DataFrame, scaffold_df: DataFrame, keys, zero_cols: Seq
     return out
 
 
-def coverage_by_group(members: DataFrame, groups: DataFrame, snap: str, group: str, name: str = "n") -> DataFrame:
+def coverage_by_group(members: DataFrame, groups: DataFrame, snap: str, group: str, name: str = "n", size: str | None = None) -> DataFrame:
     """Members counted per (snapshot, group); every group is listed for
-    every snapshot, with 0 where it has no member.
+    every snapshot, with 0 where it has no member. ``size``: a column of
+    ``groups`` (how many members the group could have) to stand beside the count.
 
     The grid is built by exploding the (calendar-bounded) set of snapshot
     dates on each group row — no cross join; the counts are a partial
@@ -173,7 +196,7 @@ def coverage_by_group(members: DataFrame, groups: DataFrame, snap: str, group: s
     """
     counts = members.groupBy(snap, group).agg(F.count(F.lit(1)).cast("long").alias(name))
     snaps = members.agg(F.array_sort(F.collect_set(col(snap)))).scalar()
-    grid = groups.select(group).distinct().withColumn(snap, F.explode(snaps))
+    grid = groups.select(group, *([size] if size else [])).distinct().withColumn(snap, F.explode(snaps))
     return grid.join(counts, [snap, group], "left").na.fill(0, subset=[name])
 
 

@@ -68,30 +68,41 @@ def dense_cumsum(df: DataFrame, key, date, c, name: str | None = None, step: str
     return filled.select(key, date, F.sum(c).over(w).alias(name or f"cum_{c}"))
 
 
+def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "left", salts: int = 16) -> DataFrame:
+    """Join per-group values back to the rows of ``df``.
+
+    The rows of a key are spread over ``salts`` join keys and the (one row per
+    key) ``groups`` repeated for each, so that a key with any share of the
+    rows is read by ``salts`` tasks. (AQE can't split it: the aggregate's output
+    is already partitioned by the key.)
+    """
+    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int"))
+    return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
+
+
 def n_in_group(df: DataFrame, keys, c=None, name: str = "n_in_group") -> DataFrame:
     """Group size (non-null count of ``c``) attached to every row.
 
-    Aggregate + join instead of ``count() over (partition by …)``: the
-    aggregate combines map-side and AQE can split a hot key in the join.
+    Aggregate + salted join instead of ``count() over (partition by …)``: the
+    aggregate combines map-side, the join spreads a hot key.
     """
     keys = _keys(keys)
     cnt = F.count(F.lit(1)) if c is None else F.count(col(c))
-    g = df.groupBy(*keys).agg(cnt.cast("long").alias(name))
-    return df.join(g, keys, "left")
+    return attach(df, df.groupBy(*keys).agg(cnt.cast("long").alias(name)), keys)
 
 
 def any_flag(df: DataFrame, keys, cond: Column, name: str = "any_flag") -> DataFrame:
     """1 when any row of the group satisfies ``cond``, attached to rows."""
     keys = _keys(keys)
-    g = df.groupBy(*keys).agg(F.max(F.when(cond, 1).otherwise(0)).alias(name))
-    return df.join(g, keys, "left")
+    return attach(df, df.groupBy(*keys).agg(F.max(F.when(cond, 1).otherwise(0)).alias(name)), keys)
 
 
 def latest_flag(df: DataFrame, keys, period, name: str = "latest") -> DataFrame:
     """1 when the row's period is the group's latest, else 0."""
     keys = _keys(keys)
     g = df.groupBy(*keys).agg(F.max(col(period)).alias("_mx"))
-    return df.join(g, keys, "left").withColumn(name, F.when(col(period) == F.col("_mx"), 1).otherwise(0)).drop("_mx")
+    return attach(df, g, keys).withColumn(name, F.when(col(period) == F.col("_mx"), 1).otherwise(0)).drop("_mx")
 
 
 def order_key(order: Sequence, nulls_last_wins: Sequence[str] = ()) -> Column:

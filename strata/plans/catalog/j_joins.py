@@ -86,9 +86,9 @@ def j6(spark, sf):
 @query("j7_zip", oracle=f"""
 SELECT d.Month, d.Discharges, a.Month AS Ack_Month, a.Acks FROM
   (SELECT *, row_number() OVER (ORDER BY Month) AS rn FROM {_MONTH_DISCH}) d LEFT JOIN
-  (SELECT *, row_number() OVER (ORDER BY Month) AS rn FROM (SELECT * FROM {_MONTH_ACKS} WHERE Month >= '1995-06')) a ON d.rn = a.rn""")
+  (SELECT *, row_number() OVER (ORDER BY Month) AS rn FROM (SELECT * FROM {_MONTH_ACKS} x)) a ON d.rn = a.rn""")
 def j7(spark, sf):
-    acks = _month_acks(spark, sf).filter(F.col("Month") >= "1995-06").withColumnRenamed("Month", "Ack_Month")
+    acks = _month_acks(spark, sf).withColumnRenamed("Month", "Ack_Month")
     return J.zip_join(_month_disch(spark, sf), acks, ["Month"], ["Ack_Month"])
 
 
@@ -97,7 +97,7 @@ EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
 
 @query("j8_widen", oracle="""
 SELECT s.Date, s.OdsCode, """ + ", ".join(
-    f"CAST((SELECT count(*) FROM v_usage u WHERE u.Date = s.Date AND u.OdsCode = s.OdsCode AND u.Measure = '{t}') AS DOUBLE) AS n_{t}"
+    f"CAST((SELECT count(*) FROM v_usage u WHERE u.Date = s.Date AND u.OdsCode = s.OdsCode AND u.Measure = '{t}') AS BIGINT) AS n_{t}"
     for t in EVENT_TYPES) + """
 FROM (SELECT DISTINCT Date, OdsCode FROM v_usage WHERE Measure = 'view') s""", dates=["Date"])
 def j8(spark, sf):
@@ -107,7 +107,7 @@ def j8(spark, sf):
     for t in EVENT_TYPES:
         feeds[f"n_{t}"] = (A.count_by(u.filter(F.col("Measure") == t), ["Date", "OdsCode"], name="n"), "n")
     out = J.widen(spine, feeds, ["Date", "OdsCode"])
-    return out.na.fill(0.0, subset=list(feeds))
+    return out.na.fill(0, subset=list(feeds))
 
 
 @query("j9_month_offset", oracle="""
@@ -171,7 +171,7 @@ def j13b(spark, sf):
 
 @query("j14_scaffold_fill", oracle="""
 WITH cum AS (SELECT Date, OdsCode, CAST(sum(Clicks) OVER (PARTITION BY OdsCode ORDER BY Date ROWS UNBOUNDED PRECEDING) AS BIGINT) AS Cum_Clicks
-             FROM (SELECT Date, OdsCode, sum(Clicks) AS Clicks FROM v_clicks WHERE Provider = 'P1' GROUP BY ALL) t),
+             FROM (SELECT Date, OdsCode, sum(Clicks) AS Clicks FROM v_clicks GROUP BY ALL) t),
      ref AS (SELECT OdsCode, CAST(count(*) AS BIGINT) AS Events, max(Date) AS Snapshot FROM v_clicks GROUP BY OdsCode),
      grid AS (SELECT d.Date, r.OdsCode, r.Events, r.Snapshot FROM (SELECT DISTINCT Date FROM cum) d CROSS JOIN ref r)
 SELECT coalesce(c.Date, g.Date) AS Date, coalesce(c.OdsCode, g.OdsCode) AS OdsCode, coalesce(c.Cum_Clicks, 0) AS Cum_Clicks,
@@ -179,11 +179,10 @@ SELECT coalesce(c.Date, g.Date) AS Date, coalesce(c.OdsCode, g.OdsCode) AS OdsCo
 FROM cum c FULL OUTER JOIN grid g ON c.Date = g.Date AND c.OdsCode = g.OdsCode""", dates=["Date", "Snapshot"])
 def j14(spark, sf):
     v = view(spark, sf, "v_clicks")
-    cum = W.cumsum_by(v.filter(F.col("Provider") == "P1"), "OdsCode", "Date", "Clicks", name="Cum_Clicks")
+    cum = W.cumsum_by(v, "OdsCode", "Date", "Clicks", name="Cum_Clicks")
     ref = v.groupBy("OdsCode").agg(F.count(F.lit(1)).cast("long").alias("Events"), F.max("Date").alias("Snapshot"))
     dates = cum.select("Date").distinct()
-    lo, hi = dates.select(F.min("Date")).scalar(), dates.select(F.max("Date")).scalar()
-    grid = J.scaffold(ref, lo, hi, "1 day", "Date").join(dates, "Date", "left_semi")
+    grid = J.scaffold_dates(ref, dates, "Date")
     return J.scaffold_fill(cum.drop("Clicks"), grid, ["Date", "OdsCode"], ["Cum_Clicks", "Events"], {"Snapshot": "Snapshot"})
 
 
@@ -201,6 +200,24 @@ def j15(spark, sf):
     return J.coverage_by_group(members, groups, "Edition", "ICB")
 
 
+@query("j15_coverage_share", oracle="""
+WITH m AS (SELECT s.Edition, s.Code, c.c_nationkey AS ICB FROM v_status s JOIN customer c ON s.Code = c.c_custkey),
+     cnt AS (SELECT Edition, ICB, CAST(count(DISTINCT Code) AS BIGINT) AS n FROM m GROUP BY ALL),
+     size AS (SELECT n.n_nationkey AS ICB, CAST(count(c.c_custkey) AS BIGINT) AS Members FROM nation n LEFT JOIN customer c ON c.c_nationkey = n.n_nationkey GROUP BY 1)
+SELECT e.Edition, s.ICB, s.Members, coalesce(cnt.n, 0) AS n, CAST(round_even(CAST(coalesce(cnt.n, 0) AS DOUBLE) / nullif(s.Members, 0), 4) AS DOUBLE) AS Share
+FROM (SELECT DISTINCT Edition FROM m) e CROSS JOIN size s LEFT JOIN cnt ON cnt.Edition = e.Edition AND cnt.ICB = s.ICB""")
+def j15b(spark, sf):
+    """Submitted members beside all members of every group, per snapshot."""
+    s = view(spark, sf, "v_status").select("Code", "Edition").distinct()
+    c = table(spark, sf, "customer", ["c_custkey", "c_nationkey"])
+    members = J.join_on(s, c, "Code", "c_custkey", "inner").select("Edition", F.col("c_nationkey").alias("ICB"))
+    n = table(spark, sf, "nation", ["n_nationkey"]).withColumnRenamed("n_nationkey", "ICB")
+    size = n.join(c.withColumnRenamed("c_nationkey", "ICB"), "ICB", "left").groupBy("ICB").agg(F.count("c_custkey").alias("Members"))
+    from strata.functions import columns as C
+
+    return J.coverage_by_group(members, size, "Edition", "ICB", size="Members").withColumn("Share", C.ratio("n", "Members", 4))
+
+
 @query("j16_fiscal", oracle="""
 WITH f AS (SELECT o_custkey % 10 AS Org, CASE WHEN month(o_orderdate) >= 4 THEN year(o_orderdate) ELSE year(o_orderdate) - 1 END AS fy,
                   CAST(sum(floor(o_totalprice / 1000)) AS BIGINT) AS Activity FROM orders GROUP BY ALL),

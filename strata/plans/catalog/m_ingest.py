@@ -35,7 +35,7 @@ def m62(spark, sf):
 
 
 @query("m63_new_cumulative", oracle="""
-WITH r AS (SELECT o_custkey, 'github' AS host FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey, 'gitlab' FROM orders WHERE o_orderstatus = 'P'),
+WITH r AS (SELECT o_custkey, 'github' AS host FROM orders WHERE o_orderstatus = 'F' UNION ALL SELECT o_custkey, 'gitlab' FROM orders WHERE o_orderstatus <> 'F'),
      f AS (SELECT split_part('grp' || CAST(r.o_custkey % 5 AS VARCHAR) || '/' || CAST(r.o_custkey AS VARCHAR), '/', 1) AS Owner, r.host, r.o_custkey, min(o.o_orderdate) AS created
            FROM r JOIN orders o ON r.o_custkey = o.o_custkey GROUP BY ALL),
      m AS (SELECT Owner, CAST(date_trunc('month', created) AS DATE) AS Month, CAST(count(*) AS BIGINT) AS new FROM f GROUP BY ALL),
@@ -48,7 +48,7 @@ def m63(spark, sf):
     o = table(spark, sf, "orders", ["o_custkey", "o_orderstatus", "o_orderdate"])
     first = o.groupBy("o_custkey").agg(F.min("o_orderdate").alias("created"))
     gh = o.filter(F.col("o_orderstatus") == "F").select("o_custkey").withColumn("host", F.lit("github"))
-    gl = o.filter(F.col("o_orderstatus") == "P").select("o_custkey").withColumn("host", F.lit("gitlab"))
+    gl = o.filter(F.col("o_orderstatus") != "F").select("o_custkey").withColumn("host", F.lit("gitlab"))
     r = union_all(gh, gl).join(first, "o_custkey")
     path = F.concat(F.lit("grp"), (F.col("o_custkey") % 5).cast("string"), F.lit("/"), F.col("o_custkey").cast("string"))
     repos = r.withColumn("Owner", C.first_segment(path, "/")).groupBy("Owner", "host", "o_custkey").agg(F.min("created").alias("created"))
@@ -63,14 +63,15 @@ SELECT o_orderkey, 'home_care' AS Source, coalesce(CAST(TRY_STRPTIME(Date_Text,
 UNION ALL
 SELECT o_orderkey, 'care_home', coalesce(CAST(TRY_STRPTIME(Date_Text, '%Y-%m-%d') AS DATE), DATE '1900-01-01'), 0, coalesce(Users, 0) FROM
   (SELECT o.o_orderkey, d.Date_Text, CASE WHEN o.o_totalprice > 300000 THEN NULL ELSE CAST(floor(o.o_totalprice / 1000) AS BIGINT) END AS Users, o.o_orderstatus
-   FROM orders o JOIN v_datetext d ON o.o_orderkey = d.Id) t WHERE o_orderstatus = 'O'""", dates=["Date"])
+   FROM orders o JOIN v_datetext d ON o.o_orderkey = d.Id) t WHERE o_orderstatus <> 'F'""", dates=["Date"])
 def m64(spark, sf):
     o = table(spark, sf, "orders", ["o_orderkey", "o_totalprice", "o_orderstatus"])
     d = view(spark, sf, "v_datetext").select(F.col("Id").alias("o_orderkey"), "Date_Text")
     x = o.join(d, "o_orderkey").withColumn("Users", F.when(F.col("o_totalprice") <= 300000, F.floor(F.col("o_totalprice") / 1000).cast("long")))
     out = []
-    for src, status, dom in [("home_care", "F", 1), ("care_home", "O", 0)]:
-        s = with_literal(x.filter(F.col("o_orderstatus") == status), "Source", src)
+    home = F.col("o_orderstatus") == "F"
+    for src, mine, dom in [("home_care", home, 1), ("care_home", ~home, 0)]:
+        s = with_literal(x.filter(mine), "Source", src)
         out.append(s.select("o_orderkey", "Source", C.date_or_sentinel("Date_Text").alias("Date"), F.lit(dom).alias("IsDomcare"),
                             C.fill("Users", 0).alias("ServiceUserCount")))
     return union_all(*out)
@@ -133,12 +134,17 @@ def _logins(v):
 @query("m68_login_upsert", oracle="""
 SELECT strftime(date_trunc('week', Date), '%Y-%m-%d') AS week_commencing,
        avg(Clicks) FILTER (WHERE JumpOff = 'viewCarePlans') AS viewCarePlans, avg(Clicks) FILTER (WHERE JumpOff = 'clickCarePlans') AS clickCarePlans
-FROM v_clicks GROUP BY 1""")
+FROM v_clicks WHERE Date < DATE '2024-01-15' GROUP BY 1
+HAVING strftime(date_trunc('week', Date), '%Y-%m-%d') NOT IN (SELECT strftime(date_trunc('week', Date), '%Y-%m-%d') FROM v_clicks WHERE Date >= DATE '2024-01-10')
+UNION ALL
+SELECT strftime(date_trunc('week', Date), '%Y-%m-%d'), avg(Clicks) FILTER (WHERE JumpOff = 'viewCarePlans'), avg(Clicks) FILTER (WHERE JumpOff = 'clickCarePlans')
+FROM v_clicks WHERE Date >= DATE '2024-01-10' GROUP BY 1""")
 def m68(spark, sf):
     v = view(spark, sf, "v_clicks")
-    # history: the feed as first sent (first half of the month); the re-sent weeks replace it
+    # the history has weeks that the batch lacks, the batch a week that it replaces, and new ones
     hist = _logins(v.filter(F.col("Date") < F.lit("2024-01-15").cast("date")))
-    return merge_history(hist, _logins(v), "week_commencing", "upsert")
+    batch = _logins(v.filter(F.col("Date") >= F.lit("2024-01-10").cast("date")))
+    return merge_history(hist, batch, "week_commencing", "upsert")
 
 
 @query("m69_practice_list", oracle="""
@@ -178,7 +184,8 @@ def m71(spark, sf):
     return merge_history(a, J.outer_merge_all([a, b, c], "Daily"), "Daily", "overwrite")
 
 
-@query("m72_usage_ingest")
+@query("m72_usage_ingest", oracle="""
+SELECT strftime(Date, '%Y-%m-%d') AS Date, OdsCode, Logins, DATE '2024-02-01' AS snapshot_date FROM v_usage_wide""", dates=["snapshot_date"])
 def m72(spark, sf):
     """Weekly usage drops land as CSV folders; the matching drops are read,
     dates normalised, appended to the history by period, and the complete

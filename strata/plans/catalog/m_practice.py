@@ -192,7 +192,10 @@ def m36(spark, sf):
     return fam.trust_suppressed(view(spark, sf, "v_acks"), view(spark, sf, "v_mh"), "TOC_FHIR_MH_DISCH_ACK")
 
 
-@query("m37_bundle")
+@query("m37_bundle", oracle=f"""
+SELECT 'acks_by_workflow' AS "table", CAST(count(DISTINCT strftime(_time, '%Y-%m')) AS BIGINT) AS rows FROM v_acks
+WHERE regexp_matches(workflow, 'ACK') AND strftime(_time, '%Y-%m') < '2001-11'
+UNION ALL SELECT 'utilisation', CAST(count(DISTINCT strftime(Discharge_Date, '%Y-%m')) AS BIGINT) FROM v_denominator""")
 def m37(spark, sf):
     """Deliver the national pivot (M31) and utilisation (M33) tables together,
     then read the bundle back: one row per delivered table with its row count."""

@@ -44,7 +44,7 @@ def s3(spark, sf):
     return S.read_month_end_snapshots(spark, root)
 
 
-@query("s4_glob_scan")
+@query("s4_glob_scan", oracle="SELECT n_nationkey, n_name, n_regionkey FROM nation WHERE n_regionkey < 2")
 def s4(spark, sf):
     n = table(spark, sf, "nation")
     root = scratch_path(spark, "landing")
@@ -78,6 +78,22 @@ def s8(spark, sf):
     return S.flatten_json(table(spark, sf, "events", ["event_id", "props"]), "props", "k BIGINT", fields={"k": "k"}, keep=["event_id"])
 
 
+@query("s8_json_records", oracle="""
+SELECT o_custkey, o_orderkey, price, CAST(seq AS INTEGER) AS seq FROM (
+  SELECT o_custkey, o_orderkey, CAST(floor(o_totalprice) AS BIGINT) AS price,
+         row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS seq FROM orders) t""")
+def s8b(spark, sf):
+    """A JSON object with an array of records per customer, flattened to one row per record."""
+    o = table(spark, sf, "orders", ["o_custkey", "o_orderkey", "o_totalprice"])
+    item = F.struct("o_orderkey", F.struct(F.floor("o_totalprice").cast("long").alias("price")).alias("amount"))
+    docs = o.groupBy("o_custkey").agg(F.sort_array(F.collect_list(item)).alias("items"))
+    docs = docs.select("o_custkey", F.to_json(F.struct(F.transform("items", lambda x, i: F.struct(
+        x["o_orderkey"].alias("id"), x["amount"].alias("amount"), (i + 1).alias("seq"))).alias("records"))).alias("body"))
+    schema = "records ARRAY<STRUCT<id: BIGINT, amount: STRUCT<price: BIGINT>, seq: INT>>"
+    return S.flatten_json(docs, "body", schema, array_path="records",
+                          fields={"o_orderkey": "id", "price": "amount.price", "seq": "seq"}, keep=["o_custkey"])
+
+
 _NUMS = """list_filter(string_split(trim(regexp_replace(translate(regexp_replace(html, '<[^>]*>', ' ', 'g'), ',%()', ''), '\\s+', ' ', 'g')), ' '),
   lambda t: regexp_full_match(t, '[0-9]+'))"""
 
@@ -102,7 +118,7 @@ def s10(spark, sf):
     return S.read_table(spark, name)
 
 
-@query("s11_table_write")
+@query("s11_table_write", oracle="SELECT CAST(2 * count(*) AS BIGINT) AS rows FROM orders")
 def s11(spark, sf):
     name = f"strata_orders_{uuid.uuid4().hex[:8]}"
     S.write_table(table(spark, sf, "orders", ["o_orderkey", "o_totalprice"]), name, path=scratch_path(spark, name))
@@ -110,7 +126,7 @@ def s11(spark, sf):
     return S.read_table(spark, name).groupBy().agg(F.count(F.lit(1)).cast("long").alias("rows"))
 
 
-@query("s12_snapshot_sink")
+@query("s12_snapshot_sink", oracle="SELECT o_orderkey, o_totalprice, DATE '2024-02-01' AS snapshot_date FROM orders", dates=["snapshot_date"])
 def s12(spark, sf):
     root = scratch_path(spark, "sink")
     o = table(spark, sf, "orders", ["o_orderkey", "o_totalprice"])
@@ -120,7 +136,8 @@ def s12(spark, sf):
     return S.read_snapshots(spark, root)
 
 
-@query("s13_csv_sink")
+@query("s13_csv_sink", oracle="""
+SELECT n_nationkey, n_name, n_regionkey, CAST(row_number() OVER (ORDER BY n_nationkey) - 1 AS BIGINT) AS Unique_ID FROM nation""")
 def s13(spark, sf):
     from strata.operators.projection import with_row_id
     path = scratch_path(spark, "metric_csv")
@@ -133,11 +150,17 @@ SELECT n.n_name, CAST(count(*) AS BIGINT) AS customers FROM customer c JOIN nati
 def s14(spark, sf):
     tag = uuid.uuid4().hex[:8]
     S.register_views({f"c_{tag}": table(spark, sf, "customer"), f"n_{tag}": table(spark, sf, "nation")})
-    return S.ctas(spark, f"wide_{tag}", f"""SELECT n.n_name, CAST(count(*) AS BIGINT) AS customers FROM c_{tag} c
-        JOIN n_{tag} n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""")
+    path = scratch_path(spark, "wide")
+    out = S.ctas(spark, f"wide_{tag}", f"""SELECT n.n_name, CAST(count(*) AS BIGINT) AS customers FROM c_{tag} c
+        JOIN n_{tag} n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""", path)
+    schema = out.schema
+    S.drop_table(spark, f"wide_{tag}")
+    return spark.read.schema(schema).parquet(path)
 
 
-@query("s15_bundle")
+@query("s15_bundle", oracle="""
+SELECT n_nationkey, n_name, n_regionkey, NULL::INTEGER AS r_regionkey, NULL::VARCHAR AS r_name, 'nation' AS "table" FROM nation
+UNION ALL SELECT NULL, NULL, NULL, r_regionkey, r_name, 'region' FROM region""")
 def s15(spark, sf):
     path = scratch_path(spark, "bundle")
     S.write_bundle(path, {"nation": table(spark, sf, "nation"), "region": table(spark, sf, "region")})
@@ -161,3 +184,15 @@ def s17(spark, sf):
     d = view(spark, sf, "v_datetext").select("Id", "File_Name")
     return S.with_snapshot_date(d, source="text", text_col="File_Name", pattern=r"(\d{4}_\d{2})", fmt="yyyy_MM",
                                 fix_future=True, today="2000-01-01")
+
+
+@query("s17_date_from_path", oracle="""
+SELECT o_orderkey, o_totalprice, CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot_date FROM orders""", dates=["snapshot_date"])
+def s17b(spark, sf):
+    """Drops in folders whose names carry the date; every row is stamped from the path of its file."""
+    root = scratch_path(spark, "dated")
+    o = table(spark, sf, "orders", ["o_orderkey", "o_totalprice", "o_orderdate"])
+    month = F.date_format(F.trunc("o_orderdate", "MM"), "yyyy-MM-dd")
+    o.withColumn("drop", month).drop("o_orderdate").repartition("drop").write.partitionBy("drop").parquet(root)
+    rows = spark.read.option("recursiveFileLookup", "true").schema("o_orderkey LONG, o_totalprice DOUBLE").parquet(root)
+    return S.with_snapshot_date(rows, source="path", pattern=r"drop=(\d{4}-\d{2}-\d{2})")

@@ -6,6 +6,7 @@ from strata.operators import quality as Q
 from strata.operators import timeseries as W
 from strata.plans.registry import query
 from strata.plans.standins import view
+from strata.session import scratch_path
 from strata.sources.tables import table
 
 
@@ -38,10 +39,13 @@ def v3(spark, sf):
 
 
 @query("v4_type", oracle=_row("type_double", "ValueText", "count_if(ValueText IS NOT NULL AND TRY_CAST(ValueText AS DOUBLE) IS NULL)", 0, 0,
-                              "FROM v_usage") + " UNION ALL " + _row("type_is_bigint", "OdsCode", "1.0", 1, 1))
+                              "FROM v_usage") + " UNION ALL " + _row(
+                                  "type_is_bigint", "o_custkey", "CAST(count_if(column_name = 'o_custkey' AND column_type = 'BIGINT') AS DOUBLE)", 1, 1,
+                                  "FROM (DESCRIBE orders)"))
 def v4(spark, sf):
-    u = view(spark, sf, "v_usage")
-    return Q.run_suite(u, [Q.Check.castable("ValueText", "double"), Q.Check.type_is(u, "OdsCode", "bigint")])
+    u, o = view(spark, sf, "v_usage"), table(spark, sf, "orders")
+    return Q.run_suite(u, [Q.Check.castable("ValueText", "double")]).unionByName(
+        Q.run_suite(o, [Q.Check.type_is(o, "o_custkey", "bigint")]))
 
 
 @query("v5_row_count", oracle=_row("row_count", None, "count(*)", 10000, 20000, "FROM orders"))
@@ -72,13 +76,14 @@ def v9(spark, sf):
     return Q.run_suite(m, [Q.Check.increasing(m, "Cum_Revenue", ["Month"])])
 
 
-_CLICK_COLS = ["event_id", "Date", "OdsCode", "Provider", "JumpOff", "Clicks"]
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
 
 
-@query("v10_columns", oracle=_row("columns", None, "1.0", 1, 1))
+@query("v10_columns", oracle=_row("columns", None, f"""CAST(count(*) = {len(_ORDER_COLS)} AND count_if(column_name IN ({', '.join(f"'{c}'" for c in _ORDER_COLS)})) = count(*) AS DOUBLE)""",
+                                  1, 1, "FROM (DESCRIBE orders)"))
 def v10(spark, sf):
-    v = view(spark, sf, "v_clicks")
-    return Q.run_suite(v, [Q.Check.columns(v, _CLICK_COLS)])
+    o = table(spark, sf, "orders")
+    return Q.run_suite(o, [Q.Check.columns(o, _ORDER_COLS)])
 
 
 @query("v11_no_zero_days", oracle=_row("no_zero_days", "Acks", """(WITH a AS (SELECT CAST(_time AS DATE) AS d, count(*) AS n FROM v_acks GROUP BY 1),
@@ -185,9 +190,15 @@ def v18(spark, sf):
     return Q.run_suite(v, [Q.Check.calendar(v, "Date")])
 
 
-@query("v19_preload_log")
+@query("v19_preload_log", oracle="""
+SELECT CAST(count(*) AS BIGINT) AS row_count, TIMESTAMP '2024-02-01 00:00:00' AS load_date, 'orders.parquet' AS file_to_load FROM orders""", dates=["load_date"])
 def v19(spark, sf):
-    return Q.preload_log(table(spark, sf, "orders"), "2024-02-01 00:00:00")
+    """The log row is appended to the run log and read back; files are named without their folder."""
+    path = scratch_path(spark, "preload-log")
+    log = Q.preload_log(table(spark, sf, "orders"), "2024-02-01 00:00:00")
+    Q.append_log(log.withColumn("file_to_load", F.regexp_extract("file_to_load", r"(orders\.parquet)", 1))
+                 .groupBy("load_date", "file_to_load").agg(F.sum("row_count").alias("row_count")), path)
+    return spark.read.parquet(path).select("row_count", "load_date", "file_to_load")
 
 
 @query("v20_agg_log", oracle="""
@@ -238,3 +249,58 @@ def v24(spark, sf):
         rows.append(F.struct(F.lit(feed).alias("feed"), got.alias("arrived"),
                              F.when(got, "ran").otherwise("skipped").alias("status")))
     return spark.range(1).select(F.inline(F.array(*rows)))
+
+
+_WEEK, _PREVIOUS = "2024-01-15", "2024-01-08"  # Mondays: the week that is validated and the one in the log
+_SUITE = ["Logins", "RecordViews", "Prescriptions"]
+
+
+def _week_of(spark, sf, start):
+    u = view(spark, sf, "v_usage_wide").filter((F.col("Date") >= F.lit(start).cast("date")) & (F.col("Date") < F.date_add(F.lit(start).cast("date"), 7)))
+    return u.select("Date", "OdsCode", *[F.coalesce(F.col(c).try_cast("double"), F.lit(0.0)).alias(c) for c in _SUITE])
+
+
+def _suite_sql(check, column, expr, prev, pct):
+    lo, hi = f"p.v - round_even({pct} * p.v, 0)", f"p.v + round_even({pct} * p.v, 0)"
+    return f"""SELECT '{check}' AS "check", '{column}' AS "column", CAST(t.v AS DOUBLE) AS observed, CAST({lo} AS DOUBLE) AS min_value,
+      CAST({hi} AS DOUBLE) AS max_value, CASE WHEN t.v BETWEEN {lo} AND {hi} THEN 'PASS' ELSE 'FAILED' END AS outcome
+      FROM (SELECT {expr} AS v FROM now) t, (SELECT {prev} AS v FROM was) p"""
+
+
+_EXACT = """SELECT '{c}' AS "check", {col} AS "column", CAST({e} AS DOUBLE) AS observed, CAST({lo} AS DOUBLE) AS min_value, CAST({hi} AS DOUBLE) AS max_value,
+      CASE WHEN {e} BETWEEN {lo} AND {hi} THEN 'PASS' ELSE 'FAILED' END AS outcome FROM now"""
+
+
+@query("v25_usage_suite", oracle=f"""
+WITH u AS (SELECT Date, OdsCode, """ + ", ".join(f"coalesce(TRY_CAST({c} AS DOUBLE), 0.0) AS {c}" for c in _SUITE) + f""" FROM v_usage_wide),
+     now AS (SELECT * FROM u WHERE Date >= DATE '{_WEEK}' AND Date < DATE '{_WEEK}' + INTERVAL 7 DAY),
+     was AS (SELECT * FROM u WHERE Date >= DATE '{_PREVIOUS}' AND Date < DATE '{_PREVIOUS}' + INTERVAL 7 DAY)
+""" + " UNION ALL ".join([
+    _EXACT.format(c="calendar", col="'Date'", e="count(DISTINCT Date)", lo=7, hi=7),
+    _EXACT.format(c="not_null", col="'OdsCode'", e="count_if(OdsCode IS NULL)", lo=0, hi=0),
+    _suite_sql("rows", "rows", "count(*)", "count(*)", 0.1),
+    _suite_sql("distinct", "OdsCode", "count(DISTINCT OdsCode)", "count(DISTINCT OdsCode)", 0.1),
+    *[_suite_sql("sum", c, f"sum({c})", f"sum({c})", 0.3) for c in _SUITE],
+    """SELECT 'log_rows', NULL, CAST(2 * 5 AS DOUBLE), CAST(10 AS DOUBLE), CAST(10 AS DOUBLE), CASE WHEN count(*) >= 0 THEN 'PASS' END FROM now"""]))
+def v25(spark, sf):
+    """The weekly validation of the usage feed: the previous run's aggregates come from the run log, today's rows, organisations and
+    every measure's sum must lie in bands around them, the week has seven days; then today's aggregates are appended to the log."""
+    path = scratch_path(spark, "usage-log")
+    aggs = {("count", "rows"): F.count(F.lit(1)), ("distinct", "OdsCode"): F.count_distinct("OdsCode"), **{("sum", c): F.sum(c) for c in _SUITE}}
+    Q.append_log(Q.agg_log(_week_of(spark, sf, _PREVIOUS), "usage_2024-01-08.parquet", aggs, "2024-01-14 00:00:00"), path)
+    now = _week_of(spark, sf, _WEEK)
+    log = spark.read.parquet(path)
+    last = log.filter(F.col("file_name").contains("usage") & (F.col("load_date") < F.lit("2024-01-21").cast("timestamp")))
+    prev = last.groupBy("aggregation", "comment").agg(F.max_by("aggregate_value", "load_date").alias("prev"))
+    today = Q.agg_log(now, "usage_2024-01-15.parquet", aggs, "2024-01-21 00:00:00")
+    band = F.bround(F.when(F.col("aggregation") == "sum", 0.3).otherwise(0.1) * F.col("prev"), 0)
+    named = F.when(F.col("aggregation") == "count", "rows").otherwise(F.col("aggregation"))
+    drift = today.join(prev, ["aggregation", "comment"]).select(
+        named.alias("check"), F.col("comment").alias("column"), F.col("aggregate_value").cast("double").alias("observed"),
+        (F.col("prev") - band).cast("double").alias("min_value"), (F.col("prev") + band).cast("double").alias("max_value"))
+    drift = drift.withColumn("outcome", F.when(F.col("observed").between(F.col("min_value"), F.col("max_value")), "PASS").otherwise("FAILED"))
+    suite = Q.run_suite(now, [Q.Check.calendar(now, "Date", 7), Q.Check("not_null", F.count_if(F.col("OdsCode").isNull()), 0, 0, "OdsCode")])
+    suite = Q.report(suite).select("check", "column", "observed", "min_value", "max_value", "outcome")
+    Q.append_log(today, path)
+    rows = Q.run_suite(spark.read.parquet(path), [Q.Check("log_rows", F.count(F.lit(1)), 10, 10)])
+    return suite.unionByName(drift).unionByName(Q.report(rows).select("check", "column", "observed", "min_value", "max_value", "outcome"))

@@ -41,13 +41,13 @@ def w4(spark, sf):
 
 
 @query("w5_dense_cumsum", oracle="""
-WITH d AS (SELECT OdsCode, Date, sum(Clicks) AS Clicks FROM v_clicks WHERE Provider = 'P1' GROUP BY ALL),
+WITH d AS (SELECT OdsCode, Date, sum(Clicks) AS Clicks FROM v_clicks GROUP BY ALL),
      s AS (SELECT OdsCode, min(Date) AS first FROM d GROUP BY OdsCode),
      g AS (SELECT s.OdsCode, CAST(unnest(generate_series(s.first, (SELECT max(Date) FROM d), INTERVAL 1 DAY)) AS DATE) AS Date FROM s)
 SELECT g.OdsCode, g.Date, CAST(sum(coalesce(d.Clicks, 0)) OVER (PARTITION BY g.OdsCode ORDER BY g.Date ROWS UNBOUNDED PRECEDING) AS BIGINT) AS Cum_Clicks
 FROM g LEFT JOIN d ON g.OdsCode = d.OdsCode AND g.Date = d.Date""", dates=["Date"])
 def w5(spark, sf):
-    v = view(spark, sf, "v_clicks").filter(F.col("Provider") == "P1")
+    v = view(spark, sf, "v_clicks")
     return W.dense_cumsum(v, "OdsCode", "Date", "Clicks", name="Cum_Clicks")
 
 
@@ -135,7 +135,7 @@ def w15(spark, sf):
     return W.month_bucket_truncated_last(v, "_time", ["workflow"], ["Messages"], name="Date")
 
 
-_FIRST_MONTH = """(SELECT CAST(date_trunc('month', min(o_orderdate)) AS DATE) AS m FROM orders WHERE o_orderstatus = 'P' GROUP BY o_custkey)"""
+_FIRST_MONTH = """(SELECT CAST(date_trunc('month', min(o_orderdate)) AS DATE) AS m FROM orders GROUP BY o_custkey)"""
 
 
 @query("w16_fill_months", oracle=f"""
@@ -143,7 +143,7 @@ WITH a AS (SELECT m AS Month, CAST(count(*) AS BIGINT) AS New_Customers FROM {_F
      c AS (SELECT CAST(unnest(generate_series((SELECT min(Month) FROM a), (SELECT max(Month) FROM a), INTERVAL 1 MONTH)) AS DATE) AS Month)
 SELECT c.Month, coalesce(a.New_Customers, 0) AS New_Customers FROM c LEFT JOIN a ON c.Month = a.Month""", dates=["Month"])
 def w16(spark, sf):
-    first = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "P").groupBy("o_custkey").agg(
+    first = table(spark, sf, "orders").groupBy("o_custkey").agg(
         F.trunc(F.min("o_orderdate"), "MM").alias("Month"))
     return W.fill_months(A.count_by(first, ["Month"], name="New_Customers"), "Month", ["New_Customers"])
 
@@ -154,6 +154,6 @@ WITH a AS (SELECT m AS Month, CAST(count(*) AS BIGINT) AS new FROM {_FIRST_MONTH
 SELECT c.Month, coalesce(a.new, 0) AS new, CAST(sum(coalesce(a.new, 0)) OVER (ORDER BY c.Month ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative
 FROM c LEFT JOIN a ON c.Month = a.Month""", dates=["Month"])
 def w17(spark, sf):
-    first = table(spark, sf, "orders").filter(F.col("o_orderstatus") == "P").groupBy("o_custkey").agg(
+    first = table(spark, sf, "orders").groupBy("o_custkey").agg(
         F.min("o_orderdate").alias("First_Order"))
     return W.new_and_cumulative(first, "First_Order")

@@ -18,8 +18,6 @@ from strata.sources.tables import TABLES, table_path
 HIST_CUT = "1999-01-01"
 BATCH_OVERLAP_FROM = "1998-07-01"
 CLOSE_CUT = "2001-01-01"
-PANEL_FROM = "2000-01-01"
-PANEL_TO = "2000-12-01"
 
 VIEWS: dict[str, str | tuple[str, str]] = {
     # D1 usage: one row per event; ValueText is the measure as dirty text.
@@ -62,7 +60,7 @@ VIEWS: dict[str, str | tuple[str, str]] = {
         SELECT CAST(ts AS DATE) AS Date,
                CASE WHEN event_type = 'view' THEN 'Apple' ELSE 'Google' END AS Type,
                CAST(count(*) AS BIGINT) AS Count
-        FROM {events} WHERE event_type IN ('view', 'click')
+        FROM {events}
         GROUP BY CAST(ts AS DATE), CASE WHEN event_type = 'view' THEN 'Apple' ELSE 'Google' END""",
     # D7 long field/value table (practice x month x field), lineitem grain.
     "v_field": """
@@ -163,17 +161,18 @@ VIEWS: dict[str, str | tuple[str, str]] = {
                CASE o_orderstatus WHEN 'F' THEN 'Yes' WHEN 'O' THEN 'No' ELSE NULL END AS Answer,
                CAST(floor(o_totalprice / 10000) AS BIGINT) AS Beds
         FROM {orders}""",
-    # Panel: every location that has an order x each month of a 12-month window.
+    # Panel: every location that has an order x each month from the first order to the last.
     "v_panel": (
         """
-        SELECT l.Location, m.Month FROM
-          (SELECT DISTINCT o_custkey AS Location FROM {orders}) l
-          JOIN (SELECT explode(sequence(DATE '2000-01-01', DATE '2000-12-01', INTERVAL 1 MONTH)) AS Month) m
-          ON TRUE""",
+        SELECT Location, explode(sequence(
+                 (SELECT trunc(CAST(min(o_orderdate) AS DATE), 'MM') FROM {orders}),
+                 (SELECT trunc(CAST(max(o_orderdate) AS DATE), 'MM') FROM {orders}), INTERVAL 1 MONTH)) AS Month
+        FROM (SELECT DISTINCT o_custkey AS Location FROM {orders}) l""",
         """
         SELECT l.Location, CAST(m.Month AS DATE) AS Month FROM
           (SELECT DISTINCT o_custkey AS Location FROM {orders}) l
-          CROSS JOIN (SELECT unnest(generate_series(DATE '2000-01-01', DATE '2000-12-01', INTERVAL 1 MONTH)) AS Month) m""",
+          CROSS JOIN (SELECT unnest(generate_series((SELECT date_trunc('month', min(o_orderdate)) FROM {orders}),
+                              (SELECT date_trunc('month', max(o_orderdate)) FROM {orders}), INTERVAL 1 MONTH)) AS Month) m""",
     ),
     # History maintenance: history before the cut, batches from/after it.
     "v_hist": """

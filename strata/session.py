@@ -20,7 +20,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
-    "spark.sql.shuffle.partitions": "8",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -29,7 +28,8 @@ def get_spark(master: str | None = None, app: str = "strata", **conf: str) -> Sp
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for k, v in {**DEFAULT_CONF, **conf}.items():
+    local = {"spark.sql.shuffle.partitions": "8"} if (master or "").startswith("local") else {}  # a cluster sizes its own
+    for k, v in {**DEFAULT_CONF, **local, **conf}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

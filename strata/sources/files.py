@@ -2,12 +2,13 @@
 
 Layout convention: a feed root holds one sub-folder per drop,
 ``<root>/snapshot_date=YYYY-MM-DD/``. Spark discovers ``snapshot_date`` as
-a partition column, so "newest drop" and "last drop of each month" are
-filters on that column: partition pruning replaces the reference's
-folder listing, and nothing is downloaded to the driver.
+a partition column. The dates come from the folder names (one entry per drop,
+no row is read), and "newest drop" and "last drop of each month" become literal
+filters on that column, so only those folders are scanned.
 """
 from __future__ import annotations
 
+import datetime as dt
 import re
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -28,31 +29,42 @@ def read_snapshots(spark: SparkSession, root: str, fmt: str = "parquet", schema:
     return r.load(root)
 
 
+def snapshot_dates(spark: SparkSession, root: str) -> list[dt.date]:
+    """The drop dates, oldest first, from the names of the folders under ``root``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    names = [e.getPath().getName() for e in listed if e.isDirectory()]
+    return sorted(dt.date.fromisoformat(n.removeprefix(f"{SNAP}=")) for n in names if re.fullmatch(SNAP + r"=\d{4}-\d{2}-\d{2}", n))
+
+
+def _drops(df: DataFrame, dates: Sequence[dt.date]) -> DataFrame:
+    return df.filter(F.col(SNAP).isin([F.lit(d) for d in dates])) if dates else df.filter(F.lit(False))
+
+
 def read_latest(spark: SparkSession, root: str, fmt: str = "parquet", schema: StructType | None = None,
                 options: Mapping[str, str] | None = None) -> DataFrame:
-    """The newest drop only. The max partition value is a scalar
-    subquery over the partition column; the scan prunes to that partition."""
-    df = read_snapshots(spark, root, fmt, schema, options)
-    return df.filter(F.col(SNAP) == df.select(F.max(SNAP)).scalar())
+    """The newest drop only."""
+    return _drops(read_snapshots(spark, root, fmt, schema, options), snapshot_dates(spark, root)[-1:])
 
 
 def list_snapshots(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     """Every drop date, newest first."""
-    return read_snapshots(spark, root, fmt).select(SNAP).distinct().orderBy(F.col(SNAP).desc())
+    dates = [(d,) for d in snapshot_dates(spark, root)]
+    return spark.createDataFrame(dates, f"{SNAP} date").orderBy(F.col(SNAP).desc())
 
 
 def read_month_end_snapshots(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
-    """S3: the last drop of every calendar month, all its rows, with the drop
-    date as a column (semi-join on the per-month maxima, a calendar-bounded set)."""
-    df = read_snapshots(spark, root, fmt)
-    last = df.groupBy(F.trunc(SNAP, "MM").alias("_m")).agg(F.max(SNAP).alias(SNAP)).select(SNAP)
-    return df.join(last, SNAP, "left_semi")
+    """S3: the last drop of every calendar month, all its rows, with the drop date as a column."""
+    last = {(d.year, d.month): d for d in snapshot_dates(spark, root)}
+    return _drops(read_snapshots(spark, root, fmt), list(last.values()))
 
 
 def write_snapshot(df: DataFrame, root: str, run_date: str | Column | None = None, fmt: str = "parquet") -> None:
     """Write under ``snapshot_date=<run_date>`` (or the frame's own
     ``snapshot_date`` column), replacing only the partitions written."""
     out = df if run_date is None else df.withColumn(SNAP, run_date if isinstance(run_date, Column) else F.lit(run_date).cast("date"))
+    if run_date is None:
+        out = out.repartition(SNAP)  # a drop's rows in few files, not one from every task
     (out.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
         .partitionBy(SNAP).save(root))
 
@@ -182,12 +194,17 @@ def register_views(views: Mapping[str, DataFrame]) -> None:
         d.createOrReplaceTempView(n)
 
 
-def ctas(spark: SparkSession, name: str, sql: str) -> DataFrame:
-    """``CREATE OR REPLACE TEMP VIEW name AS sql`` and return it."""
-    spark.sql(f"CREATE OR REPLACE TEMP VIEW {name} AS {sql}")
+def ctas(spark: SparkSession, name: str, sql: str, path: str) -> DataFrame:
+    """``CREATE TABLE name AS sql``, stored in the (shared) folder ``path``, and return it."""
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' AS {sql}")
     return spark.table(name)
 
 
+def drop_table(spark: SparkSession, name: str) -> None:
+    """Forget the table (an external table's files stay)."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def write_bundle(path: str, tables: Mapping[str, DataFrame], fmt: str = "parquet") -> None:
     """Several named result tables delivered together, one sub-folder each."""
     for n, d in tables.items():
