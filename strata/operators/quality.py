@@ -154,13 +154,24 @@ def _with_rows(ok: float) -> Column:
     return F.when(F.count(F.lit(1)) >= 0, F.lit(ok))
 
 
-def run_suite(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """Evaluate checks: aggregates in one pass, then one row per check."""
-    aggs = [(i, c) for i, c in enumerate(checks) if not c.scalar]
-    base = df.agg(*[c.observed.cast("double").alias(f"_o{i}") for i, c in aggs]) if aggs else df.sparkSession.range(1).drop("id")
+def last_two(per: DataFrame, period: str) -> DataFrame:
+    """The newest two rows of a period-grain frame as one row: ``now_<c>`` and
+    ``prev_<c>`` (null where there is no previous period). One scan for both sides."""
+    values = [c for c in per.columns if c != period]
+    two = per.orderBy(F.col(period).desc()).limit(2).agg(
+        F.sort_array(F.collect_list(F.struct(period, *values)), asc=False).alias("_two"))
+    at = lambda i, c: F.try_element_at("_two", F.lit(i))[c]
+    return two.select(*[at(1, c).alias(f"now_{c}") for c in values], *[at(2, c).alias(f"prev_{c}") for c in values])
+
+
+def run_suite(df: DataFrame, checks: Sequence[Check], one_row: bool = False) -> DataFrame:
+    """Evaluate checks: aggregates in one pass, then one row per check.
+    ``one_row``: ``df`` is one row already, and values and bounds are its columns."""
+    aggs = [(i, c) for i, c in enumerate(checks) if not c.scalar and not one_row]
+    base = df if one_row else df.agg(*[c.observed.cast("double").alias(f"_o{i}") for i, c in aggs]) if aggs else df.sparkSession.range(1).drop("id")
     rows = []
     for i, c in enumerate(checks):
-        obs = c.observed.cast("double") if c.scalar else F.col(f"_o{i}")
+        obs = c.observed.cast("double") if c.scalar or one_row else F.col(f"_o{i}")
         lo = c.min if isinstance(c.min, Column) else F.lit(c.min)
         hi = c.max if isinstance(c.max, Column) else F.lit(c.max)
         lo, hi = lo.cast("double"), hi.cast("double")

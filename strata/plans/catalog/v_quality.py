@@ -134,12 +134,9 @@ def v13(spark, sf):
        f"(SELECT p - round_even(0.1 * p, 0) FROM (SELECT row_count AS p FROM {_PRELOAD_SQL} c ORDER BY load_date DESC LIMIT 1 OFFSET 1))",
        f"(SELECT p + round_even(0.1 * p, 0) FROM (SELECT row_count AS p FROM {_PRELOAD_SQL} c ORDER BY load_date DESC LIMIT 1 OFFSET 1))"))
 def v14(spark, sf):
-    log = _preload(spark, sf)
-    today = Q.last_log(log, "file_to_load", "orders_")
-    prev_log = log.join(today.select("load_date"), "load_date", "left_anti")
-    prev = Q.last_log(prev_log, "file_to_load", "orders_").select(F.max("row_count")).scalar()
-    now = today.select(F.max("row_count")).scalar()
-    return Q.run_suite(today, [Q.drift(now, prev, 10, scalar=True)])
+    log = _preload(spark, sf).filter(F.col("file_to_load").contains("orders_"))
+    two = Q.last_two(log.groupBy("load_date").agg(F.max("row_count").alias("rows")), "load_date")
+    return Q.run_suite(two, [Q.drift(F.col("now_rows"), F.col("prev_rows"), 10)], one_row=True)
 
 
 _MEASURES = ["Orders", "Revenue", "Fulfilled"]
@@ -152,14 +149,9 @@ _MEASURES = ["Orders", "Revenue", "Fulfilled"]
     for m in _MEASURES))
 def v15(spark, sf):
     v = view(spark, sf, "v_monthly").withColumn("Month", F.date_format("Daily", "yyyy-MM"))
-    # previous-run aggregate log: one sum per measure and month
-    log = A.monthly_sum(v, "Daily", _MEASURES, name="Month")
-    last = v.select(F.max("Month")).scalar()
-    today = v.filter(F.col("Month") == last)
-    prev_month = log.filter(F.col("Month") < last).select(F.max("Month")).scalar()
-    prev = log.filter(F.col("Month") == prev_month)
-    checks = [Q.drift(F.sum(m), prev.select(F.max(m)).scalar(), 30, name="column_drift", column=m) for m in _MEASURES]
-    return Q.run_suite(today, checks)
+    two = Q.last_two(A.monthly_sum(v, "Daily", _MEASURES, name="Month"), "Month")
+    checks = [Q.drift(F.col(f"now_{m}"), F.col(f"prev_{m}"), 30, name="column_drift", column=m) for m in _MEASURES]
+    return Q.run_suite(two, checks, one_row=True)
 
 
 @query("v16_not_decreasing", oracle=_row("not_decreasing", "Answer", "(SELECT count_if(Answer = 'Yes') FROM v_answers)",
@@ -177,10 +169,8 @@ def v16(spark, sf):
        hard=False))
 def v17(spark, sf):
     m = view(spark, sf, "v_messages")
-    last = m.select(F.max("Date")).scalar()
-    prev_d = m.filter(F.col("Date") < last).select(F.max("Date")).scalar()
-    prev = m.filter(F.col("Date") == prev_d).select(F.count_distinct("Supplier")).scalar()
-    return Q.run_suite(m.filter(F.col("Date") == last), [Q.Check.distinct_between("Supplier", prev, prev, hard=False)])
+    two = Q.last_two(m.groupBy("Date").agg(F.count_distinct("Supplier").alias("n")), "Date")
+    return Q.run_suite(two, [Q.Check("distinct_between", F.col("now_n"), F.col("prev_n"), F.col("prev_n"), "Supplier", hard=False)], one_row=True)
 
 
 @query("v18_calendar", oracle=_row("calendar", "Date", "count(DISTINCT Date)", "(SELECT dayofmonth(last_day(max(Date))) FROM v_clicks)",
