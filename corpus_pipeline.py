@@ -21,7 +21,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those in no learned language."""
     predicted = lid.predict(docs, lid.train(docs), keep=docs.columns)
     known = (F.col("lang_pred") != "und") & (F.col("bits_per_byte") < MAX_BITS_PER_BYTE)
-    return predicted.where(known).select(*docs.columns)
+    return predicted.where(known).select("kept.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture in its order: no source has over a fifth of it, smaller ones are read again instead."""
     mixture = mix(docs, block=8, period=200, max_share=0.2, keep=docs.columns)
     ordered = mixture.repartitionByRange("mix.slot").sortWithinPartitions("mix.slot", "mix.place")
-    return ordered.select(*docs.columns)
+    return ordered.select("kept.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -117,12 +117,12 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents")
     out = language_id.predict(docs, language_id.train(docs))
-    return out.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
+    return out.select("kept.doc_id", language_id.held_out(F.col("kept.doc_id")).alias("held_out"), "lang_pred", "score", "bits_per_byte")
 
 
 @_register("op1_source_mix")
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(load(spark, sf_dir, "documents"), block=8, period=200, max_share=0.2).select("doc_id", "mix.*")
+    return mix(load(spark, sf_dir, "documents"), block=8, period=200, max_share=0.2).select("kept.doc_id", "mix.*")
 
 
 @_register("op8_shards")

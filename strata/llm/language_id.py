@@ -8,8 +8,9 @@ language whose tree gives it the shortest exact code length.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ class Trees:
     node_escape: np.ndarray  # node -> bits of its escape
     quad: np.ndarray  # node * 256 + byte, sorted
     quad_bits: np.ndarray  # number -> bits of the byte after the node
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)  # tells models apart in a worker that outlives them
 
 
 def _bits(count, total, distinct, lower):
@@ -118,7 +120,7 @@ class Scorer:
 
     @classmethod
     def of(cls, broadcast) -> Scorer:
-        key = id(broadcast.value)
+        key = broadcast.value.key
         if key not in cls._ready:
             cls._ready.clear()
             cls._ready[key] = cls(broadcast.value)
@@ -225,7 +227,7 @@ def train(
 
 
 def predict(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Returns the columns ``keep`` (default: the id), ``lang_pred, score, bits_per_byte``.
+    """Returns ``kept`` (a struct of the columns ``keep``, default: the id), ``lang_pred, score, bits_per_byte``.
 
     ``score`` is the best language's share of the probability that all
     languages' models together give the whole text (equal priors).
@@ -261,4 +263,4 @@ def predict(docs: DataFrame, trees: Trees, id_col: str = "doc_id", text_col: str
 
     schema = ", ".join(f"k{i} {ready.schema[f'k{i}'].dataType.simpleString()}" for i in range(len(keep)))
     out = ready.mapInArrow(run, f"{schema}, lang_pred string, score double, bits_per_byte double")
-    return out.select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], "lang_pred", "score", "bits_per_byte")
+    return out.select(F.struct(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)]).alias("kept"), "lang_pred", "score", "bits_per_byte")

@@ -60,7 +60,8 @@ def mix(
     docs: DataFrame, weights: dict[str, int] | None = None, block: int = 8, period: int = 200, max_share: float = 0.2,
     id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", keep: list[str] | None = None,
 ) -> DataFrame:
-    """The mixture: kept columns and a struct ``mix`` of ``slot, place, source, block, epoch, release, deadline``.
+    """The mixture: a struct ``kept`` of the columns ``keep`` (default: the id) and a struct ``mix`` of
+    ``slot, place, source, block, epoch, release, deadline``.
 
     Blocks are ``block`` documents of one source in the order of a hash of id
     and text (its last may have fewer). ``slot`` is the block's place in the mixture and
@@ -116,7 +117,7 @@ def mix(
         "kept", "source", "ticks", "blocks", "slots", first.alias("block"), (F.col("rank") % block).cast("int").alias("place"),
         F.explode(F.sequence(first, F.col("ticks") * periods - 1, F.col("blocks"))).alias("j"))
     j, a = F.col("j"), F.col("ticks")
-    return turns.select("kept.*", F.struct(
+    return turns.select("kept", F.struct(
         (F.floor(j / a) * cycle + F.get("slots", (j % a).cast("int"))).cast("long").alias("slot"), "place",
         F.col("source"), "block", F.floor(j / F.col("blocks")).cast("long").alias("epoch"),
         F.floor(j * cycle / a).cast("long").alias("release"), F.ceil((j + 1) * cycle / a).cast("long").alias("deadline")).alias("mix"))

@@ -150,7 +150,7 @@ def test_language_id_code_lengths(spark):
     learned = [(t, l) for i, t, l in rows if t is not None and l and i is not None and not plain.held_out(i)]
     models = {x: plain.Ppm([t for t, l in learned if l == x]) for x in trees.langs}
     kept = {c for m in models.values() for c, n in m.next.items() if len(c) == 3 and sum(n.values()) >= 4}
-    out = {(r.doc_id, r.text): r for r in language_id.predict(df, trees, keep=["doc_id", "text"]).collect()}
+    out = {(r.doc_id, r.text): r for r in language_id.predict(df, trees, keep=["doc_id", "text"]).select("kept.*", "lang_pred", "score", "bits_per_byte").collect()}
     assert language_id.predict(df, trees).count() == len(rows)
     for i, t, _ in rows:
         r = out[(i, t)]
@@ -271,7 +271,7 @@ def test_url_filter(spark):
 
 def test_mix_keeps_every_document_and_every_window(docs, empty):
     keep = ["doc_id", "text", "source", "slot"]
-    rows = mixing.mix(docs, block=2, period=20, keep=keep).collect()
+    rows = mixing.mix(docs, block=2, period=20, keep=keep).select("kept.*", "mix").collect()
     assert {(r.doc_id, r.text) for r in rows} == {(r[0], r[1]) for r in DOCS}
     once = [r for r in rows if r.mix.epoch == 0]
     assert sorted(((r.doc_id, r.text, r.source) for r in once), key=repr) == sorted(((r[0], r[1], r[3]) for r in DOCS), key=repr)

@@ -102,3 +102,23 @@ def test_pipeline_stages_against_plain_versions(spark):
 def test_pipeline_runs_and_keeps_to_its_stages(spark):
     out = corpus_pipeline.run(spark, SF_SMALL)
     assert out.columns == ["doc_id", "size", "text_crc32", "shard", "slot"] and out.count() > 0
+
+
+def test_stages_take_odd_rows_and_clashing_columns(spark):
+    """Nulls in any column, empty and repeated rows, and extra columns that the operators use themselves."""
+    text = "the quick brown fox jumps over the lazy dog and runs away from the old hunter"
+    rows = [(1, text, "en", "a"), (2, text.upper(), "en", None), (None, text + " x", None, "a"), (4, None, "en", "a"), (5, "", "en", "b"), (6, "12 34", None, None),
+            (7, "eine ganz andere geschichte von einem alten mann und seinem hund im wald", "de", "b"), (7, "eine ganz andere geschichte von einem alten mann und seinem hund im wald", "de", "b"),
+            (8, "kurz", "de", None), (9, "Released under a license", "en", "b"), (None, None, None, None), (None, "solo words here", "en", "b")]
+    extra = ["mix", "kept", "score", "lang_pred", "component", "hits", "slot", "shard", "row_hash", "id", "label", "nid"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{c}` int" for c in extra)
+    docs = spark.createDataFrame([(*r, len(r[1] or ""), *range(len(extra))) for r in rows], schema)
+    for frame in (docs, docs.limit(0)):
+        current = frame
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            current = corpus_pipeline.settle(stage(spark, current, SF_SMALL), f"odd-{name}")
+            assert current.columns == docs.columns, name
+        out = corpus_pipeline.STAGES[-1][1](spark, current, SF_SMALL)
+        kept = {(r.doc_id, r.text) for r in current.collect()}
+        assert kept == ({(1, text), (7, rows[6][1]), (8, "kurz"), (9, rows[9][1]), (None, "solo words here")} if frame is docs else set())
+        assert out.count() == current.count()
