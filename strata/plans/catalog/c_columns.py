@@ -5,6 +5,7 @@ from strata.functions import columns as C
 from strata.operators.projection import round_all
 from strata.plans.registry import query
 from strata.plans.standins import view
+from strata.sources.tables import table
 
 
 @query("c1_coerce", oracle="""
@@ -67,6 +68,19 @@ def c7(spark, sf):
     return view(spark, sf, "v_datetext").select("Id", C.parse_date("Date_Text", ["yyyy-MM-dd", "dd/MM/yyyy"]).alias("Parsed"))
 
 
+@query("c7_stamps", oracle="""
+SELECT event_id, CASE WHEN event_id % 3 = 2 THEN NULL ELSE ts END AS Stamp,
+       CASE WHEN event_id % 2 = 0 THEN CAST(date_trunc('month', ts) AS DATE) ELSE CAST(ts AS DATE) END AS Day FROM (
+  SELECT event_id, date_trunc('second', ts) AS ts FROM events) t""", dates=["Stamp", "Day"])
+def c7b(spark, sf):
+    """Stamps as ``dd-MM-yyyy HH:mm:ss`` (some broken), days as ``January-2024`` or ISO text."""
+    e = table(spark, sf, "events", ["event_id", "ts"])
+    stamp = F.when(F.col("event_id") % 3 == 2, "no stamp").otherwise(F.date_format("ts", "dd-MM-yyyy HH:mm:ss"))
+    day = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "MMMM-yyyy")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    return e.select("event_id", C.parse_timestamp(stamp, ["dd-MM-yyyy HH:mm:ss"]).cast("timestamp_ntz").alias("Stamp"),
+                    C.parse_date(day, ["yyyy-MM-dd", "MMMM-yyyy"]).alias("Day"))
+
+
 @query("c8_format", oracle="""
 SELECT Id, strftime(Date, '%Y-%m') AS Ym, strftime(Date, '%m-%Y') AS My, strftime(Date, '%Y-%m-%d') AS Ymd,
        CAST(strftime(Date, '%Y%m%d') AS BIGINT) AS Ymd_Int FROM v_datetext""")

@@ -326,3 +326,53 @@ SELECT CAST(date_trunc('month', Date) AS DATE) AS Month, OdsCode, sum(coalesce(T
 def m61b(spark, sf):
     u = view(spark, sf, "v_usage_wide").select("Date", "OdsCode", C.coerce("Logins").alias("Logins"), C.coerce("RecordViews").alias("RecordViews"))
     return A.month_wide(u, "Date", ["OdsCode"], ["Logins", "RecordViews"])
+
+
+_UPTAKE = """
+WITH o AS (SELECT CAST(o_orderdate AS DATE) AS Date, o_custkey AS Practice, o_orderkey, o_orderstatus, CAST(floor(o_totalprice / 1000) AS BIGINT) AS Patients FROM orders),
+     a AS (SELECT Date, Practice, max(Patients) AS Patients FROM o GROUP BY ALL),
+     b AS (SELECT Date, Practice, CAST(count(*) AS BIGINT) AS Registrations FROM o WHERE o_orderstatus <> 'P' GROUP BY ALL),
+     d AS (SELECT Date, Practice, CAST(count(*) AS BIGINT) AS P9_Registrations FROM o WHERE o_orderstatus = 'F' GROUP BY ALL),
+     m AS (SELECT CAST(date_trunc('month', a.Date) AS DATE) AS Month, a.Practice, max(a.Patients) AS Patients,
+                  CAST(sum(b.Registrations) AS BIGINT) AS Registrations, CAST(sum(d.P9_Registrations) AS BIGINT) AS P9_Registrations
+           FROM a LEFT JOIN b ON a.Date = b.Date AND a.Practice = b.Practice LEFT JOIN d ON a.Date = d.Date AND a.Practice = d.Practice GROUP BY ALL)
+"""
+
+
+def _uptake_month(spark, sf):
+    """Month table of one stock (its maximum) and two flows (their sums), three day tables side by side."""
+    o = table(spark, sf, "orders", ["o_orderdate", "o_custkey", "o_orderstatus", "o_totalprice"]).select(
+        F.to_date("o_orderdate").alias("Date"), F.col("o_custkey").alias("Practice"), "o_orderstatus",
+        F.floor(F.col("o_totalprice") / 1000).cast("long").alias("Patients"))
+    keys = ["Date", "Practice"]
+    a = o.groupBy(*keys).agg(F.max("Patients").alias("Patients"))
+    b = A.count_by(o.filter(F.col("o_orderstatus") != "P"), keys, name="Registrations")
+    d = A.count_by(o.filter(F.col("o_orderstatus") == "F"), keys, name="P9_Registrations")
+    wide = J.widen(a, {"Patients": (a, "Patients"), "Registrations": (b, "Registrations"), "P9_Registrations": (d, "P9_Registrations")}, keys)
+    return wide.groupBy(F.trunc("Date", "MM").alias("Month"), "Practice").agg(
+        F.max("Patients").alias("Patients"), F.sum("Registrations").alias("Registrations"), F.sum("P9_Registrations").alias("P9_Registrations"))
+
+
+@query("m61_uptake_month", oracle=_UPTAKE + "SELECT * FROM m", dates=["Month"])
+def m61c(spark, sf):
+    return _uptake_month(spark, sf)
+
+
+@query("m61_uptake_totals", oracle=_UPTAKE + """
+SELECT Practice, max(Patients) AS Patients, CAST(sum(Registrations) AS BIGINT) AS Registrations, CAST(sum(P9_Registrations) AS BIGINT) AS P9_Registrations
+FROM m GROUP BY Practice""")
+def m61d(spark, sf):
+    return _uptake_month(spark, sf).groupBy("Practice").agg(
+        F.max("Patients").alias("Patients"), F.sum("Registrations").alias("Registrations"), F.sum("P9_Registrations").alias("P9_Registrations"))
+
+
+@query("m52_submissions", oracle="""
+SELECT s.o_orderkey, replace(CAST(s.Code AS VARCHAR) || CASE WHEN s.Code % 3 = 0 THEN chr(160) ELSE '' END, chr(160), '') AS ODS, s.Snapshot_Date, c.c_nationkey AS STP_Code
+FROM v_status s LEFT JOIN customer c ON CAST(c.c_custkey AS VARCHAR) = replace(CAST(s.Code AS VARCHAR) || CASE WHEN s.Code % 3 = 0 THEN chr(160) ELSE '' END, chr(160), '')""",
+       dates=["Snapshot_Date"])
+def m52b(spark, sf):
+    """Every submission with its STP: codes lose their no-break spaces before the join."""
+    raw = F.concat(F.col("Code").cast("string"), F.when(F.col("Code") % 3 == 0, "\u00a0").otherwise(""))
+    s = view(spark, sf, "v_status").select("o_orderkey", raw.alias("Raw"), "Snapshot_Date").withColumn("ODS", C.strip_nbsp("Raw")).drop("Raw")
+    c = table(spark, sf, "customer", ["c_custkey", "c_nationkey"]).select(F.col("c_custkey").cast("string").alias("ODS"), F.col("c_nationkey").alias("STP_Code"))
+    return s.join(c, "ODS", "left")

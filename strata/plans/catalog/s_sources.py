@@ -196,3 +196,15 @@ def s17b(spark, sf):
     o.withColumn("drop", month).drop("o_orderdate").repartition("drop").write.partitionBy("drop").parquet(root)
     rows = spark.read.option("recursiveFileLookup", "true").schema("o_orderkey LONG, o_totalprice DOUBLE").parquet(root)
     return S.with_snapshot_date(rows, source="path", pattern=r"drop=(\d{4}-\d{2}-\d{2})")
+
+
+@query("s9_page_as_of", oracle="""
+SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 3 THEN NULL ELSE CAST(o_orderdate AS DATE) END AS As_Of FROM orders""", dates=["As_Of"])
+def s9c(spark, sf):
+    """Pages with their "current as of" date in several layouts, some without."""
+    o = table(spark, sf, "orders", ["o_orderkey", "o_orderdate"])
+    day = F.when(F.col("o_orderkey") % 4 == 0, F.date_format("o_orderdate", "d MMMM yyyy")).when(
+        F.col("o_orderkey") % 4 == 1, F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    intro = F.when(F.col("o_orderkey") % 4 == 3, "<p>Published ").otherwise("<p>Data current as of <b>")
+    pages = o.select("o_orderkey", F.concat(F.lit("<html><h1>12,345 records</h1>"), intro, day, F.lit("</b></p></html>")).alias("html"))
+    return S.page_as_of(pages, "html", keep=["o_orderkey"])

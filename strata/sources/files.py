@@ -153,6 +153,15 @@ def extract_page_numbers(pages: DataFrame, html: str, names: Sequence[str], keep
     return pages.select(*keep, *[F.try_element_at(nums, F.lit(i + 1)).try_cast("long").alias(n) for i, n in enumerate(names)])
 
 
+def page_as_of(pages: DataFrame, html: str, phrase: str = "current as of", keep: Sequence[str] = (), name: str = "As_Of") -> DataFrame:
+    """The date that follows ``phrase`` in a page's visible text (``5 January
+    2024``, ``05/01/2024`` or ``2024-01-05``), null if there is none."""
+    text = F.regexp_replace(F.col(html), r"<[^>]*>", " ")
+    found = F.regexp_extract(text, rf"(?i){re.escape(phrase)}\s+(\d{{4}}-\d{{2}}-\d{{2}}|\d{{1,2}}/\d{{1,2}}/\d{{4}}|\d{{1,2}} [A-Za-z]+ \d{{4}})", 1)
+    day = F.coalesce(F.try_to_date(found, "yyyy-MM-dd"), F.try_to_date(found, "d/M/yyyy"), F.try_to_date(found, "d MMMM yyyy"))
+    return pages.select(*keep, day.alias(name))
+
+
 def page_links(pages: DataFrame, html: str, substring: str, keep: Sequence[str] = ()) -> DataFrame:
     """Every ``href`` of a page containing ``substring`` (one row each)."""
     hrefs = F.regexp_extract_all(F.col(html), F.lit(r'href="([^"]*)"'), 1)
