@@ -190,11 +190,11 @@ def topk(
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"uid": [], "query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("uid", "query_id", "vec_id", "score")})
         uids, own = right["uid"].to_numpy(np.int64), right["vec_id"].to_numpy(np.int64)
         matrix = _matrix(right["v"], max(map(len, right["v"])))
         found = [(uids[j], own[j], vec, score) for _, block in left.iterrows() for j, vec, score in search_block(block, matrix, own, k)]
-        return pd.DataFrame(found, columns=["uid", "query_id", "vec_id", "score"])
+        return pd.DataFrame(np.array(found, dtype=np.int64).reshape(-1, 4), columns=["uid", "query_id", "vec_id", "score"])
 
     spread_index = index.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
     spread_query = queries.withColumn("index_block", F.explode(F.sequence(F.lit(0), F.lit(n_index - 1))))

@@ -23,18 +23,19 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return ascii_lower(F.regexp_extract(rest, r"^([^/?#]*)", 1)), F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
 
 
-def domains(host: Column) -> Column:
-    """The host and the domains above it."""
-    labels = F.split(host, r"\.", -1)
-    return F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+def domains(host: Column, most: int) -> Column:
+    """The host's last label, its last two labels, and so on: ``most`` labels at most, or the whole host."""
+    labels = F.least(F.size(F.split(host, r"\.", -1)), F.lit(most))
+    return F.transform(F.sequence(F.lit(1), labels), lambda i: F.call_function("substring_index", host, F.lit("."), -i))
 
 
 def apply_rules(rows: DataFrame, rules: DataFrame) -> DataFrame:
     """``rows`` (uid, host, path, ...) with ``rule`` and ``action`` of the longest rule that fits, else null."""
     wanted = rules.select(
         F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "action", F.concat("host", "path").alias("rule"))
+    most = rules.agg(F.max(F.size(F.split("host", r"\.", -1)))).first()[0] or 1  # labels of the longest rule
     fits = (
-        rows.where(F.col("host") != "").select("uid", "path", F.explode(domains(F.col("host"))).alias("rule_host"))
+        rows.where(F.col("host") != "").select("uid", "path", F.explode(domains(F.col("host"), most)).alias("rule_host"))
         .join(wanted, "rule_host").where(F.col("path").startswith(F.col("rule_path")))
         .groupBy("uid").agg(F.max(F.struct(F.char_length("rule").alias("size"), "rule", "action")).alias("best")))
     return rows.join(fits.select("uid", "best.rule", "best.action"), "uid", "left")
