@@ -42,7 +42,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def running_total(
-    df: DataFrame, key: str, order: list[str], value: Column, name: str, rows_per_bucket: int = 2_000
+    df: DataFrame, key: str, order: list[str], value: Column, name: str, rows_per_bucket: int = 500
 ) -> DataFrame:
     """Exclusive running sum of ``value`` within ``key``, along ``order``, for keys of any size.
 
