@@ -2,8 +2,8 @@
 
 Documents with equal shingle sets become one node first. Two linked nodes
 share a shingle of their prefixes (the rarest fifth of each set in one global
-order), so every shingle sends its nodes to the block of its smallest node, and
-linked nodes meet in a block. In a block the nodes are the leaves of a
+order; of the smaller one the rarest ninth), so every shingle sends its nodes to the
+block of its smallest node of about their size, and linked nodes meet in a block. In a block the nodes are the leaves of a
 signature tree: inner nodes hold the OR of the token bitmaps, the range of
 set sizes and the largest bitmap excess. A dual traversal of the tree drops pairs of
 subtrees whose largest possible overlap is too small, or that are connected
@@ -61,9 +61,16 @@ class Shingler:
 
 
 def prefix_length(n: int, percent: int) -> int:
+    """Two linked sets share a shingle of their prefixes of this length (in any common order)."""
     return n - -(-percent * n // 100) + 1
 
 
+def index_length(n: int, percent: int) -> int:
+    """The smaller of two linked sets has the first common shingle in a prefix of this length:
+    the shingles from there on must hold the whole overlap, 2 * percent / (100 + percent) of it or more."""
+    return n - -(-2 * percent * n // (100 + percent)) + 1
+
+
 def _describe(k: int):
     """(id, row_hash, n, node, size) of every row, and the task's share of the document frequency sketch."""
 
@@ -111,7 +118,8 @@ def _pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(k: int, percent: int, levels):
-    """(token, node, n): the prefix of every node in the global order (frequency level, then hash)."""
+    """(token, nid, n): the prefix of every node in the global order (frequency level, then hash).
+    ``n`` is twice the set's size, plus 1 for shingles of the shorter index prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, unzip, last = Shingler(k), zstandard.ZstdDecompressor(), None
@@ -126,13 +134,14 @@ def _prefixes(k: int, percent: int, levels):
                 order = np.lexsort((s, level[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]))
                 tokens.append(s[order[: prefix_length(len(s), percent)]].view(np.int64))
                 nodes.append(node)
-                sizes.append(len(s))
+                flags = np.full(len(tokens[-1]), 2 * len(s), np.int32)
+                flags[: index_length(len(s), percent)] += 1
+                sizes.append(flags)
             if tokens:
                 times = [len(t) for t in tokens]
-                at = pa.array(np.repeat(np.arange(len(nodes)), times))
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate(tokens)), pa.array(nodes, pa.binary()).take(at), pa.array(np.repeat(np.array(sizes, np.int64), times))],
-                    ["token", "node", "n"])
+                    pa.array(np.concatenate(tokens)), pa.array(np.repeat(np.array(nodes, np.int64), times)), pa.array(np.concatenate(sizes))],
+                    ["token", "nid", "n"])
 
     return run
 
@@ -238,7 +247,7 @@ def traverse(x: Tree, y: Tree, sets_x: list, sets_y: list, classes: Classes, off
                 stack.append((max(p - 1, 0), a, max(q - 1, 0), b))
 
 
-def _block_links(nodes: list, classes: list, sides: list, sets: list, percent: int) -> list[tuple[bytes, bytes]]:
+def _block_links(nodes: list, classes: list, sides: list, sets: list, percent: int) -> list[tuple[int, int]]:
     """New connections of a block: each node with the first node of its class, without those known before.
     ``sides``: 0 and 1 for a pair of blocks (only pairs with a member of side 0 are asked for)."""
     order = sorted(range(len(nodes)), key=lambda i: (sides[i], int(sets[i][0]), len(sets[i])))
@@ -259,11 +268,11 @@ def _block_links(nodes: list, classes: list, sides: list, sets: list, percent: i
 
 
 def _links(k: int, percent: int):
-    """Rows (block, side, class, node, packed) sorted by block -> links; one block is held at a time."""
+    """Rows (block, side, class, nid, packed) sorted by block -> links; one block is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, unzip = Shingler(k), zstandard.ZstdDecompressor()
-        out: list[tuple[bytes, bytes]] = []
+        out: list[tuple[int, int]] = []
         block, nodes, classes, sides, sets = None, [], [], [], []
 
         def finish():
@@ -271,7 +280,7 @@ def _links(k: int, percent: int):
                 out.extend(_block_links(nodes, classes, sides, sets, percent))
 
         def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()), pa.array([r[1] for r in rows], pa.binary())], ["a", "b"])
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], ["a", "b"])
 
         for batch in batches:
             for key, side, known, node, packed in zip(*(c.to_pylist() for c in batch.columns)):
@@ -294,19 +303,19 @@ def _links(k: int, percent: int):
 
 
 def components(edges: DataFrame, start: DataFrame) -> DataFrame:
-    """(node, label): the smallest label reachable over ``edges`` (a, b). ``start``: (node, label), a label is a
-    struct (id, node). Labels pass along the edges, then each node takes its label's label, until nothing changes."""
+    """(nid, label): the smallest label reachable over ``edges`` (a, b). ``start``: (nid, label), a label is a
+    struct that ends in a nid. Labels pass along the edges, then each node takes its label's label, until nothing changes."""
     both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = settle(both.select(F.col("a").alias("node")).distinct().join(start, "node").select("node", "label"), "labels")
+    labels = settle(both.select(F.col("a").alias("nid")).distinct().join(start, "nid").select("nid", "label"), "labels")
     while True:
-        heard = both.join(labels, both["a"] == labels["node"]).select(F.col("b").alias("node"), "label")
-        passed = settle(labels.unionByName(heard).groupBy("node").agg(F.min("label").alias("label")), "labels")
-        target = passed.select(F.col("node").alias("t"), F.col("label").alias("next"))
+        heard = both.join(labels, both["a"] == labels["nid"]).select(F.col("b").alias("nid"), "label")
+        passed = settle(labels.unionByName(heard).groupBy("nid").agg(F.min("label").alias("label")), "labels")
+        target = passed.select(F.col("nid").alias("t"), F.col("label").alias("next"))
         new = settle(
-            passed.join(target, F.col("label.node") == F.col("t"), "left")
-            .select("node", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
-        old = labels.select("node", F.col("label").alias("old"))
-        if new.join(old, "node").where(F.col("label") != F.col("old")).isEmpty():
+            passed.join(target, F.col("label.nid") == F.col("t"), "left")
+            .select("nid", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
+        old = labels.select("nid", F.col("label").alias("old"))
+        if new.join(old, "nid").where(F.col("label") != F.col("old")).isEmpty():
             return new
         labels = new
 
@@ -349,19 +358,24 @@ def jaccard_join(
     levels = spark.sparkContext.broadcast(level)
 
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_hash")).alias("first")
-    nodes = settle(rows.where(F.col("n") > 0).groupBy("node").agg(first, F.max("n").alias("n"), F.max("size").alias("size")).select(
-        "node", "n", "size", F.col("first.id").alias("first_id"), F.col("first.row_hash").alias("first_hash"),
-        F.struct(F.col("first.no_id").alias("no_id"), F.col("first.id").alias("id"), "node").alias("label")), "nodes")
+    nodes = settle(rows.where(F.col("n") > 0).groupBy("node").agg(first, F.max("size").alias("size")).select(
+        "node", "size", "first", F.monotonically_increasing_id().alias("nid")), "nodes")
+    start = nodes.select("nid", F.struct(F.col("first.no_id").alias("no_id"), F.col("first.id").alias("id"), "nid").alias("label"))
     packed = base.mapInArrow(_pack_texts, f"id {id_type}, row_hash long, packed binary")
-    texts = settle(packed.join(nodes.select("node", "first_id", "first_hash"), packed["id"].eqNullSafe(F.col("first_id")) & (
-        F.col("row_hash") == F.col("first_hash"))).select("node", "packed"), "node-texts")
-
-    tokens = texts.mapInArrow(_prefixes(k, percent, levels), "token long, node binary, n long")
-    entry = F.struct("n", "node")
-    own = Window.partitionBy("token")
-    members = tokens.withColumn("low", F.min(entry).over(own)).withColumn("high", F.max(entry).over(own))
-    members = settle(members.where(F.col("low") != F.col("high")).select(F.col("low.node").alias("leader"), "node").distinct(), "blocks")
-    sized = members.join(nodes.select("node", "size"), "node")
+    texts = settle(packed.join(nodes.select("nid", "first"), packed["id"].eqNullSafe(F.col("first.id")) & (
+        packed["row_hash"] == F.col("first.row_hash"))).select("nid", "packed"), "node-texts")
+
+    tokens = texts.mapInArrow(_prefixes(k, percent, levels), "token long, nid long, n int").select(
+        "token", "nid", F.shiftright("n", 1).alias("n"), (F.col("n") % 2 == 1).alias("indexed"))
+    order = Window.partitionBy("token").orderBy("n", "nid")
+    last = F.last(F.when(F.col("indexed"), F.col("n")), ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.last(F.when(F.col("indexed") & ~F.col("joined"), F.col("nid")), ignorenulls=True).over(
+        order.rowsBetween(Window.unboundedPreceding, 0))
+    # along the sizes, a node belongs to the block that is open, or opens one; a gap in the sizes closes it
+    runs = tokens.withColumn("joined", F.coalesce(100 * last >= percent * F.col("n"), F.lit(False))).withColumn("leader", opens)
+    members = settle(runs.where("joined").select("leader", "nid").distinct(), "blocks")
+    members = members.unionByName(members.select("leader", F.col("leader").alias("nid"))).distinct()
+    sized = members.join(nodes.select("nid", "size"), "nid")
 
     def parts(frame: DataFrame, keys: list[str]) -> DataFrame:
         """The number of parts of each block."""
@@ -370,50 +384,49 @@ def jaccard_join(
 
     def with_parts(frame: DataFrame, counted: DataFrame, keys: list[str]) -> DataFrame:
         """Each node with its part; settled counts, so that Spark can split a frequent block in the join."""
-        return frame.join(settle(counted, "parts"), keys).withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+        return frame.join(settle(counted, "parts"), keys).withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts")).cast("int"))
 
     def search(placed: DataFrame) -> DataFrame:
-        """``placed``: (block, side, class, node) -> links."""
-        sent = placed.join(texts, "node").select("block", "side", "class", "node", "packed")
+        """``placed``: (block, side, class, nid) -> links."""
+        sent = placed.join(texts, "nid").select("block", "side", "class", "nid", "packed")
         sent = sent.repartition("block").sortWithinPartitions("block")
-        return settle(sent.mapInArrow(_links(k, percent), "a binary, b binary"), "links")
+        return settle(sent.mapInArrow(_links(k, percent), "a long, b long"), "links")
 
-    in_parts = settle(with_parts(sized, parts(sized, ["leader"]), ["leader"]).select("leader", "node", "size", "parts", "part"), "parts")
-    none = F.lit(None).cast("binary")
-    every_part = in_parts.where((F.col("parts") > 1) & (F.col("node") == F.col("leader"))).select(
-        "leader", "node", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    placed = in_parts.select("leader", "node", "part").unionByName(every_part)
+    in_parts = settle(with_parts(sized, parts(sized, ["leader"]), ["leader"]).select("leader", "nid", "size", "parts", "part"), "parts")
+    every_part = in_parts.where((F.col("parts") > 1) & (F.col("nid") == F.col("leader"))).select(
+        "leader", "nid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    placed = in_parts.select("leader", "nid", "part").unionByName(every_part)
     links = search(placed.select(
-        F.concat(F.col("leader"), F.col("part").cast("string").cast("binary")).alias("block"), F.lit(0).alias("side"), none.alias("class"), "node"))
-    labels = components(links, nodes.select("node", "label"))
+        F.concat_ws(":", "leader", "part").alias("block"), F.lit(0).alias("side"), F.lit(None).cast("long").alias("class"), "nid"))
+    labels = components(links, start)
 
     # blocks of several parts: what isn't connected with the leader meets all other nodes of the block
-    large = in_parts.where(F.col("parts") > 1).select("leader", "node", "size")
-    class_of = nodes.select("node", "label").join(labels.select("node", F.col("label").alias("new")), "node", "left").select(
-        "node", F.coalesce("new", "label")["node"].alias("class"))
-    classed = large.join(class_of, "node").join(
-        class_of.select(F.col("node").alias("leader"), F.col("class").alias("core")), "leader")
-    loose = settle(classed.withColumn("loose", F.col("class") != F.col("core")).select("leader", "node", "size", "class", "loose"), "classed")
+    large = in_parts.where(F.col("parts") > 1).select("leader", "nid", "size")
+    class_of = start.join(labels.select("nid", F.col("label").alias("new")), "nid", "left").select(
+        "nid", F.coalesce("new", "label")["nid"].alias("class"))
+    classed = large.join(class_of, "nid").join(
+        class_of.select(F.col("nid").alias("leader"), F.col("class").alias("core")), "leader")
+    loose = settle(classed.withColumn("loose", F.col("class") != F.col("core")).select("leader", "nid", "size", "class", "loose"), "classed")
     open_blocks = loose.where("loose").select("leader").distinct()
     loose = loose.join(open_blocks, "leader")
     if not loose.isEmpty():
         cut = settle(with_parts(loose, parts(loose, ["leader", "loose"]), ["leader", "loose"]), "parts")
-        heads = cut.where("loose").select("leader", F.col("part").alias("p"), F.col("parts").alias("n_p")).distinct()
+        heads = cut.where("loose").select("leader", F.col("part").alias("p")).distinct()
         tails = cut.select("leader", "loose", F.col("part").alias("q")).distinct()
         pairs = settle(heads.join(tails, "leader").where(~F.col("loose") | (F.col("q") >= F.col("p"))).select(
             "leader", "p", "loose", "q"), "part-pairs")
-        key = F.concat(F.col("leader"), F.concat_ws(":", "p", F.col("loose").cast("string"), "q").cast("binary")).alias("block")
-        near = pairs.join(cut.where("loose").select("leader", F.col("part").alias("p"), "node", "class"), ["leader", "p"]).select(
-            key, F.lit(0).alias("side"), "class", "node")
+        key = F.concat_ws(":", "leader", "p", F.col("loose").cast("string"), "q").alias("block")
+        near = pairs.join(cut.where("loose").select("leader", F.col("part").alias("p"), "nid", "class"), ["leader", "p"]).select(
+            key, F.lit(0).alias("side"), "class", "nid")
         far = pairs.where(~F.col("loose") | (F.col("q") != F.col("p"))).join(
-            cut.select("leader", "loose", F.col("part").alias("q"), "node", "class"), ["leader", "loose", "q"]).select(
-            key, F.lit(1).alias("side"), "class", "node")
+            cut.select("leader", "loose", F.col("part").alias("q"), "nid", "class"), ["leader", "loose", "q"]).select(
+            key, F.lit(1).alias("side"), "class", "nid")
         more = search(near.unionByName(far))
-        labels = components(links.unionByName(more), nodes.select("node", "label"))
+        labels = components(links.unionByName(more), start)
 
-    component = settle(nodes.select("node", "label").join(labels.select("node", F.col("label").alias("new")), "node", "left").select(
-        "node", F.coalesce("new", "label").alias("top")).select(
-        "node", F.col("top.id").alias("component_id"), F.col("top.node").alias("component")), "components")
+    top = start.join(labels.select("nid", F.col("label").alias("new")), "nid", "left").select("nid", F.coalesce("new", "label").alias("top"))
+    component = settle(nodes.select("node", "nid").join(top, "nid").select(
+        "node", F.col("top.id").alias("component_id"), F.col("top.nid").alias("component")), "components")
     return rows.join(component, "node", "left").select(
         "id", "row_hash", F.col("n").alias("n_shingles"),
         F.when(F.col("component").isNotNull(), F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "component")
