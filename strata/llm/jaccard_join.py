@@ -26,38 +26,127 @@ from strata.llm.common import settle, small_batches
 SKETCH_BITS = 21
 PIECES = 32
 TREE_BITS = 2048
+FILTER_BITS = 23
 FANOUT = 8
 BLOCK_NODES, BLOCK_BYTES = 512, 16 << 20
 
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F,
-                     0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
-
-
-class Shingler:
-    """Distinct k-word shingles of a text as sorted 64-bit hashes; word hashes are remembered."""
-
-    def __init__(self, k: int):
-        self.k, self.known = k, {}
-
-    def __call__(self, text: str | None) -> np.ndarray:
-        words = (text or "").encode().lower().split()  # bytes: lowers A-Z only, splits at ASCII blanks only
-        if not words:
-            return np.zeros(0, np.uint64)
-        known = self.known
-        if len(known) > 500_000:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh3_64_intdigest(w)
-        h = np.array([known[w] for w in words], dtype=np.uint64)
-        k = min(self.k, len(h))
-        with np.errstate(over="ignore"):
-            out = np.full(len(h) - k + 1, np.uint64(k))
-            for i in range(k):
-                out = (out ^ (out >> np.uint64(29))) * _FACTORS[i % 8] + h[i: len(h) - k + 1 + i]
-            out ^= out >> np.uint64(32)
-            out *= _FACTORS[5]
-            out ^= out >> np.uint64(29)
-        return np.unique(out)
+CHUNK = 2 << 20  # bytes whose words are hashed together
+
+_MASK = (1 << 64) - 1
+
+
+def _mixed(n: int) -> int:
+    """A fixed 64-bit number for ``n`` (the finaliser of splitmix64)."""
+    n = (n + 1) * 0x9E3779B97F4A7C15 & _MASK
+    n = (n ^ n >> 30) * 0xBF58476D1CE4E5B9 & _MASK
+    n = (n ^ n >> 27) * 0x94D049BB133111EB & _MASK
+    return n ^ n >> 31
+
+
+_BLANK = np.zeros(256, dtype=bool)
+_BLANK[[9, 10, 11, 12, 13, 32]] = True
+_LOWERED = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)])
+_BYTE = np.array([_mixed(b) for b in range(256)], dtype=np.uint64)[_LOWERED]  # A-Z count as a-z
+_STEP = _mixed(1000) | 1
+_PLACE = np.array([_mixed(2000 + i) | 1 for i in range(64)], dtype=np.uint64)  # factor of a shingle's i-th word
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.multiply.accumulate(np.full(n, base, dtype=np.uint64))
+
+
+class _Powers:
+    """Powers of the step and of its inverse modulo 2**64, as many as were needed so far."""
+
+    up = down = np.zeros(0, np.uint64)
+
+    @classmethod
+    def of(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            n = max(n, CHUNK + 4096)
+            cls.up, cls.down = _powers(_STEP, n), _powers(pow(_STEP, -1, 1 << 64), n)
+        return cls.up[:n], cls.down[:n]
+
+
+def _finish(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def _words(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, 64-bit hash) of each word: runs of other bytes than ASCII blanks. A word's hash is the
+    polynomial of its bytes, had for all words at once from one running sum."""
+    blank = np.concatenate([[True], _BLANK[data], [True]])
+    edges = np.flatnonzero(blank[1:] != blank[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return starts, np.zeros(0, np.uint64)
+    up, down = _Powers.of(len(data))
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * up[: len(data)], dtype=np.uint64)])
+    return starts, _finish((total[ends] - total[starts]) * down[starts])
+
+
+def _long_words(data: np.ndarray) -> np.ndarray:
+    """Word hashes of one long text, chunk by chunk; a chunk ends at a blank."""
+    out, at = [], 0
+    while at < len(data):
+        end = min(len(data), at + CHUNK)
+        while end < len(data) and not _BLANK[data[end]]:
+            gap = np.flatnonzero(_BLANK[data[end: end + CHUNK]])
+            end = end + int(gap[0]) if len(gap) else min(len(data), end + CHUNK)
+        out.append(_words(data[at:end])[1])
+        at = end
+    return np.concatenate(out)
+
+
+def _shingles(words: np.ndarray, k: int) -> np.ndarray:
+    h = np.full(len(words) - k + 1, np.uint64(_mixed(3000 + k)))
+    for i in range(k):
+        h += words[i: len(words) - k + 1 + i] * _PLACE[i % 64]
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0x9E3779B97F4A7C15)
+    return _finish(h)
+
+
+def _distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    if len(h) > 1:
+        new = np.concatenate([[True], h[1:] != h[:-1]])
+        h = h if new.all() else h[new]
+    return h
+
+
+def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
+    """Distinct k-word shingles of every text as sorted 64-bit hashes; A-Z are lower-cased, and a
+    text of fewer words is one shingle. Short texts are hashed together."""
+    out: list = [None] * len(texts)
+    held, size = [], 0
+
+    def one(words: np.ndarray) -> np.ndarray:
+        return _distinct(_shingles(words, min(k, len(words)))) if len(words) else np.zeros(0, np.uint64)
+
+    def flush():
+        data = np.frombuffer(b" ".join(texts[i] for i in held), np.uint8)
+        starts, words = _words(data)
+        begins = np.cumsum([0] + [len(texts[i]) + 1 for i in held])
+        cuts = np.searchsorted(starts, begins)
+        every = _shingles(words, k) if len(words) >= k else None
+        for i, a, b in zip(held, cuts, cuts[1:]):
+            out[i] = _distinct(every[a: b - k + 1]) if b - a >= k else one(words[a:b])
+
+    for i, text in enumerate(texts):
+        if len(text) > CHUNK:
+            out[i] = one(_long_words(np.frombuffer(text, np.uint8)))
+            continue
+        held.append(i)
+        size += len(text) + 1
+        if size > CHUNK:
+            flush()
+            held, size = [], 0
+    if held:
+        flush()
+    return out
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -71,23 +160,27 @@ def index_length(n: int, percent: int) -> int:
     return n - -(-2 * percent * n // (100 + percent)) + 1
 
 
+def _bucket(hashes: np.ndarray) -> np.ndarray:
+    return (hashes & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
+
+
 def _describe(k: int):
     """(id, row_hash, n, node, size) of every row, and the task's share of the document frequency sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, counts = Shingler(k), np.zeros(1 << SKETCH_BITS, np.uint32)
+        counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         id_type = pa.null()
         names = ["id", "row_hash", "n", "node", "size", "piece", "counts"]
         for batch in batches:
             id_type = batch.schema.field(0).type
-            n, node, size = [], [], []
-            for text in batch.column(2).to_pylist():
-                s = shingles(text)
-                n.append(len(s))
-                node.append(xxhash.xxh3_128_digest(s.tobytes()))
-                size.append(len(text or "") + 8 * len(s))
-                np.add.at(counts, (s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), 1)
+            texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
+            sets = shingle_sets(texts, k)
+            n = [len(s) for s in sets]
+            node = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            size = [len(t) + 8 * len(s) for t, s in zip(texts, sets)]
             rows = batch.num_rows
+            if any(n):
+                counts += np.bincount(_bucket(np.concatenate(sets)), minlength=1 << SKETCH_BITS).astype(np.uint32)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(size, pa.int64()),
                 pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
@@ -122,16 +215,16 @@ def _prefixes(k: int, percent: int, levels):
     ``n`` is twice the set's size, plus 1 for shingles of the shorter index prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, unzip, last = Shingler(k), zstandard.ZstdDecompressor(), None
+        unzip, last = zstandard.ZstdDecompressor(), None
         level = levels.value
         for batch in batches:
             tokens, nodes, sizes = [], [], []
-            for node, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            every = shingle_sets([unzip.decompress(p) for p in batch.column(1).to_pylist()], k)
+            for node, s in zip(batch.column(0).to_pylist(), every):
                 if node == last:
                     continue
                 last = node
-                s = shingles(unzip.decompress(packed).decode())
-                order = np.lexsort((s, level[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)]))
+                order = np.lexsort((s, level[_bucket(s)]))
                 tokens.append(s[order[: prefix_length(len(s), percent)]].view(np.int64))
                 nodes.append(node)
                 flags = np.full(len(tokens[-1]), 2 * len(s), np.int32)
@@ -271,13 +364,13 @@ def _links(k: int, percent: int):
     """Rows (block, side, class, nid, packed) sorted by block -> links; one block is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, unzip = Shingler(k), zstandard.ZstdDecompressor()
+        unzip = zstandard.ZstdDecompressor()
         out: list[tuple[int, int]] = []
-        block, nodes, classes, sides, sets = None, [], [], [], []
+        block, nodes, classes, sides, texts = None, [], [], [], []
 
         def finish():
             if len(nodes) > 1:
-                out.extend(_block_links(nodes, classes, sides, sets, percent))
+                out.extend(_block_links(nodes, classes, sides, shingle_sets(texts, k), percent))
 
         def batch_of(rows):
             return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], ["a", "b"])
@@ -286,13 +379,13 @@ def _links(k: int, percent: int):
             for key, side, known, node, packed in zip(*(c.to_pylist() for c in batch.columns)):
                 if key != block:
                     finish()
-                    block, nodes, classes, sides, sets, seen = key, [], [], [], [], set()
+                    block, nodes, classes, sides, texts, seen = key, [], [], [], [], set()
                 if node not in seen:
                     seen.add(node)
                     nodes.append(node)
                     classes.append(known)
                     sides.append(side)
-                    sets.append(shingles(unzip.decompress(packed).decode()))
+                    texts.append(unzip.decompress(packed))
             if len(out) > 10_000:
                 yield batch_of(out)
                 out = []
@@ -387,8 +480,15 @@ def jaccard_join(
         return frame.join(settle(counted, "parts"), keys).withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts")).cast("int"))
 
     def search(placed: DataFrame) -> DataFrame:
-        """``placed``: (block, side, class, nid) -> links."""
-        sent = placed.join(texts, "nid").select("block", "side", "class", "nid", "packed")
+        """``placed``: (block, side, class, nid) -> links. Texts of nodes without a block are
+        mostly left out before the join, by a bitmap of fixed size (at most 2**FILTER_BITS / 64 rows)."""
+        placed = settle(placed, "placed")
+        bit = F.pmod(F.xxhash64("nid"), F.lit(1 << FILTER_BITS)).alias("bit")
+        wanted = placed.select(bit).groupBy((F.col("bit") / 64).cast("long").alias("word")).agg(
+            F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
+        asked = texts.select("nid", "packed", bit).join(F.broadcast(wanted), (F.col("bit") / 64).cast("long") == F.col("word")).where(
+            F.expr("shiftrightunsigned(bits, cast(bit % 64 as int)) & 1 = 1"))
+        sent = placed.join(asked.select("nid", "packed"), "nid").select("block", "side", "class", "nid", "packed")
         sent = sent.repartition("block").sortWithinPartitions("block")
         return settle(sent.mapInArrow(_links(k, percent), "a long, b long"), "links")
 
