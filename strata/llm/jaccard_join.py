@@ -6,8 +6,9 @@ order; of the smaller one the rarest ninth), so every shingle sends its nodes to
 block of its smallest node of about their size, and linked nodes meet in a block. In a block the nodes are the leaves of a
 signature tree: inner nodes hold the OR of the token bitmaps, the range of
 set sizes and the largest bitmap excess. A dual traversal of the tree drops pairs of
-subtrees whose largest possible overlap is too small, or that are connected
-already; the leaf pairs that remain are verified exactly.
+subtrees whose largest possible overlap is too small. It runs over short bitmaps first, and
+only nodes that keep a possible partner send their texts; then over longer bitmaps,
+which also drops pairs that are connected already and verifies the leaf pairs that remain exactly.
 """
 from __future__ import annotations
 
@@ -26,6 +27,7 @@ from strata.llm.common import settle, small_batches
 SKETCH_BITS = 21
 PIECES = 32
 TREE_BITS = 2048
+SIGNATURE_BITS = 1024
 FILTER_BITS = 23
 FANOUT = 8
 BLOCK_NODES, BLOCK_BYTES = 512, 16 << 20
@@ -160,17 +162,24 @@ def index_length(n: int, percent: int) -> int:
     return n - -(-2 * percent * n // (100 + percent)) + 1
 
 
+def _bitmap(hashes: np.ndarray, bits: int) -> bytes:
+    """A token sets the bit that its low digits name."""
+    on = np.zeros(bits, dtype=bool)
+    on[(hashes & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(on, bitorder="little").tobytes()
+
+
 def _bucket(hashes: np.ndarray) -> np.ndarray:
     return (hashes & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)
 
 
 def _describe(k: int):
-    """(id, row_hash, n, node, size) of every row, and the task's share of the document frequency sketch."""
+    """(id, row_hash, n, node, size, signature) of every row, and the task's share of the document frequency sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << SKETCH_BITS, np.uint32)
         id_type = pa.null()
-        names = ["id", "row_hash", "n", "node", "size", "piece", "counts"]
+        names = ["id", "row_hash", "n", "node", "size", "signature", "piece", "counts"]
         for batch in batches:
             id_type = batch.schema.field(0).type
             texts = [(t or "").encode() for t in batch.column(2).to_pylist()]
@@ -183,12 +192,12 @@ def _describe(k: int):
                 counts += np.bincount(_bucket(np.concatenate(sets)), minlength=1 << SKETCH_BITS).astype(np.uint32)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(node, pa.binary()), pa.array(size, pa.int64()),
-                pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
+                pa.array([_bitmap(s, SIGNATURE_BITS) for s in sets], pa.binary()), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names)
         if counts.any():
             packed = [zlib.compress(p.tobytes(), 1) for p in np.split(counts, PIECES)]
             yield pa.RecordBatch.from_arrays([
                 pa.nulls(PIECES, id_type), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.binary()),
-                pa.nulls(PIECES, pa.int64()), pa.array(range(PIECES), pa.int32()), pa.array(packed, pa.binary())], names)
+                pa.nulls(PIECES, pa.int64()), pa.nulls(PIECES, pa.binary()), pa.array(range(PIECES), pa.int32()), pa.array(packed, pa.binary())], names)
 
     return run
 
@@ -242,13 +251,10 @@ def _prefixes(k: int, percent: int, levels):
 class Tree:
     """A signature tree: levels[0] are the leaves, each further level joins FANOUT nodes."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        words = TREE_BITS // 64
-        bits = np.zeros((len(sets), words), np.uint64)
-        for i, s in enumerate(sets):
-            at = s & np.uint64(TREE_BITS - 1)
-            np.bitwise_or.at(bits[i], (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
-        size = np.array([len(s) for s in sets], np.int64)
+    def __init__(self, bitmaps: list[bytes], sizes: list[int]):
+        self.n = len(sizes)
+        bits = np.frombuffer(b"".join(bitmaps), np.uint64).reshape(self.n, -1)
+        size = np.array(sizes, np.int64)
         excess = size - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
         self.levels = [(bits, size, size, excess)]
         while len(bits) > 1:
@@ -258,6 +264,10 @@ class Tree:
             excess = np.maximum.reduceat(excess, starts)
             self.levels.append((bits, np.minimum.reduceat(low, starts), np.maximum.reduceat(high, starts), excess))
 
+    @classmethod
+    def of_sets(cls, sets: list[np.ndarray]) -> Tree:
+        return cls([_bitmap(s, TREE_BITS) for s in sets], [len(s) for s in sets])
+
     def children(self, level: int, i: int) -> np.ndarray:
         return np.arange(i * FANOUT, min((i + 1) * FANOUT, len(self.levels[level - 1][0])))
 
@@ -313,31 +323,57 @@ class Classes:
         return roots.pop() if len(roots) == 1 else -1
 
 
-def traverse(x: Tree, y: Tree, sets_x: list, sets_y: list, classes: Classes, offset: int, percent: int) -> None:
-    """Dual traversal from both roots; joins the classes of linked leaves. Leaf j of ``y`` is leaf offset + j of ``classes``."""
+def traverse(x: Tree, y: Tree, offset: int, percent: int, done, visit) -> None:
+    """Dual traversal from both roots. ``done(mine, theirs)``: two subtrees' leaves need no further look;
+    ``visit(a, b)``: a pair of leaves that may link. Leaf j of ``y`` goes by the number offset + j."""
     stack = [(len(x.levels) - 1, 0, len(y.levels) - 1, 0)]
-    n_x, n_y = len(sets_x), len(sets_y)
     while stack:
         p, i, q, j = stack.pop()
         if x is y and p == q and i > j:
             continue
-        mine = range(n_x)[x.span(p, i)]
-        theirs = range(offset, offset + n_y)[y.span(q, j)]
-        own = classes.one(mine)
-        if own >= 0 and own == classes.one(theirs):
+        if done(range(x.n)[x.span(p, i)], range(offset, offset + y.n)[y.span(q, j)]):
             continue
         rows = x.children(p, i) if p else np.array([i])
         columns = y.children(q, j) if q else np.array([j])
         may = _may_link(x.levels[max(p - 1, 0)], rows, y.levels[max(q - 1, 0)], columns, percent)
         for r, c in zip(*np.nonzero(may)):
             a, b = int(rows[r]), int(columns[c])
-            if p <= 1 and q <= 1:
-                if x is y and a >= b:
-                    continue
-                if classes.find(a) != classes.find(offset + b) and linked(sets_x[a], sets_y[b], percent):
-                    classes.join(a, offset + b)
-            else:
+            if p > 1 or q > 1:
                 stack.append((max(p - 1, 0), a, max(q - 1, 0), b))
+            elif not (x is y and a >= b):
+                visit(a, offset + b)
+
+
+def _both_sides(sides: list, tree, percent: int, done, visit) -> None:
+    """All pairs within side 0, and between side 0 and side 1; ``tree(a, b)`` grows one over a range of leaves."""
+    cut = sides.index(1) if 1 in sides else len(sides)
+    if cut:
+        left = tree(0, cut)
+        traverse(left, left, 0, percent, done, visit)
+        if cut < len(sides):
+            traverse(left, tree(cut, len(sides)), cut, percent, done, visit)
+
+
+def _hopeful(sides: list, classes: list, sizes: list, signatures: list, percent: int) -> np.ndarray:
+    """Flags of the nodes that may link with another one, by their signatures alone."""
+    order = sorted(range(len(sides)), key=lambda i: (sides[i], signatures[i], sizes[i]))
+    marked = np.zeros(len(order), dtype=bool)
+    known = [classes[i] for i in order]
+
+    def done(mine, theirs) -> bool:
+        return marked[mine.start: mine.stop].all() and marked[theirs.start: theirs.stop].all()
+
+    def visit(a, b) -> None:
+        if known[a] is None or known[a] != known[b]:
+            marked[a] = marked[b] = True
+
+    def tree(a: int, b: int) -> Tree:
+        return Tree([signatures[i] for i in order[a:b]], [sizes[i] for i in order[a:b]])
+
+    _both_sides([sides[i] for i in order], tree, percent, done, visit)
+    out = np.zeros(len(order), dtype=bool)
+    out[order] = marked
+    return out
 
 
 def _block_links(nodes: list, classes: list, sides: list, sets: list, percent: int) -> list[tuple[int, int]]:
@@ -347,12 +383,16 @@ def _block_links(nodes: list, classes: list, sides: list, sets: list, percent: i
     nodes, classes, sides, sets = ([v[i] for i in order] for v in (nodes, classes, sides, sets))
     found = Classes(classes)
     before = [found.find(i) for i in range(len(nodes))]
-    cut = sides.index(1) if 1 in sides else len(sides)
-    left = Tree(sets[:cut]) if cut else None
-    if left:
-        traverse(left, left, sets[:cut], sets[:cut], found, 0, percent)
-        if cut < len(sets):
-            traverse(left, Tree(sets[cut:]), sets[:cut], sets[cut:], found, cut, percent)
+
+    def done(mine, theirs) -> bool:
+        own = found.one(mine)
+        return own >= 0 and own == found.one(theirs)
+
+    def visit(a, b) -> None:
+        if found.find(a) != found.find(b) and linked(sets[a], sets[b], percent):
+            found.join(a, b)
+
+    _both_sides(sides, lambda a, b: Tree.of_sets(sets[a:b]), percent, done, visit)
     out = set()
     for i in range(len(nodes)):
         if (root := found.find(i)) != before[i] and nodes[i] != nodes[root]:
@@ -360,37 +400,66 @@ def _block_links(nodes: list, classes: list, sides: list, sets: list, percent: i
     return list(out)
 
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of one block after the other, from rows sorted by block (the first column, then a node id
+    at place 3); a node counts once."""
+    block, rows, seen = None, [], set()
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns)):
+            if row[0] != block:
+                if len(rows) > 1:
+                    yield rows
+                block, rows, seen = row[0], [], set()
+            if row[3] not in seen:
+                seen.add(row[3])
+                rows.append(row)
+    if len(rows) > 1:
+        yield rows
+
+
+def _in_batches(rows: Iterator[tuple], names: list[str], types: list) -> Iterator[pa.RecordBatch]:
+    held: list[tuple] = []
+
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in held], t) for i, t in enumerate(types)], names)
+
+    for row in rows:
+        held.append(row)
+        if len(held) >= 10_000:
+            yield batch()
+            held = []
+    yield batch()
+
+
+def _prune(percent: int):
+    """Rows (block, side, class, nid, n, signature) sorted by block -> (block, side, class, nid) of those that may link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows():
+            for block in _blocks(batches):
+                _, sides, classes, _, sizes, signatures = map(list, zip(*block))
+                for row, keep in zip(block, _hopeful(sides, classes, sizes, signatures, percent)):
+                    if keep:
+                        yield row[:4]
+
+        yield from _in_batches(rows(), ["block", "side", "class", "nid"], [pa.string(), pa.int32(), pa.int64(), pa.int64()])
+
+    return run
+
+
 def _links(k: int, percent: int):
     """Rows (block, side, class, nid, packed) sorted by block -> links; one block is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
-        out: list[tuple[int, int]] = []
-        block, nodes, classes, sides, texts = None, [], [], [], []
 
-        def finish():
-            if len(nodes) > 1:
-                out.extend(_block_links(nodes, classes, sides, shingle_sets(texts, k), percent))
+        def rows():
+            for block in _blocks(batches):
+                _, sides, classes, nodes, packed = map(list, zip(*block))
+                sets = shingle_sets([unzip.decompress(p) for p in packed], k)
+                yield from _block_links(nodes, classes, sides, sets, percent)
 
-        def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64())], ["a", "b"])
-
-        for batch in batches:
-            for key, side, known, node, packed in zip(*(c.to_pylist() for c in batch.columns)):
-                if key != block:
-                    finish()
-                    block, nodes, classes, sides, texts, seen = key, [], [], [], [], set()
-                if node not in seen:
-                    seen.add(node)
-                    nodes.append(node)
-                    classes.append(known)
-                    sides.append(side)
-                    texts.append(unzip.decompress(packed))
-            if len(out) > 10_000:
-                yield batch_of(out)
-                out = []
-        finish()
-        yield batch_of(out)
+        yield from _in_batches(rows(), ["a", "b"], [pa.int64(), pa.int64()])
 
     return run
 
@@ -442,8 +511,8 @@ def jaccard_join(
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
     described = settle(base.mapInArrow(_describe(k), (
-        f"id {id_type}, row_hash long, n long, node binary, size long, piece int, counts binary")), "shingle-sets")
-    rows = described.where(F.col("piece").isNull()).select("id", "row_hash", "n", "node", "size")
+        f"id {id_type}, row_hash long, n long, node binary, size long, signature binary, piece int, counts binary")), "shingle-sets")
+    rows = described.where(F.col("piece").isNull()).select("id", "row_hash", "n", "node", "size", "signature")
     sketch = described.where(F.col("piece").isNotNull()).select("piece", "counts").repartition(PIECES, "piece")
     level = np.zeros(1 << SKETCH_BITS, np.uint8)
     for r in sketch.mapInArrow(_sum_pieces, "piece int, level binary").collect():  # 2 MB in all
@@ -451,8 +520,9 @@ def jaccard_join(
     levels = spark.sparkContext.broadcast(level)
 
     first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "row_hash")).alias("first")
-    nodes = settle(rows.where(F.col("n") > 0).groupBy("node").agg(first, F.max("size").alias("size")).select(
-        "node", "size", "first", F.monotonically_increasing_id().alias("nid")), "nodes")
+    nodes = settle(rows.where(F.col("n") > 0).groupBy("node").agg(
+        first, F.max("size").alias("size"), F.max("n").cast("int").alias("n"), F.max("signature").alias("signature")).select(
+        "node", "size", "n", "signature", "first", F.monotonically_increasing_id().alias("nid")), "nodes")
     start = nodes.select("nid", F.struct(F.col("first.no_id").alias("no_id"), F.col("first.id").alias("id"), "nid").alias("label"))
     packed = base.mapInArrow(_pack_texts, f"id {id_type}, row_hash long, packed binary")
     texts = settle(packed.join(nodes.select("nid", "first"), packed["id"].eqNullSafe(F.col("first.id")) & (
@@ -480,9 +550,11 @@ def jaccard_join(
         return frame.join(settle(counted, "parts"), keys).withColumn("part", F.pmod(F.xxhash64("nid"), F.col("parts")).cast("int"))
 
     def search(placed: DataFrame) -> DataFrame:
-        """``placed``: (block, side, class, nid) -> links. Texts of nodes without a block are
+        """``placed``: (block, side, class, nid) -> links. Texts of nodes that have no possible partner are
         mostly left out before the join, by a bitmap of fixed size (at most 2**FILTER_BITS / 64 rows)."""
-        placed = settle(placed, "placed")
+        signed = placed.join(nodes.select("nid", "n", "signature"), "nid").select("block", "side", "class", "nid", "n", "signature")
+        signed = signed.repartition("block").sortWithinPartitions("block")
+        placed = settle(signed.mapInArrow(_prune(percent), "block string, side int, class long, nid long"), "placed")
         bit = F.pmod(F.xxhash64("nid"), F.lit(1 << FILTER_BITS)).alias("bit")
         wanted = placed.select(bit).groupBy((F.col("bit") / 64).cast("long").alias("word")).agg(
             F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))

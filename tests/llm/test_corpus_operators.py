@@ -191,11 +191,20 @@ def test_jaccard_join_chains_over_parts(spark, empty):
     assert jaccard_join.jaccard_join(empty).count() == 0
 
 
+def test_shingle_sets_do_not_depend_on_chunks(monkeypatch):
+    texts = [(t or "").encode() for t in TEXTS] + [b"x" * 5000, b" " * 3000 + b"y" * 3000 + b" z"]
+    whole = jaccard_join.shingle_sets(texts, 5)
+    assert [len(s) for s in whole] == [len(plain.shingle_set(t.decode())) for t in texts]
+    for size in (1, 300):
+        monkeypatch.setattr(jaccard_join, "CHUNK", size)
+        assert all(np.array_equal(a, b) for a, b in zip(whole, jaccard_join.shingle_sets(texts, 5)))
+
+
 def test_signature_bound_never_drops_a_link():
     rng = np.random.default_rng(2)
     base = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))
     sets = [np.unique(np.concatenate([base[: len(base) - c], rng.integers(0, 2**63, c).astype(np.uint64)])) for c in rng.integers(1, 80, 70)]
-    tree = jaccard_join.Tree(sets)
+    tree = jaccard_join.Tree.of_sets(sets)
     every = np.arange(len(sets))
     may = jaccard_join._may_link(tree.levels[0], every, tree.levels[0], every, 80)
     assert all(may[i, j] for i in every for j in every if jaccard_join.linked(sets[i], sets[j], 80))
