@@ -54,19 +54,20 @@ def running_total(
     """
     n = df.count()
     bits = min(20, max(3, math.ceil(math.log2(max(1, n / rows_per_bucket)))))
-    with_bucket = df.withColumn("_rt_bucket", F.shiftright(F.col(order[0]), 64 - bits)).withColumn(
-        "_rt_value", value.cast("long"))
-    inside = Window.partitionBy(key, "_rt_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    # a key that is never null: the join then has the window's partitioning, and wide rows move once
+    with_bucket = df.withColumns({
+        "_rt_key": F.coalesce(F.concat(F.lit("="), F.col(key).cast("string")), F.lit("")),
+        "_rt_bucket": F.shiftright(F.col(order[0]), 64 - bits), "_rt_value": value.cast("long")})
+    inside = Window.partitionBy("_rt_key", "_rt_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = with_bucket.withColumn("_rt_local", F.coalesce(F.sum("_rt_value").over(inside), F.lit(0)))
-    totals = with_bucket.groupBy(key, "_rt_bucket").agg(F.sum("_rt_value").alias("_rt_sum"))
-    before = Window.partitionBy(key).orderBy("_rt_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = with_bucket.groupBy("_rt_key", "_rt_bucket").agg(F.sum("_rt_value").alias("_rt_sum"))
+    before = Window.partitionBy("_rt_key").orderBy("_rt_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        F.col(key).alias("_rt_key"), F.col("_rt_bucket").alias("_rt_b"),
-        F.coalesce(F.sum("_rt_sum").over(before), F.lit(0)).alias("_rt_offset"))
+        "_rt_key", "_rt_bucket", F.coalesce(F.sum("_rt_sum").over(before), F.lit(0)).alias("_rt_offset"))
     return (
-        local.join(offsets, F.col(key).eqNullSafe(F.col("_rt_key")) & (F.col("_rt_bucket") == F.col("_rt_b")))
+        local.join(offsets, ["_rt_key", "_rt_bucket"])
         .withColumn(name, (F.col("_rt_offset") + F.col("_rt_local")).cast("long"))
-        .drop("_rt_bucket", "_rt_value", "_rt_local", "_rt_key", "_rt_b", "_rt_offset")
+        .drop("_rt_key", "_rt_bucket", "_rt_value", "_rt_local", "_rt_offset")
     )
 
 
