@@ -6,6 +6,10 @@ Earliest deadline first among the released blocks meets every window, so at any
 slot each source is less than one block away from its exact share. After
 ``period`` slots all shares are exact; so the plan of one period, made once,
 places the blocks of any number of periods.
+
+Sources too small for a weight share one class. In its sequence the j-th of a
+source's n documents has the window from j / n to (j + 1) / n of the sequence, and a
+time inside it; sources of equal n spread their times evenly over the window.
 """
 from __future__ import annotations
 
@@ -56,6 +60,32 @@ def capped_weights(counts: dict[str | None, int], period: int, max_share: float)
     return whole
 
 
+def _in_turn(rest: DataFrame, sizes: DataFrame, big: int) -> DataFrame:
+    """``rest`` (kept, h, source, class) with ``rank``: the document's place in the order of the times.
+
+    ``sizes`` (source, n): the class's sources, any number of them. Only those of ``big`` rows or more are broadcast.
+    Times of sources of equal size take turns; so a source is at any place less than
+    1 + its share of the class * the number of different sizes documents away from its share.
+    """
+    tagged = settle(sizes.withColumns({"sh": F.xxhash64("source"), "tag": F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit(""))}), "small-sources")
+    peers = tagged.groupBy(F.col("n").alias("of_n")).agg(F.count(F.lit(1)).alias("peers"))
+    phases = settle(
+        running_total(tagged, "n", ["sh", "tag"], F.lit(1), "turn").join(peers, F.col("n") == F.col("of_n"))
+        .select("tag", F.struct("n", ((F.col("turn") + 0.5) / F.col("peers")).alias("phase")).alias("own")), "source-phases")
+    many = phases.where(F.col("own.n") >= big).select(F.col("tag").alias("many_tag"), F.col("own").alias("many"))
+    few = phases.where(F.col("own.n") < big).select(F.col("tag").alias("few_tag"), F.col("own").alias("few"))
+    ranked = running_total(rest, "source", ["h"], F.lit(1), "j").withColumn(
+        "tag", F.coalesce(F.concat(F.lit("="), F.col("source").cast("string")), F.lit("")))
+    known = ranked.join(F.broadcast(many), F.col("tag") == F.col("many_tag"), "left")
+    # rows of large sources look for nothing, each under a key of its own
+    known = known.withColumn("look", F.when(F.col("many").isNull(), F.col("tag")).otherwise(F.concat(F.lit("#"), F.col("h").cast("string"))))
+    own = F.coalesce("many", "few")
+    time = (F.col("j") + own["phase"]) / own["n"]  # from 0 to 1, as evenly as the documents lie
+    timed = settle(known.join(few, F.col("look") == F.col("few_tag"), "left").select(
+        "kept", "h", "source", "class", ((F.floor(time * 2.0**53) - (1 << 52)) * 2048).alias("time")), "timed")
+    return running_total(timed, "class", ["time", "h"], F.lit(1), "rank").drop("time")
+
+
 def mix(
     docs: DataFrame, weights: dict[str, int] | None = None, block: int = 8, period: int = 200, max_share: float = 0.2,
     id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", keep: list[str] | None = None,
@@ -63,8 +93,8 @@ def mix(
     """The mixture: a struct ``kept`` of the columns ``keep`` (default: the id) and a struct ``mix`` of
     ``slot, place, source, block, epoch, release, deadline``.
 
-    Blocks are ``block`` documents of one source in the order of a hash of id
-    and text (its last may have fewer). ``slot`` is the block's place in the mixture and
+    Blocks are ``block`` documents of one class: of a source in the order of a hash of id
+    and text, of several sources as ``_in_turn`` orders them (the last may have fewer). ``slot`` is the block's place in the mixture and
     ``place`` the document's in the block. Every document is in the mixture at
     least once: the mixture ends with the period in which the last source has
     been read whole, and a source that ends before starts over (``epoch``).
@@ -72,13 +102,15 @@ def mix(
     ``weights``: whole weights by source, all other sources together under
     None. Default: natural shares with no source over ``max_share``, which
     bounds the mixture by the input / max_share; sources with less than one
-    ``period``-th of the rows, and null sources, form one class.
+    ``period``-th of the rows, and null sources, form one class. In a class of several
+    sources each keeps its share of the class: its documents are spread evenly over the class's sequence.
 
     Defined cases: a null id or text is a row like any other; repeated rows
     are documents of their own; a weighted source without rows is left out;
     an empty table gives an empty mixture; extra columns are ignored unless kept.
 
-    Only the classes (at most ``period``) come to the driver and are broadcast.
+    Only the classes (at most ``period``) come to the driver and are broadcast; the
+    sources inside a class stay in Spark.
     Documents are numbered within hash ranges, so a source may hold any share of the rows.
     """
     keep = keep or [id_col]
@@ -109,8 +141,12 @@ def mix(
         slots = spark.createDataFrame([], "at int, slots array<int>")
     table = table.join(slots, "at")
 
-    named = F.when(F.col("source").isin([s for s in classes if s is not None]), F.col("source"))
-    numbered = running_total(base.withColumn("class", named), "class", ["h"], F.lit(1), "rank")
+    names = [s for s in classes if s is not None]
+    classed = base.withColumn("class", F.when(F.col("source").isin(names), F.col("source")))
+    numbered = running_total(classed.where(F.col("class").isNotNull()), "class", ["h"], F.lit(1), "rank")
+    if None in classes:
+        others = sizes.where(F.col("source").isNull() | ~F.col("source").isin(names))
+        numbered = numbered.unionByName(_in_turn(classed.where(F.col("class").isNull()), others, -(-total // period)))
     placed = numbered.join(F.broadcast(table), F.col("class").eqNullSafe(F.col("class_name")))
     first = F.floor(F.col("rank") / block).cast("long")
     turns = placed.select(

@@ -293,6 +293,21 @@ def test_mix_keeps_every_document_and_every_window(docs, empty):
     assert all(abs(sum(x < t for x in first) - t / 2) < 1 for t in range(len({r.mix.slot for r in named})))
 
 
+def test_mix_keeps_the_shares_of_small_sources(spark):
+    """1,000 equal sources, and sources of many sizes besides a named one and null; each at every place of the class."""
+    uneven = ["hot"] * 600 + [None] * 300 + [f"s{i}" for i in range(60) for _ in range(1 + i % 12)] + [f"one{i}" for i in range(400)]
+    for sources in ([f"s{i // 4}" for i in range(4000)], uneven):
+        df = frame(spark, [(i, f"t{i}", None, s) for i, s in enumerate(sources)])
+        rows = mixing.mix(df, weights={"hot": 1, None: 1}, keep=["doc_id", "source"]).select("kept.*", "mix").where("mix.epoch = 0").collect()
+        assert sorted(r.doc_id for r in rows) == list(range(len(sources)))
+        order = [r.source for r in sorted(rows, key=lambda r: (r.mix.slot, r.mix.place)) if r.source != "hot"]
+        size, seen = {s: order.count(s) for s in set(order)}, {}
+        for at, s in enumerate(order):
+            share = at * size[s] / len(order)
+            assert abs(seen.get(s, 0) - share) < 1 + size[s] / len(order) * len(set(size.values())), (at, s)
+            seen[s] = seen.get(s, 0) + 1
+
+
 def test_plan_is_the_earliest_deadline_schedule(spark):
     for weights in ([1], [1, 1], [5, 3, 2], [7, 1, 1, 1], [13, 17, 19, 1, 2]):
         out = spark.range(1).select(mixing.plan(weights).alias("p")).first().p
