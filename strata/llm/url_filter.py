@@ -7,6 +7,8 @@ blocked where distrust is above trust and above the host's plain rank.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,25 +60,34 @@ def host_edges(rows: DataFrame) -> DataFrame:
     return found.unionByName(both.withColumn("n", F.lit(1).cast("long"))).groupBy("src", "dst").agg(F.sum("n").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int, follow: float) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, kinds: int, tolerance: float, follow: float) -> DataFrame:
     """Personalised PageRank: ``seeds`` (kind, host, seed), ``edges`` (kind, src, dst, n) -> (kind, host, rank).
 
-    What a host without links holds is not passed on.
+    What a host without links holds is not passed on. Rounds go on until the ranks, of which each of the
+    ``kinds`` sums to 1 at most, change by ``tolerance`` in all; they are then no farther than
+    ``tolerance * follow / (1 - follow)`` in all from the fixed point. The change is at most
+    ``2 * kinds * follow ** k`` after k more rounds, which bounds them.
     """
     degree = edges.groupBy("kind", "src").agg(F.sum("n").alias("all"))
     share = settle(edges.join(degree, ["kind", "src"]).select(
         "kind", "src", "dst", (F.col("n") / F.col("all")).alias("share")), "edge-shares")
     start = seeds.select("kind", "host", (F.col("seed") * (1 - follow)).alias("rank"))
     rank = seeds.select("kind", "host", F.col("seed").alias("rank"))
-    for _ in range(rounds):
+    old = F.lit(0.0).alias("old")
+    for _ in range(math.ceil(math.log(tolerance / (2 * kinds)) / math.log(follow)) + 1):
         passed = share.join(rank.withColumnRenamed("host", "src"), ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("share") * F.col("rank") * follow).alias("rank"))
-        rank = settle(passed.unionByName(start).groupBy("kind", "host").agg(F.sum("rank").alias("rank")), "ranks")
+            "kind", F.col("dst").alias("host"), (F.col("share") * F.col("rank") * follow).alias("rank"), old)
+        before = rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("old"))
+        turn = settle(passed.unionByName(start.select("*", old)).unionByName(before).groupBy("kind", "host").agg(
+            F.sum("rank").alias("rank"), F.sum("old").alias("old")), "ranks")
+        rank = turn.select("kind", "host", "rank")
+        if (turn.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0) <= tolerance:
+            break
     return rank
 
 
 def url_filter(
-    pages: DataFrame, rules: DataFrame, rounds: int = 8, follow: float = 0.85, id_col: str = "page_id", url_col: str = "url",
+    pages: DataFrame, rules: DataFrame, tolerance: float = 1e-6, follow: float = 0.85, id_col: str = "page_id", url_col: str = "url",
     html_col: str = "html",
 ) -> DataFrame:
     """Returns ``id, host, path, rule, verdict, trust, distrust`` for every row.
@@ -92,7 +103,8 @@ def url_filter(
     links the result is whole all the same; extra columns are ignored.
 
     Pages are reduced to host edges by partial counts before anything is
-    shuffled; every round is written, so a lost executor costs one round.
+    shuffled; every round is written, so a lost executor costs one round. One
+    number a round comes to the driver: how far the ranks still move.
     """
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), F.col(html_col).alias("html"))
@@ -114,7 +126,7 @@ def url_filter(
         walked = backward
         for f in forward:
             walked = walked.unionByName(f)
-        rank = propagate(walked, seeds, rounds, follow)
+        rank = propagate(walked, seeds, len(kinds), tolerance, follow)
         of = lambda k: F.round(F.coalesce(F.sum(F.when(F.col("kind") == k, F.col("rank"))), F.lit(0.0)), 12).alias(k)
         verdicts = settle(rank.groupBy("host").agg(of("base"), of("trust"), of("distrust")).select(
             F.col("host").alias("h"), "trust", "distrust",

@@ -278,6 +278,15 @@ def test_url_filter(spark):
     assert {r.verdict for r in url_filter.url_filter(df, rules.limit(0)).collect()} == {"allow"}
 
 
+def test_url_filter_follows_long_chains(spark):
+    """Fourteen hosts in a row, the last one blocked; the first ones are more than eight links away."""
+    rows = [(i, f"http://h{i}.info/", f'<a href="http://h{i + 1}.info/">') for i in range(13)] + [(13, "http://h13.info/", None)]
+    rules = [("block", "h13.info", "/")]
+    out = url_filter.url_filter(spark.createDataFrame(rows, "page_id long, url string, html string"), spark.createDataFrame(rules, "action string, host string, path string"))
+    assert got(out, "id", "host", "path", "rule", "verdict") == sorted(plain_url(rows, rules, 300, 0.85), key=repr)
+    assert got(out.where("id < 2"), "verdict") == [("block",), ("block",)]
+
+
 def test_mix_keeps_every_document_and_every_window(docs, empty):
     keep = ["doc_id", "text", "source", "slot"]
     rows = mixing.mix(docs, block=2, period=20, keep=keep).select("kept.*", "mix").collect()
