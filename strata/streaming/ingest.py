@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 EPOCH = "_epoch"
+FILE = "_file"  # the landing file of a row, within a run
 
 
 def _read(spark: SparkSession, path: str) -> DataFrame | None:
@@ -55,19 +56,28 @@ def _mark(spark: SparkSession, checkpoint: str, first_epoch: int, done: bool) ->
 
 def append_new(history_path: str, period: str, first_epoch: int):
     """foreachBatch writer: rows of periods that were not in the history before
-    ``first_epoch``, without rows that the batch or the run has already."""
+    ``first_epoch``, without rows that another file of the batch or the run has brought already.
+
+    A file that is sent again has the same rows as often as before; so of equal rows as many
+    are kept as the file with most of them has. A batch without ``FILE`` counts as rows each sent once."""
 
     def run(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates()
+        columns = [c for c in batch.columns if c != FILE]
+        if FILE in batch.columns:
+            fresh = batch.groupBy(FILE, *columns).agg(F.count(F.lit(1)).alias("_copies")).groupBy(*columns).agg(F.max("_copies").alias("_copies"))
+        else:
+            fresh = batch.dropDuplicates().withColumn("_copies", F.lit(1).cast("long"))
         history = _read(spark, history_path)
         if history is not None:
             seen = history.where(F.col(EPOCH) < first_epoch).select(F.col(period).alias("_seen")).distinct()
             fresh = fresh.join(seen, F.col(period).eqNullSafe(F.col("_seen")), "left_anti")
             mine = history.where((F.col(EPOCH) >= first_epoch) & (F.col(EPOCH) < epoch_id))
-            mine = mine.select(*(F.col(c).alias(f"_h_{c}") for c in batch.columns))
-            fresh = fresh.join(mine, reduce(and_, (F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in batch.columns)), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{history_path}/{EPOCH}={epoch_id}")
+            mine = mine.groupBy(*(F.col(c).alias(f"_h_{c}") for c in columns)).agg(F.count(F.lit(1)).alias("_had"))
+            fresh = fresh.join(mine, reduce(and_, (F.col(c).eqNullSafe(F.col(f"_h_{c}")) for c in columns)), "left").withColumn(
+                "_copies", F.col("_copies") - F.coalesce("_had", F.lit(0)))
+        fresh = fresh.where(F.col("_copies") > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+        fresh.select(*columns).write.mode("overwrite").parquet(f"{history_path}/{EPOCH}={epoch_id}")
 
     return run
 
@@ -77,13 +87,17 @@ def incremental_ingest(spark: SparkSession, landing: str, schema: StructType | s
                        transform=None) -> None:
     """Drain the landing folder into the history (blocks until done).
 
-    ``max_files_per_trigger`` bounds the memory of a micro-batch and nothing else.
+    ``max_files_per_trigger`` bounds the memory of a micro-batch and nothing else. Equal rows of
+    one file are all kept; ``transform`` must keep the column ``_file`` for that.
     """
     first_epoch = _first_epoch(spark, history_path, checkpoint)
     _mark(spark, checkpoint, first_epoch, done=False)
-    stream = (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).load(landing))
+    stream = (spark.readStream.format(fmt).schema(schema).option("maxFilesPerTrigger", max_files_per_trigger).load(landing)
+              .withColumn(FILE, F.col("_metadata.file_path")))
     if transform is not None:
         stream = transform(stream)
+    if FILE not in stream.columns:
+        raise ValueError(f"transform must keep the column {FILE}")
     q = (stream.writeStream.foreachBatch(append_new(history_path, period, first_epoch))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()

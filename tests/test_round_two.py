@@ -37,6 +37,14 @@ def test_ingest_does_not_depend_on_the_batch_size(spark, n):
     assert drain(spark, base, n) == sorted([*want, (7, "2024-03")])  # a period that the history has is closed
 
 
+@pytest.mark.parametrize("n", [1, 100])
+def test_ingest_keeps_equal_rows_of_one_file(spark, n):
+    rows = [(1, "2024-01"), (1, "2024-01"), (2, "2024-01"), (None, "2024-01"), (None, "2024-01")]
+    base = landing(spark, [rows, [(3, "2024-01")], rows])  # the first file is sent again
+    ingest.incremental_ingest(spark, f"{base}/in/*", SCHEMA, f"{base}/history", f"{base}/checkpoint", "Period", max_files_per_trigger=n)
+    assert sorted(map(tuple, ingest.read_history(spark, f"{base}/history").collect()), key=repr) == sorted([*rows, (3, "2024-01")], key=repr)
+
+
 def test_ingest_retried_batch_replaces_itself(spark):
     base = scratch_path(spark, "retry")
     batch = spark.createDataFrame([(1, "a"), (2, "a"), (2, "a"), (None, None)], SCHEMA)
