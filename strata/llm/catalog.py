@@ -7,8 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import language_id
+from strata.llm.collocations import collocations
 from strata.llm.common import load
 from strata.llm.decontaminate import contaminated, overlaps
+from strata.llm.fill_in_middle import fill_in_middle, restore
 from strata.llm.jaccard_join import jaccard_join
 from strata.llm.line_dedup import line_dedup
 from strata.llm.mixing import mix
@@ -157,6 +159,51 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(load(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
+@_register("op12_fill_in_middle", r"""
+WITH u AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us FROM documents),
+d AS (SELECT *, len(us) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+    CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50 THEN 'plain'
+      WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(us[1 : lo], '') AS pre, array_to_string(us[lo + 1 : hi], '') AS mid, array_to_string(us[hi + 1 : n], '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+""")
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fill_in_middle(load(spark, sf_dir, "documents"), seed=42, fim_percent=50, spm_percent=80)
+    return out.select("kept.doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+@_register("op13_collocations", r"""
+WITH p AS (SELECT row_number() OVER () AS pid, lang, piece FROM (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^.,;:!?\x0A-\x0D]+')) AS piece FROM documents)),
+w AS (SELECT pid, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, m, w[i : i + m - 1] AS g FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+  FROM w, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, g, count(*) AS a FROM g GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE m > 1 AND a >= 30),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+s AS (SELECT k.lang, k.g, k.m, k.a, k.k, l.a AS l, r.a AS r, CAST((2000000::HUGEINT * k.a) // (l.a + r.a) AS BIGINT) AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.m = k.k AND l.g = k.g[1 : k.k] JOIN f r ON r.lang = k.lang AND r.m = k.m - k.k AND r.g = k.g[k.k + 1 : k.m]),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+i AS (SELECT lang, a, m AS of_m, g, m2 AS m, unnest(range(1, m - m2 + 2)) AS i FROM c, (SELECT unnest([2, 3]) AS m2) WHERE m2 < m),
+o AS (SELECT lang, g[i : i + m - 1] AS g, max(a) AS cover FROM i GROUP BY ALL),
+x AS (SELECT b.lang, array_to_string(b.g, ' ') AS phrase, b.a, b.l, b.r, b.score FROM b LEFT JOIN o ON o.lang = b.lang AND o.g = b.g
+  WHERE o.cover IS NULL OR 100::HUGEINT * o.cover < 80::HUGEINT * b.a),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM x)
+SELECT z.lang, rank, phrase, a, l, r, t.n, score FROM z JOIN t ON t.lang = z.lang WHERE rank <= 2000
+""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(load(spark, sf_dir, "documents"), min_count=30, longest=4, top=2000)
+
+
 @_register("pipeline")
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline

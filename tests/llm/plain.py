@@ -151,3 +151,47 @@ def edf(weights):
         out[i].append(t)
         done[i] += 1
     return out
+
+
+def fim(i, text, seed=42):
+    """(n, form, prefix_chars, middle_chars, output) of one row."""
+    t = text or ""
+    h = hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()
+    a, b, c, d = (int(h[8 * j: 8 * j + 8], 16) for j in range(4))
+    units = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", t)
+    n = len(units)
+    if not t or "<P>" in t or "<S>" in t or "<M>" in t or c % 100 >= 50:
+        return n, "plain", None, None, t
+    low, high = sorted((a % (n + 1), b % (n + 1)))
+    p, m, s = "".join(units[:low]), "".join(units[low:high]), "".join(units[high:])
+    if d % 100 < 80:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def collocations(rows, least=30, cover=80, top=2000):
+    """rows: (lang, text) -> list of (lang, rank, phrase, a, l, r, n, score)."""
+    f, total = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(UP)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total[lang] += len(w)
+            for m in range(1, 5):
+                f[lang].update(tuple(w[i: i + m]) for i in range(len(w) - m + 1))
+    out = []
+    for lang, counts in f.items():
+        candidates = {p: a for p, a in counts.items() if len(p) > 1 and a >= least}
+        hidden = set()
+        for p, a in candidates.items():
+            for m in range(2, len(p)):
+                for i in range(len(p) - m + 1):
+                    if 100 * a >= cover * candidates[p[i: i + m]]:
+                        hidden.add(p[i: i + m])
+        scored = []
+        for p, a in candidates.items():
+            if p not in hidden:
+                score, k = min((2_000_000 * a // (counts[p[:k]] + counts[p[k:]]), k) for k in range(1, len(p)))
+                scored.append((-score, -a, " ".join(p).encode(), counts[p[:k]], counts[p[k:]]))
+        out += [(lang, i, p.decode(), -a, left, right, total[lang], -s) for i, (s, a, p, left, right) in enumerate(sorted(scored)[:top], 1)]
+    return out
