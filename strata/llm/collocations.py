@@ -229,8 +229,17 @@ def _phrase_counts(seed: int, levels):
 
 
 def _symbols(frequent: DataFrame) -> Symbols:
-    """Of ``frequent`` (lang, key, n) the ranks of at most HEAD keys and the bitmap come to the driver: a fixed size."""
-    top = frequent.orderBy(F.desc("n"), "lang", "key").limit(HEAD).select("lang", "key").collect()
+    """Of ``frequent`` (lang, key, n) at most HEAD keys and the bitmap come to the driver: a fixed size. The keys are those
+    over a count that a histogram of the counts (16 classes for each power of two) gives."""
+    sizes = frequent.groupBy(F.floor(F.log2("n") * 16).cast("int").alias("size")).count().collect()
+    least, held = 1 << 30, 0
+    for r in sorted(sizes, key=lambda r: -r["size"]):
+        held += r["count"]
+        if held > HEAD:
+            break
+        least = r["size"]
+    top = frequent.where(F.floor(F.log2("n") * 16) >= least).select("lang", "key", "n").collect()
+    top.sort(key=lambda r: (-r["n"], r["lang"], r["key"]))
     ranked: dict[str, list[int]] = {}
     for r in top:
         if len(own := ranked.setdefault(r["lang"], [])) < RANKS:
