@@ -14,6 +14,7 @@ from strata.llm.fill_in_middle import fill_in_middle, restore
 from strata.llm.jaccard_join import jaccard_join
 from strata.llm.line_dedup import line_dedup
 from strata.llm.mixing import mix
+from strata.llm.path_join import path_join
 from strata.llm.secret_scan import scan, train, written
 from strata.llm.sharding import shard_documents
 from strata.llm.topk_search import topk
@@ -159,6 +160,23 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter(load(spark, sf_dir, "pages"), rules).withColumnRenamed("id", "page_id")
 
 
+@_register("op11_path_join", r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS g
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 5, 0) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r AS (WITH RECURSIVE r(id, c) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.id, e.b FROM r JOIN e ON r.c = e.a) SELECT * FROM r)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, m.c AS component_id, d.doc_id = m.c AS kept
+FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT id, min(c) AS c FROM r GROUP BY id) m ON m.id = d.doc_id
+""")
+def op11_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = path_join(load(spark, sf_dir, "documents"), k=5, percent=85)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 @_register("op12_fill_in_middle", r"""
 WITH u AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h,
     regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS us FROM documents),

@@ -71,6 +71,36 @@ def running_total(
     )
 
 
+def roots(edges: DataFrame, rows_per_task: int = 250_000) -> DataFrame | None:
+    """(nid, root) of every end of ``edges`` (a, b): the smallest nid that can be reached; None without edges.
+
+    Each round gives every node its smallest neighbour, then that one's, and keeps the edges between different
+    ones under their new names. So a round leaves at most a quarter of a path, a star is done in one, and later rounds
+    are small: they are written in few files.
+    """
+    named: DataFrame | None = None
+    left = settle(edges.where(F.col("a") != F.col("b")).select(
+        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
+    while n := left.count():
+        few = max(4, math.ceil(n / rows_per_task))
+        lower = left.select(F.col("b").alias("nid"), F.col("a").alias("up")).unionByName(
+            left.select(F.col("a").alias("nid"), F.col("a").alias("up"))).groupBy("nid").agg(F.min("up").alias("up"))
+        lower = settle(lower.coalesce(few), "lower")
+        above = lower.select(F.col("nid").alias("up"), F.col("up").alias("next"))
+        for _ in range(2):
+            lower = lower.join(above, "up").select("nid", F.col("next").alias("up"))
+        lower = settle(lower.coalesce(few), "lower")
+        ends = lambda c: lower.select(F.col("nid").alias(c), F.col("up").alias(f"{c}_up"))
+        left = settle(left.join(ends("a"), "a").join(ends("b"), "b").where(F.col("a_up") != F.col("b_up")).select(
+            F.least("a_up", "b_up").alias("a"), F.greatest("a_up", "b_up").alias("b")).distinct().coalesce(few), "edges")
+        if named is None:
+            named = lower.withColumnRenamed("up", "root")
+        else:
+            newer = lower.select(F.col("nid").alias("root"), F.col("up").alias("newer"))
+            named = named.join(newer, "root", "left").select("nid", F.coalesce("newer", "root").alias("root"))
+    return None if named is None else settle(named, "roots")
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Python stages get whole texts in Arrow batches of at most ``rows`` rows."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

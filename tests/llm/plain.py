@@ -95,7 +95,7 @@ def shingle_set(text):
     return frozenset(tuple(w[i: i + 5]) for i in range(max(1, len(w) - 4)))
 
 
-def jaccard(rows):
+def jaccard(rows, percent=80):
     """(id, n, smallest id of the component) by comparing all pairs."""
     sets = [(i, shingle_set(t)) for i, t in rows]
     up = list(range(len(sets)))
@@ -108,7 +108,7 @@ def jaccard(rows):
     for a in range(len(sets)):
         for b in range(a):
             x, y = sets[a][1], sets[b][1]
-            if x and y and 100 * len(x & y) >= 80 * len(x | y):
+            if x and y and 100 * len(x & y) >= percent * len(x | y):
                 up[find(a)] = find(b)
     least = {}
     for j, (i, s) in enumerate(sets):
