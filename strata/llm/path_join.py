@@ -1,14 +1,13 @@
 """Near-duplicate search by a chosen-path set similarity join.
 
-Documents with equal shingle sets become one node first. Trees then branch the nodes by their minwise tokens: at the
-root by one, and every node that still holds many documents again by two others each, down to
-``depth``. Nodes of a tree that have become small are compared exhaustively, by sketches of further minwise tokens;
-pairs that pass are confirmed on their full sets. Independent trees are repeated until a pair at the threshold is
-missed in all of them, or by its sketch, with a chance of at most twice ``miss``.
-
-Two rounds keep large groups of near copies cheap. The first takes two trees, and of each small node only a spanning forest of
-its likeliest pairs. The second takes all trees, but only nodes whose documents are not all connected yet, and of those
-every likely pair between unconnected documents.
+Documents with equal shingle sets become one class first. Trees then branch the classes by a selected minwise token, and
+every tree node that still holds many of them again by another one, down to ``depth``. Nodes that have become small
+are compared exhaustively: sketches of further minwise tokens drop the documents without a possible partner there, the
+others are compared by their full sets. Independent trees are repeated until a pair at the threshold is missed in all
+of them, or by its sketch, with a chance of at most twice ``miss``.
+
+Two rounds keep large groups of near copies cheap. The first takes two trees. The second takes all, but only nodes
+whose documents are not all connected yet. What comes out of a node is a spanning forest of its links, never its pairs.
 """
 from __future__ import annotations
 
@@ -22,11 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.common import roots, settle, small_batches
-from strata.llm.jaccard_join import linked, shingle_sets
+from strata.llm.jaccard_join import shingle_sets
 
 FUNCTIONS = 128  # minwise functions; the first ones choose paths, the last byte of each makes the sketch
 NODE = 256  # nodes of a tree with at most so many documents are compared exhaustively
-VISITORS = 4096  # unconnected documents that are held against a part of a large node at once
+NODE_SHINGLES = 1 << 21  # and with at most so many shingles (16 MB)
+HOSTS, VISITORS = 4096, 512  # of a larger node, so many documents and unconnected documents are held against each other at once
+COLUMNS = 2048  # shingles that are intersected at once
 FIRST_TREES = 2
 FILTER_BITS = 23
 SLICE = 4096  # shingles that go through all functions at once
@@ -46,11 +47,9 @@ _FACTORS = np.array([_factor(i) for i in range(FUNCTIONS)], np.uint64)
 
 
 def tree_count(percent: int, depth: int, miss: float) -> int:
-    """Trees after which a pair of similarity ``percent`` has met with a chance of 1 - ``miss`` at least.
-
-    It keeps to one path with the chance of the similarity at the root, and to one of two below."""
-    j = percent / 100
-    meets = j * (1 - (1 - j) ** 2) ** (depth - 1)
+    """Trees after which a pair of similarity ``percent`` has met with a chance of 1 - ``miss`` at least: at every
+    depth of a tree it keeps to one path with the chance of its similarity."""
+    meets = (percent / 100) ** depth
     return max(FIRST_TREES, math.ceil(math.log(miss) / math.log(1 - meets))) if meets < 1 else FIRST_TREES
 
 
@@ -90,16 +89,9 @@ def _describe(k: int, chosen: int):
     return run
 
 
-def _tree_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
-    """Columns of one tree node after the other, from rows sorted by ``block``."""
+def _tree_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """One tree node after the other, from rows sorted by ``block``."""
     held: list[pa.RecordBatch] = []
-
-    def out():
-        table = pa.Table.from_batches(held)
-        columns = {c: table.column(c).to_numpy() for c in table.column_names if c != "sketch"}
-        columns["sketch"] = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, FUNCTIONS)
-        return columns
-
     current = None
     for batch in batches:
         if not batch.num_rows:
@@ -108,73 +100,89 @@ def _tree_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndar
         cuts = [0, *(np.flatnonzero(blocks[1:] != blocks[:-1]) + 1).tolist(), len(blocks)]
         for a, b in zip(cuts, cuts[1:]):
             if held and blocks[a] != current:
-                yield out()
+                yield pa.Table.from_batches(held)
                 held = []
             current = blocks[a]
             held.append(batch.slice(a, b - a))
     if held:
-        yield out()
+        yield pa.Table.from_batches(held)
 
 
-def _likely(node: dict, i: int, others: np.ndarray, agreement: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Those of ``others`` whose sizes and sketches allow a link with ``i``, and how many bytes agree."""
-    n = node["n"]
-    fits = others[(100 * np.minimum(n[others], n[i]) >= percent * np.maximum(n[others], n[i])) & (node["label"][others] != node["label"][i])]
-    equal = (node["sketch"][fits] == node["sketch"][i]).sum(axis=1)
-    return fits[equal >= agreement], equal[equal >= agreement]
+def _sides(node: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Rows that are held against each other: visitors against hosts, without visitors all against all."""
+    visitor = node.column("visitor").to_numpy()
+    every = np.arange(len(visitor))
+    return (every[visitor], every[~visitor]) if visitor.any() else (every, every)
 
 
-def _forest(size: int, pairs: list[tuple[int, int, int]]) -> Iterator[tuple[int, int]]:
-    """A spanning forest of (agreement, i, j), the likeliest first."""
-    up = list(range(size))
+def _prune(percent: int, agreement: int):
+    """Rows (block, visitor, nid, label, n, sketch) sorted by block -> (block, visitor, nid, label) of those that may have a link
+    to a document of another label."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for node in _tree_nodes(batches):
+            rows, columns = _sides(node)
+            n, label = node.column("n").to_numpy(), node.column("label").to_numpy()
+            sketch = np.frombuffer(b"".join(node.column("sketch").to_pylist()), np.uint8).reshape(-1, FUNCTIONS)
+            may = np.zeros(len(n), bool)
+            for i in rows:
+                fits = columns[(100 * np.minimum(n[columns], n[i]) >= percent * np.maximum(n[columns], n[i])) & (label[columns] != label[i])]
+                near = fits[(sketch[fits] == sketch[i]).sum(axis=1) >= agreement] if len(fits) else fits
+                may[near] = True
+                may[i] |= len(near) > 0
+            if may.any():
+                yield from node.select(["block", "visitor", "nid", "label"]).filter(pa.array(may)).combine_chunks().to_batches()
+
+    return run
+
+
+def intersections(sets: list[np.ndarray], rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """How many shingles the sets of ``rows`` share with those of ``columns``."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    every = np.concatenate(sets)
+    order = np.argsort(every, kind="stable")
+    every, owner = every[order], owner[order]
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+    size = np.diff(np.append(first, len(every)))
+    shared = np.repeat(size > 1, size)  # shingles of one set alone count for nothing
+    owner, column = owner[shared], np.repeat(np.cumsum(size > 1) - 1, size)[shared]
+    total = np.zeros((len(rows), len(columns)), np.int64)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        held = np.zeros((len(sets), COLUMNS), np.float32)
+        held[owner[a:b], column[a:b] - at] = 1
+        total += (held[rows] @ held[columns].T).astype(np.int64)
+    return total
+
+
+def _forest(labels: list[int], pairs: Iterator[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Those of the pairs that connect what neither the labels nor earlier ones do."""
+    up: dict[int, int] = {}
 
     def top(x: int) -> int:
-        while up[x] != x:
-            up[x] = x = up[up[x]]
+        while (y := up.get(x, x)) != x:
+            up[x] = x = up.get(y, y)
         return x
 
-    for _, i, j in sorted(pairs, reverse=True):
-        a, b = top(i), top(j)
+    for i, j in pairs:
+        a, b = top(labels[i]), top(labels[j])
         if a != b:
             up[a] = b
             yield i, j
 
 
-def _compare(percent: int, agreement: int, forest: bool):
-    """Rows (block, visitor, nid, n, label, sketch) sorted by block -> likely pairs (a, b), a < b.
-
-    Visitors are held against the others only, the others, if there are no visitors, against each other."""
+def _links(percent: int):
+    """Rows (block, visitor, nid, label, shingles) sorted by block -> links (a, b), a forest of each block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found_a: list[int] = []
-        found_b: list[int] = []
-
-        def out():
-            batch = pa.RecordBatch.from_arrays([pa.array(found_a, pa.int64()), pa.array(found_b, pa.int64())], ["a", "b"])
-            found_a.clear()
-            found_b.clear()
-            return batch
-
         for node in _tree_nodes(batches):
-            nids, visitor = node["nid"], node["visitor"].astype(bool)
-            home, guests = np.flatnonzero(~visitor), np.flatnonzero(visitor)
-            pairs = []
-            for at, i in enumerate(guests if len(guests) else home):
-                others, equal = _likely(node, i, home if len(guests) else home[at + 1:], agreement, percent)
-                pairs += zip(equal.tolist(), [int(i)] * len(others), others.tolist())
-                if not forest and len(pairs) > 100_000:
-                    break_at = [(int(nids[x]), int(nids[y])) for _, x, y in pairs]
-                    pairs = []
-                    found_a += [min(p) for p in break_at]
-                    found_b += [max(p) for p in break_at]
-                    yield out()
-            chosen = _forest(len(nids), pairs) if forest else ((x, y) for _, x, y in pairs)
-            for x, y in chosen:
-                p = int(nids[x]), int(nids[y])
-                found_a.append(min(p))
-                found_b.append(max(p))
-            if len(found_a) >= 10_000:
-                yield out()
-        yield out()
+            rows, columns = _sides(node)
+            sets = [np.frombuffer(x, np.uint64) for x in node.column("shingles").to_pylist()]
+            n = np.array([len(x) for x in sets])
+            both = intersections(sets, rows, columns)
+            i, j = np.nonzero(100 * both >= percent * (n[rows][:, None] + n[columns] - both))
+            nids = node.column("nid").to_pylist()
+            found = list(_forest(node.column("label").to_pylist(), zip(rows[i].tolist(), columns[j].tolist())))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array([nids[x] for x, _ in found], pa.int64()), pa.array([nids[y] for _, y in found], pa.int64())], ["a", "b"])
 
     return run
 
@@ -188,17 +196,6 @@ def _sets(k: int):
     return run
 
 
-def _confirm(percent: int):
-    """Rows (a, b, set of a, set of b) -> those that link."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = zip(batch.column("x").to_pylist(), batch.column("y").to_pylist())
-            keep = [linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in sets]
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
 def _part(nid: str, parts: Column | int) -> Column:
     return F.pmod(F.xxhash64(F.lit(7), nid), F.lit(parts) if isinstance(parts, int) else parts).cast("int")
 
@@ -218,19 +215,19 @@ def path_join(
     component; a null id is smaller than none; an empty table gives no rows; other columns are ignored. Shingles are
     compared by 64-bit, sets by 128-bit hashes.
 
-    Copies meet by fingerprint only. A tree node that stays larger than ``node_size`` at the last depth is a group of near
-    copies; it is cut into parts that each also hold its first document. In the second round only documents that are
-    not yet connected with the first one visit all parts. So a group costs in proportion to its size, and no pair is left out.
+    Copies meet by fingerprint only. A tree node that stays larger than ``node_size`` (or NODE_SHINGLES) at the last depth is
+    a group of near copies; it is cut into parts that each also hold its first document. In the second round only
+    documents that are not yet connected with the first one visit all parts, so a group costs in proportion to its size and
+    to the number of its documents that are in no common component, and no pair is left out.
     """
     spark = docs.sparkSession
     small_batches(spark)
     trees, agreement = tree_count(percent, depth, miss), least_agreement(percent, miss)
-    a_tree = 1 + 2 * (depth - 1)  # tokens of a tree: one for the root, two for every depth below
-    if trees * a_tree > FUNCTIONS:
+    if trees * depth > FUNCTIONS:
         raise ValueError("depth and miss ask for more minwise tokens than there are")
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("row_hash"), F.col(text_col).alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
-    described = settle(base.mapInArrow(_describe(k, trees * a_tree), (
+    described = settle(base.mapInArrow(_describe(k, trees * depth), (
         f"id {id_type}, row_hash long, n long, set_a long, set_b long, tokens array<long>, sketch binary")), "minwise")
     rows = described.select("id", "row_hash", "n", "set_a", "set_b")
     nodes = settle(described.where(F.col("n") > 0).groupBy("set_a", "set_b").agg(
@@ -239,37 +236,32 @@ def path_join(
 
     # the trees: paths that at least two documents share
     def shared(placed: DataFrame, name: str) -> DataFrame:
-        sizes = placed.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("nid").alias("leader")).where(F.col("size") > 1)
-        return settle(placed.join(sizes, "path").select("path", "tree", "nid", "size", "leader"), name)
+        sizes = placed.groupBy("path").agg(
+            F.count(F.lit(1)).alias("size"), F.sum("n").alias("weight"), F.min("nid").alias("leader")).where(F.col("size") > 1)
+        return settle(placed.join(sizes, "path").select("path", "tree", "nid", "n", "leader", "size", "weight"), name)
 
+    is_small = (F.col("size") <= node_size) & (F.col("weight") <= NODE_SHINGLES)
     first = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(
-        t.alias("tree"), F.xxhash64(t, F.get("tokens", t * a_tree)).alias("path")))
-    level = shared(nodes.select("nid", F.explode(first).alias("at")).select("nid", "at.tree", "at.path"), "paths-1")
-    small = [level.where(F.col("size") <= node_size)]
+        t.alias("tree"), F.xxhash64(t, F.get("tokens", t * depth)).alias("path")))
+    level = shared(nodes.select("nid", "n", F.explode(first).alias("at")).select("nid", "n", "at.tree", "at.path"), "paths-1")
+    leaves = level.where(is_small)
     for d in range(1, depth):
-        large = level.where(F.col("size") > node_size).select("path", "tree", "nid").join(nodes.select("nid", "tokens"), "nid")
-        tokens = (F.get("tokens", F.col("tree") * a_tree + 2 * d - 1 + i) for i in range(2))
-        below = large.select("nid", "tree", F.explode(F.array(*(F.xxhash64("path", F.lit(i), t) for i, t in enumerate(tokens)))).alias("path"))
-        level = shared(below, f"paths-{d + 1}")
-        small.append(level.where(F.col("size") <= node_size))
-    leaves = small[0]
-    for more in small[1:]:
-        leaves = leaves.unionByName(more)
-    groups = level.where(F.col("size") > node_size).withColumn("parts", F.ceil(F.col("size") / node_size).cast("int")).withColumn(
-        "part", _part("nid", F.col("parts")))
-
-    def likely(blocks: DataFrame, forest: bool, name: str) -> DataFrame:
-        """``blocks``: (block, visitor, nid, label) -> distinct likely pairs."""
-        sent = blocks.join(nodes.select("nid", "n", "sketch"), "nid").select("block", "visitor", "nid", "n", "label", "sketch")
+        large = level.where(~is_small).select("path", "tree", "nid", "n").join(nodes.select("nid", "tokens"), "nid")
+        level = shared(large.withColumn("path", F.xxhash64("path", F.get("tokens", F.col("tree") * depth + d))).drop("tokens"), f"paths-{d + 1}")
+        leaves = leaves.unionByName(level.where(is_small))
+    groups = level.where(~is_small)
+
+    def pieces(rows: Column, shingles: Column, most: int) -> Column:
+        return F.ceil(F.greatest(rows / most, shingles / NODE_SHINGLES)).cast("int")
+
+    def search(blocks: DataFrame) -> DataFrame:
+        """``blocks``: (block, visitor, nid, label) -> links. Full sets are made of the texts of documents with a possible
+        partner only; a bitmap of fixed size keeps most other texts from being sent."""
+        sent = blocks.join(nodes.select("nid", "n", "sketch"), "nid").select("block", "visitor", "nid", "label", "n", "sketch")
         sent = sent.repartition("block").sortWithinPartitions("block")
-        return settle(sent.mapInArrow(_compare(percent, agreement, forest), "a long, b long").distinct(), name)
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        """The pairs that link. Full sets are made of the texts of their ends only; a bitmap of fixed size keeps most others
-        from being sent."""
+        placed = settle(sent.mapInArrow(_prune(percent, agreement), "block long, visitor boolean, nid long, label long"), "likely")
         key = [F.coalesce(F.col("id").cast("string"), F.lit("")).alias("id_key"), F.col("id").isNull().alias("no_id"), "row_hash"]
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("nid")).distinct()
-        wanted = settle(ends.join(nodes.select("nid", "first.id", "first.row_hash"), "nid").select("nid", *key), "wanted")
+        wanted = settle(placed.select("nid").distinct().join(nodes.select("nid", "first.id", "first.row_hash"), "nid").select("nid", *key), "wanted")
         bit = F.pmod(F.xxhash64("id_key", "row_hash"), F.lit(1 << FILTER_BITS)).alias("bit")
         bits = wanted.select(bit).groupBy((F.col("bit") / 64).cast("long").alias("word")).agg(
             F.expr("bit_or(shiftleft(1L, cast(bit % 64 as int)))").alias("bits"))
@@ -278,20 +270,19 @@ def path_join(
             F.expr("shiftrightunsigned(bits, cast(bit % 64 as int)) & 1 = 1"))
         texts = asked.groupBy("id_key", "no_id", "row_hash").agg(F.max("text").alias("text")).join(wanted, ["id_key", "no_id", "row_hash"])
         sets = settle(texts.select("nid", "text").mapInArrow(_sets(k), "nid long, shingles binary"), "sets")
-        both = pairs.join(sets.select(F.col("nid").alias("a"), F.col("shingles").alias("x")), "a").join(
-            sets.select(F.col("nid").alias("b"), F.col("shingles").alias("y")), "b")
-        return settle(both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a long, b long"), "links")
-
-    # round one: two trees, a forest of the likeliest pairs of every small node
-    own = F.col("nid").alias("label")
-    in_trees = F.col("tree") < FIRST_TREES
-    part_block = lambda *more: F.xxhash64("path", "part", *more).alias("block")
-    whole = leaves.where(in_trees).select(F.col("path").alias("block"), F.lit(False).alias("visitor"), "nid", own)
-    cut = groups.where(in_trees)
+        full = placed.join(sets, "nid").select("block", "visitor", "nid", "label", "shingles")
+        return settle(full.repartition("block").sortWithinPartitions("block").mapInArrow(_links(percent), "a long, b long"), "links")
+
+    def blocks_of(frame: DataFrame, *key: str) -> DataFrame:
+        return frame.select(F.xxhash64(*key).alias("block"), "visitor", "nid", "label")
+
+    # round one: two trees
+    own = {"visitor": F.lit(False), "label": F.col("nid")}
+    cut = groups.where(F.col("tree") < FIRST_TREES).withColumn("parts", pieces(F.col("size"), F.col("weight"), node_size))
     leaders = cut.where(F.col("nid") == F.col("leader")).select("path", "nid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    in_parts = cut.select("path", "nid", "part").unionByName(leaders).distinct()
-    tried = likely(whole.unionByName(in_parts.select(part_block(), F.lit(False).alias("visitor"), "nid", own)), True, "pairs-1")
-    links = confirmed(tried)
+    in_parts = cut.select("path", "nid", _part("nid", F.col("parts")).alias("part")).unionByName(leaders).distinct()
+    links = search(blocks_of(leaves.where(F.col("tree") < FIRST_TREES).withColumns(own), "path").unionByName(
+        blocks_of(in_parts.withColumns(own), "path", "part")))
     root = roots(links)
 
     # round two: all trees, what isn't connected yet
@@ -300,20 +291,19 @@ def path_join(
             return frame.withColumn("label", F.col("nid"))
         return frame.join(root, "nid", "left").withColumn("label", F.coalesce("root", "nid")).drop("root")
 
-    marked = labelled(leaves.select("path", "nid"))
-    open_paths = marked.groupBy("path").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
-    whole = marked.join(open_paths.select("path"), "path").select(F.col("path").alias("block"), F.lit(False).alias("visitor"), "nid", "label")
-    marked = labelled(groups.select("path", "nid", "part", "parts", "leader"))
-    core = marked.where(F.col("nid") == F.col("leader")).select("path", F.col("label").alias("core"))
-    loose = settle(marked.join(core, "path").withColumn("loose", F.col("label") != F.col("core")), "in-parts")
-    rounds = loose.where("loose").groupBy("path").agg(F.ceil(F.count(F.lit(1)) / VISITORS).cast("int").alias("groups"))
-    guests = loose.where("loose").join(rounds, "path").withColumn("guest", _part("nid", F.col("groups")))
-    visiting = guests.select("path", "guest", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(True).alias("visitor"), "nid", "label")
-    at_home = loose.join(rounds, "path").select(
-        "path", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("guest"), "part", F.lit(False).alias("visitor"), "nid", "label")
-    met = visiting.unionByName(at_home).select(part_block("guest"), "visitor", "nid", "label")
-    more = confirmed(likely(whole.unionByName(met), False, "pairs-2").join(tried, ["a", "b"], "left_anti"))
-    root = roots(links.unionByName(more))
+    marked = labelled(leaves.select("path", "nid", F.lit(False).alias("visitor")))
+    unsettled = marked.groupBy("path").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
+    marked = marked.join(unsettled.select("path"), "path")
+    grouped = labelled(groups.select("path", "nid", "n", "leader", pieces(F.col("size"), F.col("weight"), HOSTS).alias("parts")))
+    core = grouped.where(F.col("nid") == F.col("leader")).select("path", F.col("label").alias("core"))
+    grouped = settle(grouped.join(core, "path").withColumn("loose", F.col("label") != F.col("core")), "groups")
+    guests = grouped.where("loose").groupBy("path").agg(pieces(F.count(F.lit(1)), F.sum("n"), VISITORS).alias("guests"))
+    grouped = grouped.join(guests, "path")
+    every = lambda count, name: F.explode(F.sequence(F.lit(0), F.col(count) - 1)).alias(name)
+    hosts = grouped.select("path", _part("nid", F.col("parts")).alias("part"), every("guests", "guest"), F.lit(False).alias("visitor"), "nid", "label")
+    visitors = grouped.where("loose").select(
+        "path", every("parts", "part"), _part("nid", F.col("guests")).alias("guest"), F.lit(True).alias("visitor"), "nid", "label")
+    root = roots(links.unionByName(search(blocks_of(marked, "path").unionByName(blocks_of(hosts.unionByName(visitors), "path", "part", "guest")))))
 
     known = nodes.select("nid", "set_a", "set_b", "first")
     named = labelled(known)
