@@ -62,6 +62,47 @@ def test_ingest_broken_run_goes_on(spark):
     assert ingest._first_epoch(spark, f"{base}/history", f"{base}/checkpoint") == 0
 
 
+@pytest.mark.parametrize("n", [1, 100])
+def test_ingest_keeps_equal_rows_of_different_files(spark, n):
+    base = landing(spark, [[(1, "a")], [(1, "a"), (2, "b")], [(2, "b"), (1, "a")]])  # the third is the second, sent again
+    assert drain(spark, base, n) == [(1, "a"), (1, "a"), (2, "b")]
+    spark.createDataFrame([(1, "a")], SCHEMA).coalesce(1).write.parquet(f"{base}/in/again")
+    spark.createDataFrame([(None, "c"), (5, None)], SCHEMA).coalesce(1).write.parquet(f"{base}/in/odd")
+    want = [(1, "a"), (1, "a"), (2, "b"), (5, None), (None, "c")]
+    drain_rows = lambda: sorted(map(tuple, ingest.read_history(spark, f"{base}/history").collect()), key=repr)
+    ingest.incremental_ingest(spark, f"{base}/in/*", SCHEMA, f"{base}/history", f"{base}/checkpoint", "Period", max_files_per_trigger=n)
+    assert drain_rows() == sorted(want, key=repr)
+
+
+def test_ingest_broken_between_data_and_ledger(spark):
+    """The data of an epoch without its ledger entry is not seen; the batch run again gives the same rows once."""
+    base = scratch_path(spark, "broken")
+    one = spark.createDataFrame([(1, "a", "f1"), (1, "a", "f2"), (2, "a", "f2")], f"{SCHEMA}, {ingest.FILE} string")
+    two = spark.createDataFrame([(1, "a", "f3"), (9, "a", "f4")], f"{SCHEMA}, {ingest.FILE} string")  # f3 is f1 again
+    write = ingest.append_new(f"{base}/h", "Period", 0)
+    write(one, 0)
+    spark.createDataFrame([(77, "a")], SCHEMA).write.parquet(f"{base}/h/{ingest.EPOCH}=1")  # all that the broken batch has left
+    assert sorted(map(tuple, ingest.read_history(spark, f"{base}/h").collect())) == [(1, "a"), (1, "a"), (2, "a")]
+    write(two, 1)
+    write(two, 1)
+    assert sorted(map(tuple, ingest.read_history(spark, f"{base}/h").collect())) == [(1, "a"), (1, "a"), (2, "a"), (9, "a")]
+
+
+def test_ingest_reads_the_ledger_not_the_history(spark):
+    base = scratch_path(spark, "ledger-only")
+    ingest.append_new(f"{base}/h", "Period", 0)(spark.createDataFrame([(1, "a")], SCHEMA), 0)
+    seen = ingest.seen_periods(spark, f"{base}/h", "Period", 1)
+    assert [r[0] for r in seen.collect()] == ["a"] and all("-ledger/periods" in f for f in seen.inputFiles())
+
+
+def test_fingerprints_tell_files_apart(spark):
+    rows = [("f1", 1, None, {"k": 1}), ("f1", 2, "x", None), ("f2", 2, "x", None), ("f2", 1, None, {"k": 1}), ("f3", 1, "x", None), ("f3", 2, None, {"k": 1}),
+            ("f4", 1, None, {"k": 1}), ("f4", 2, "x", None), ("f4", 2, "x", None)]
+    out = ingest.fingerprints(spark.createDataFrame(rows, f"{ingest.FILE} string, v int, w string, m map<string,int>")).collect()
+    found = {r[ingest.FILE]: tuple(r[c] for c in ingest.PRINT) for r in out}
+    assert found["f1"] == found["f2"] and len(set(found.values())) == 3
+
+
 def test_ingest_surfaces_read_failures(spark, tmp_path):
     (tmp_path / "h").mkdir()
     (tmp_path / "h" / "part-0.parquet").write_text("not parquet")
