@@ -176,20 +176,32 @@ def duplicates(df: DataFrame, keys, name: str = "n") -> DataFrame:
     return attach(df, dup, keys, "inner")
 
 
-def impute_suppressed(df: DataFrame, value_col: str, total, token: str = "*", name: str | None = None) -> DataFrame:
-    """Replace suppressed cells with (total - sum known) / n suppressed.
+def suppressed_share(df: DataFrame, number_col: str, value_col: str, whole: Column, parts: Column, token: str = "*") -> tuple[Column, Column]:
+    """``total`` and ``fill`` for ``impute_suppressed`` where the numbers of all part rows, suppressed or not, are taken off the
+    whole, and what is left is shared out over all suppressed cells."""
+    stats = df.agg(
+        F.coalesce(F.sum(F.when(whole, F.col(number_col).cast("double"))), F.lit(0.0)).alias("_whole"),
+        F.coalesce(F.sum(F.when(parts, F.col(number_col).cast("double"))), F.lit(0.0)).alias("_parts"),
+        F.count_if(col(value_col) == token).cast("double").alias("_n"))
+    total = stats.select("_whole").scalar()
+    return total, F.try_divide(total - stats.select("_parts").scalar(), stats.select("_n").scalar())
+
+
+def impute_suppressed(df: DataFrame, value_col: str, total, fill: Column | None = None, token: str = "*", name: str | None = None) -> DataFrame:
+    """Replace suppressed cells with (total - sum known) / n suppressed, or with ``fill``.
 
     ``total`` is a scalar Column (e.g. a scalar subquery of the national
     figure) or a number; known/suppressed counts come from one aggregate.
     """
     name = name or value_col
     known = col(value_col).try_cast("double")
-    stats = df.agg(
-        F.coalesce(F.sum(F.when(col(value_col) != token, known)), F.lit(0.0)).alias("_known"),
-        F.count_if(col(value_col) == token).alias("_n"),
-    )
-    tot = total if isinstance(total, Column) else F.lit(float(total))
-    fill = F.try_divide(tot - stats.select("_known").scalar(), stats.select(F.col("_n").cast("double")).scalar())
+    if fill is None:
+        stats = df.agg(
+            F.coalesce(F.sum(F.when(col(value_col) != token, known)), F.lit(0.0)).alias("_known"),
+            F.count_if(col(value_col) == token).alias("_n"),
+        )
+        tot = total if isinstance(total, Column) else F.lit(float(total))
+        fill = F.try_divide(tot - stats.select("_known").scalar(), stats.select(F.col("_n").cast("double")).scalar())
     return df.withColumn(name, F.when(col(value_col) == token, fill).otherwise(known))
 
 

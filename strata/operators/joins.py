@@ -155,6 +155,34 @@ def state_as_of(panel: DataFrame, events: DataFrame, entity: str, month: str, ev
     return cum.filter(F.col("_panel") == 2).drop("_panel")
 
 
+def state_sweep(events: DataFrame, entity: str, event_date: str, state: str, order: Sequence[str], none: str, month: str) -> DataFrame:
+    """Entities in each state at the end of every month, from the first event's month to the last's.
+
+    ``order`` lists the states from the strongest: an entity is in the strongest one that it has reported so far, and in
+    ``none`` while it has reported none. Swept over the changes: an entity enters a state in the month in which it
+    first reports it and leaves it for a stronger one, so the work follows the events and only the calendar's months
+    are summed up, never entities x months. Events with another or a null state count for ``none`` only.
+    """
+    from pyspark.sql import Window
+
+    at = F.trunc(col(event_date), "MM")
+    first = events.groupBy(col(entity).alias("_e")).agg(F.min(at).alias("_any"), *(F.min(F.when(col(state) == s, at)).alias(s) for s in order))
+    changes = []
+    for i, s in enumerate(order):
+        stronger = F.least(*(F.col(x) for x in order[:i]), F.lit(None).cast("date"), F.lit(None).cast("date")) if i else F.lit(None).cast("date")
+        enters = F.col(s).isNotNull() & (stronger.isNull() | (F.col(s) < stronger))
+        changes += [F.when(enters, F.struct(F.col(s).alias("m"), F.lit(s).alias("s"), F.lit(1).alias("d"))),
+                    F.when(enters & stronger.isNotNull(), F.struct(stronger.alias("m"), F.lit(s).alias("s"), F.lit(-1).alias("d")))]
+    swept = first.select(F.explode(F.filter(F.array(*changes), lambda c: c.isNotNull())).alias("c")).select("c.*")
+    steps = swept.groupBy(F.col("m").alias(month)).agg(*(F.sum(F.when(F.col("s") == s, F.col("d")).otherwise(0)).alias(s) for s in order))
+    span = events.agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo IS NOT NULL")
+    months = span.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias(month))
+    so_far = Window.orderBy(month).rowsBetween(Window.unboundedPreceding, 0)  # one row per month of the calendar
+    counted = months.join(steps, month, "left").select(month, *(F.sum(F.coalesce(F.col(s), F.lit(0))).over(so_far).alias(s) for s in order))
+    everyone = first.select(F.count(F.lit(1)).alias("n")).scalar()
+    return counted.withColumn(none, everyone - reduce(lambda a, b: a + b, (F.col(s) for s in order)))
+
+
 def with_scalar(df: DataFrame, name: str, scalar_df: DataFrame) -> DataFrame:
     """Attach a one-row, one-column aggregate to every row."""
     return df.withColumn(name, scalar_df.scalar())

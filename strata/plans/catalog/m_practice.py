@@ -174,20 +174,18 @@ def m35(spark, sf):
                           "Discharge_Date", "Provider_Code", "Discharges", grain="day", drop_last=True, run_date=EMERGENCY_RUN_DATE)
 
 
+# England less provider numbers over all suppressed cells; site rows beside the trust's discharges, not summed (notebook lines 80-114).
 @query("m36_trust_suppressed", oracle="""
-WITH imp AS (SELECT strftime(Reporting_Period_Start, '%Y-%m') AS Month, Primary_Level AS Trust,
-               CASE WHEN Measure_Value_Str = '*' THEN
-                 ((SELECT sum(Measure_Value) FROM v_mh WHERE Breakdown = 'England') -
-                  (SELECT sum(TRY_CAST(Measure_Value_Str AS DOUBLE)) FROM v_mh WHERE Breakdown = 'Provider' AND Measure_Value_Str <> '*')) /
-                  (SELECT count(*) FROM v_mh WHERE Breakdown = 'Provider' AND Measure_Value_Str = '*')
-               ELSE TRY_CAST(Measure_Value_Str AS DOUBLE) END AS v FROM v_mh WHERE Breakdown = 'Provider'),
-     den AS (SELECT Month, Trust, coalesce(sum(v), 0) AS Discharges FROM imp GROUP BY ALL),
+WITH fill AS (SELECT ((SELECT sum(Measure_Value) FROM v_mh WHERE Breakdown = 'England') - (SELECT sum(Measure_Value) FROM v_mh WHERE Breakdown = 'Provider'))
+                / CAST((SELECT count(*) FROM v_mh WHERE Measure_Value_Str = '*') AS DOUBLE) AS v),
+     den AS (SELECT strftime(Reporting_Period_Start, '%Y-%m') AS Month, Primary_Level AS Trust,
+               coalesce(sum(CASE WHEN Measure_Value_Str = '*' THEN (SELECT v FROM fill) ELSE TRY_CAST(Measure_Value_Str AS DOUBLE) END), 0) AS Discharges
+             FROM v_mh WHERE Breakdown = 'Provider' GROUP BY ALL),
      site AS (SELECT strftime(_time, '%Y-%m') AS Month, recipientOdsCode, CAST(floor(count(*) / 2) AS BIGINT) AS Pairs
-              FROM v_acks WHERE workflow = 'TOC_FHIR_MH_DISCH_ACK' GROUP BY ALL),
-     pairs AS (SELECT Month, substr(recipientOdsCode, 1, 3) AS Trust, CAST(sum(Pairs) AS BIGINT) AS Pairs FROM site GROUP BY ALL)
-SELECT den.Month, den.Trust, CAST(round_even(den.Discharges, 2) AS DOUBLE) AS Discharges, coalesce(pairs.Pairs, 0) AS Pairs,
-       CAST(round_even(coalesce(pairs.Pairs, 0) / (den.Discharges / 1000.0), 2) AS DOUBLE) AS Per_1000
-FROM den LEFT JOIN pairs ON den.Month = pairs.Month AND den.Trust = pairs.Trust""")
+              FROM v_acks WHERE workflow = 'TOC_FHIR_MH_DISCH_ACK' GROUP BY ALL)
+SELECT den.Month, den.Trust, CAST(round_even(den.Discharges, 2) AS DOUBLE) AS Discharges, coalesce(site.Pairs, 0) AS Pairs,
+       CAST(round_even(coalesce(site.Pairs, 0) / (den.Discharges / 1000.0), 2) AS DOUBLE) AS Per_1000
+FROM den LEFT JOIN site ON den.Month = site.Month AND den.Trust = substr(site.recipientOdsCode, 1, 3)""")
 def m36(spark, sf):
     return fam.trust_suppressed(view(spark, sf, "v_acks"), view(spark, sf, "v_mh"), "TOC_FHIR_MH_DISCH_ACK")
 

@@ -8,6 +8,7 @@ from strata.operators import joins as J
 from strata.operators import sets as U
 from strata.operators import timeseries as W
 from strata.operators.projection import rename, rename_at
+from strata.plans import families as fam
 from strata.plans.registry import query
 from strata.plans.standins import view
 from strata.sources.files import flatten_json
@@ -62,116 +63,152 @@ def m43(spark, sf):
                               F.bround(met / F.count(F.lit(1)), 4).alias("Pct_Met")], {"Org_Type": "Trust"})
 
 
+# The trusts that the mix counts, its statuses from the oldest edition on, and the publication date behind which the oldest is out.
+M44_ROLES, M44_STATUSES, M44_SWITCH = ["BUILDING", "MACHINERY"], ["STANDARDS MET (19-20)", "Approaching Standards", "Standards Exceeded", "Standards Met"], "1999-08-31"
+
+
+# By folder: the outer join with the reference, code exclusion, organisation types, the status list that depends on the
+# newest publication date, totals by area and by area and status (notebook lines 160-242).
 @query("m44_status_mix", oracle="""
 WITH s AS (SELECT * FROM v_status WHERE Snapshot_Date IN (SELECT max(Snapshot_Date) FROM v_status GROUP BY date_trunc('month', Snapshot_Date))
              AND Snapshot_Date <= DATE '2001-05-31'),
-     g AS (SELECT s.Snapshot_Date, c.c_nationkey AS ICB, s.Status, CAST(count(*) AS BIGINT) AS n FROM s JOIN customer c ON s.Code = c.c_custkey GROUP BY ALL)
-SELECT Snapshot_Date, ICB, Status, n, CAST(round_even(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY Snapshot_Date, ICB), 4) AS DOUBLE) AS share FROM g""",
-       dates=["Snapshot_Date"])
+     j AS (SELECT s.Snapshot_Date, o.ICB_Code AS ICB, s.Status, s.Snapshot_Date AS Published FROM s JOIN v_org o ON s.Code = o.Code
+           WHERE NOT regexp_matches(o.Name, '0000001') AND o.Role IN ('BUILDING', 'MACHINERY')),
+     p AS (SELECT Snapshot_Date, max(Published) AS newest FROM j GROUP BY Snapshot_Date),
+     k AS (SELECT j.* FROM j JOIN p USING (Snapshot_Date) WHERE Status IN ('Approaching Standards', 'Standards Exceeded', 'Standards Met')
+             OR (Status = 'STANDARDS MET (19-20)' AND NOT coalesce(newest > DATE '1999-08-31', false))),
+     t AS (SELECT Snapshot_Date, ICB, CAST(count(*) AS BIGINT) AS total FROM k GROUP BY ALL),
+     g AS (SELECT Snapshot_Date, ICB, Status, CAST(count(*) AS BIGINT) AS n FROM k GROUP BY ALL)
+SELECT g.*, t.total FROM t JOIN g USING (Snapshot_Date, ICB)""", dates=["Snapshot_Date"])
 def m44(spark, sf):
     s = FL.latest_per_month(view(spark, sf, "v_status"), "Snapshot_Date")
-    s = FL.cap_to_report_month(s, "Snapshot_Date", "2001-06-15")
-    c = table(spark, sf, "customer", ["c_custkey", "c_nationkey"]).withColumnRenamed("c_nationkey", "ICB")
-    j = J.join_on(s, c, "Code", "c_custkey", "inner")
-    return A.share_within(j, ["Snapshot_Date", "ICB"], ["Status"], name="n")
-
+    s = FL.cap_to_report_month(s, "Snapshot_Date", "2001-06-15").select("Code", "Status", "Snapshot_Date", F.col("Snapshot_Date").alias("Published"))
+    o = view(spark, sf, "v_org").select("Code", "Name", "Role", F.col("ICB_Code").alias("ICB"))
+    o = FL.isin(FL.contains(o, "Name", "0000001", negate=True), "Role", M44_ROLES)
+    j = J.join_on(s, o, "Code", how="inner")
+    return fam.status_mix(j, "Snapshot_Date", "ICB", "Status", "Published", M44_STATUSES, outdated=1, switch=M44_SWITCH)
+
+
+# Statuses that count as met or exceeded, by month of the register.
+M45_BUCKETS = [(None, "1997-09", MET[:2]), ("1997-10", "1999-08", ["Standards Met", "STANDARDS MET (19-20)"]), ("1999-09", None, ["Standards Exceeded"])]
+
+
+# Counts by date and status, three windows, sum by date, share of all of the date (notebook lines 82-131).
+@query("m45_bucketed_pct", oracle="""
+WITH c AS (SELECT strftime(Snapshot_Date, '%Y-%m') AS Date, Status, count(*) AS n FROM v_status WHERE Status IS NOT NULL GROUP BY ALL),
+     k AS (SELECT Date, CAST(sum(n) AS BIGINT) AS Met_Or_Exceeded FROM c
+           WHERE (Date <= '1997-09' AND Status IN ('Standards Met', 'Standards Exceeded'))
+              OR (Date >= '1997-10' AND Date < '1999-09' AND Status IN ('Standards Met', 'STANDARDS MET (19-20)'))
+              OR (Date >= '1999-09' AND Status = 'Standards Exceeded') GROUP BY Date),
+     t AS (SELECT Date, CAST(sum(n) AS BIGINT) AS Total FROM c GROUP BY Date)
+SELECT k.Date, Met_Or_Exceeded, Total, CAST(round_even(CAST(Met_Or_Exceeded AS DOUBLE) / Total, 4) AS DOUBLE) AS Pct FROM k LEFT JOIN t USING (Date)""")
+def m45(spark, sf):
+    s = view(spark, sf, "v_status").select(F.date_format("Snapshot_Date", "yyyy-MM").alias("Date"), "Status")
+    return fam.met_by_date(s, "Date", "Status", M45_BUCKETS)
 
-_BUCKET_SQL = """(Period <= '1997-09' AND Status IN ('Standards Met', 'Standards Exceeded'))
-   OR (Period >= '1997-10' AND Period <= '1999-08' AND Status IN ('Standards Met', 'STANDARDS MET (19-20)'))
-   OR (Period >= '1999-09' AND Status IN ('Standards Exceeded'))"""
 
-
-@query("m45_bucketed_pct", oracle=f"""
-WITH c AS (SELECT strftime(Snapshot_Date, '%Y') AS Period, Status, CAST(count(*) AS BIGINT) AS n FROM v_status GROUP BY ALL),
-     t AS (SELECT Period, CAST(sum(n) AS BIGINT) AS total FROM c GROUP BY Period),
-     k AS (SELECT * FROM c WHERE {_BUCKET_SQL.replace("'1997-09'", "'1997'").replace("'1997-10'", "'1998'").replace("'1999-08'", "'1999'").replace("'1999-09'", "'2000'")})
-SELECT k.Period, k.Status, k.n, t.total, CAST(round_even(CAST(k.n AS DOUBLE) / t.total, 4) AS DOUBLE) AS Pct FROM k LEFT JOIN t ON k.Period = t.Period""")
-def m45(spark, sf):
-    c = A.count_by(view(spark, sf, "v_status").withColumn("Period", F.date_format("Snapshot_Date", "yyyy")), ["Period", "Status"], name="n")
-    tot = A.sum_by(c, ["Period"], ["n"], names={"n": "total"})
-    k = FL.bucketed_status(c, "Period", "Status", [(None, "1997", MET[:2]), ("1998", "1999", ["Standards Met", "STANDARDS MET (19-20)"]),
-                                                   ("2000", None, ["Standards Exceeded"])])
-    return J.join_on(k, tot, "Period", how="left").withColumn("Pct", C.ratio("n", "total", 4))
+# The statuses that the area table keeps, and its first month.
+M46_STATUSES, M46_FROM = ["Approaching Standards", "Standards Exceeded", "Standards Met", "None"], "1998-01"
 
 
+# Kept statuses from a first month on, totals by date and area, month ends up to the report month (notebook lines 160-218).
 @query("m46_status_by_icb", oracle="""
-WITH s AS (SELECT last_day(Snapshot_Date) AS Month_End, Code, Status FROM v_status WHERE Status NOT IN ('None') AND Snapshot_Date <= DATE '2001-05-31'),
-     h AS (SELECT s.*, r.r_name AS Region FROM s LEFT JOIN customer c ON s.Code = c.c_custkey LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
-           LEFT JOIN region r ON n.n_regionkey = r.r_regionkey),
-     g AS (SELECT Month_End, Region, Status, CAST(count(*) AS BIGINT) AS n FROM h WHERE Month_End IS NOT NULL AND Region IS NOT NULL GROUP BY ALL)
-SELECT Month_End, Region, Status, n, CAST(round_even(CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY Month_End, Region), 4) AS DOUBLE) AS share FROM g""",
-       dates=["Month_End"])
+WITH s AS (SELECT strftime(s.Snapshot_Date, '%Y-%m') AS d, o.ICB_Code AS ICB, s.Status FROM v_status s JOIN v_org o ON s.Code = o.Code
+           WHERE s.Status IN ('Approaching Standards', 'Standards Exceeded', 'Standards Met', 'None')),
+     k AS (SELECT * FROM s WHERE d >= '1998-01'),
+     t AS (SELECT d, ICB, CAST(count(*) AS BIGINT) AS total FROM k GROUP BY ALL),
+     g AS (SELECT d, ICB, Status, CAST(count(*) AS BIGINT) AS n FROM k GROUP BY ALL)
+SELECT last_day(CAST(d || '-01' AS DATE)) AS Month_End, ICB, Status, n, total FROM g JOIN t USING (d, ICB)
+WHERE last_day(CAST(d || '-01' AS DATE)) <= DATE '2001-05-31'""", dates=["Month_End"])
 def m46(spark, sf):
-    s = FL.isin(view(spark, sf, "v_status"), "Status", ["None"], negate=True)
-    s = FL.cap_to_report_month(s, "Snapshot_Date", "2001-06-15").select(C.month_end("Snapshot_Date").alias("Month_End"), "Code", "Status")
-    c = table(spark, sf, "customer", ["c_custkey", "c_nationkey"])
-    n = table(spark, sf, "nation", ["n_nationkey", "n_regionkey"])
-    r = table(spark, sf, "region", ["r_regionkey", "r_name"])
-    h = J.map_hierarchy(s, [(c, "Code", "c_custkey"), (n, "c_nationkey", "n_nationkey"), (r, "n_regionkey", "r_regionkey")])
-    return A.share_within(h.withColumnRenamed("r_name", "Region"), ["Month_End", "Region"], ["Status"], name="n")
+    s = view(spark, sf, "v_status").filter(F.date_format("Snapshot_Date", "yyyy-MM") >= M46_FROM)
+    s = s.select(C.month_end("Snapshot_Date").alias("Month_End"), "Code", "Status")
+    s = FL.cap_to_report_month(s, "Month_End", "2001-06-15")
+    j = J.join_on(s, view(spark, sf, "v_org").select("Code", F.col("ICB_Code").alias("ICB")), "Code", how="left")
+    return fam.status_mix(j, "Month_End", "ICB", "Status", None, M46_STATUSES)
 
 
+# Every response counts, by month, type and place; a response without a place falls out of the grouping (notebook lines 200-294).
 @query("m47_cond_counts", oracle="""
-WITH a AS (SELECT DISTINCT Location, CAST(date_trunc('month', Date) AS DATE) AS Month, Answer FROM v_answers),
-     f AS (SELECT Location, Month, max(CASE WHEN Answer = 'Yes' THEN 1 ELSE 0 END) AS Any_Yes, max(CASE WHEN Answer IS NOT NULL THEN 1 ELSE 0 END) AS Any_Answer
-           FROM a GROUP BY ALL),
-     j AS (SELECT f.*, o.ICB_Name FROM f LEFT JOIN v_org o ON f.Location = o.Code)
-SELECT ICB_Name, Month, Yes, Answered, CAST(round_even(CAST(Yes AS DOUBLE) / nullif(Answered, 0), 4) AS DOUBLE) AS Pct_Yes FROM
- (SELECT ICB_Name, Month, CAST(count_if(Any_Yes = 1) AS BIGINT) AS Yes, CAST(count_if(Any_Answer = 1) AS BIGINT) AS Answered
-  FROM j WHERE ICB_Name IS NOT NULL GROUP BY ALL) t""", dates=["Month"])
+SELECT strftime(a.Date, '%m-%Y') AS Month_Year, a.Type, o.ICB_Name, o.Region_Name, CAST(count(*) FILTER (WHERE a.Answer = 'Yes') AS BIGINT) AS PIR_YES,
+  CAST(count(*) FILTER (WHERE a.Answer = 'No') AS BIGINT) AS PIR_NO, CAST(count(a.Answer) AS BIGINT) AS PIR_COUNT,
+  CAST(count(*) FILTER (WHERE a.Answer = 'Yes') AS DOUBLE) / nullif(count(*) FILTER (WHERE a.Answer = 'Yes') + count(*) FILTER (WHERE a.Answer = 'No'), 0) AS PIR_PERCENTAGE
+FROM v_answers a LEFT JOIN v_org o ON a.Location = o.Code WHERE a.Type IS NOT NULL AND o.ICB_Name IS NOT NULL AND o.Region_Name IS NOT NULL GROUP BY ALL""")
 def m47(spark, sf):
-    a = U.distinct(view(spark, sf, "v_answers").select("Location", F.trunc("Date", "MM").alias("Month"), "Answer"))
-    f = a.groupBy("Location", "Month").agg(F.max(C.flag(F.col("Answer") == "Yes")).alias("Any_Yes"),
-                                           F.max(C.flag(F.col("Answer").isNotNull())).alias("Any_Answer"))
-    j = J.join_on(f, view(spark, sf, "v_org").select("Code", "ICB_Name"), "Location", "Code", how="left")
-    return A.cond_counts(j, ["ICB_Name", "Month"], "Any_Yes", {"Yes": 1}, answered=None).join(
-        A.count_by(j.filter(F.col("Any_Answer") == 1), ["ICB_Name", "Month"], name="Answered"), ["ICB_Name", "Month"], "left").na.fill(
-        0, subset=["Answered"]).withColumn("Pct_Yes", C.ratio("Yes", "Answered", 4))
+    places = view(spark, sf, "v_org").select("Code", "ICB_Name", "Region_Name")
+    return fam.responses_by_month(view(spark, sf, "v_answers"), places, "Location", "Code", "Date", ["Type"], ["ICB_Name", "Region_Name"], "Answer")
 
 
+# Locations of the latest register; of each (location, type) the last response, of those the last by answer with missing
+# answers behind "Yes"; PIRm_n counts all answers of the location (notebook lines 112-212).
 _COLLATED = """
-WITH s1 AS (SELECT * FROM (SELECT Location, Type, Date, o_orderkey, Answer,
+WITH spine AS (SELECT Code AS Location, ICB_Name, Region_Name, CAST(date_trunc('month', (SELECT max(Date) FROM v_answers)) AS DATE) AS monthly_date
+               FROM v_org WHERE Close_Date IS NULL),
+     n AS (SELECT Location, CAST(count(Answer) AS BIGINT) AS PIRm_n FROM v_answers GROUP BY Location),
+     s1 AS (SELECT * FROM (SELECT Location, Type, Date, o_orderkey, Answer,
               row_number() OVER (PARTITION BY Location, Type ORDER BY Date DESC, o_orderkey DESC) AS rn FROM v_answers) t WHERE rn = 1),
      s2 AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY Location ORDER BY Answer DESC NULLS FIRST, Date DESC, o_orderkey DESC) AS rn2
               FROM s1) t WHERE rn2 = 1),
-     c AS (SELECT s2.Location, s2.Date, s2.Answer, o.ICB_Name FROM s2 LEFT JOIN v_org o ON s2.Location = o.Code)"""
+     unit AS (SELECT s2.Location, s2.Type, s2.Date, s2.Answer, n.PIRm_n FROM s2 JOIN n ON s2.Location = n.Location)"""
+
 
+def _spine(spark, sf):
+    """The latest register: locations that are not closed, with the month of the newest drop."""
+    month = view(spark, sf, "v_answers").select(F.trunc(F.max("Date"), "MM")).scalar()
+    return view(spark, sf, "v_org").filter("Close_Date IS NULL").select(
+        F.col("Code").alias("Location"), "ICB_Name", "Region_Name", month.alias("monthly_date"))
 
-def _collated(spark, sf):
+
+def _unit(spark, sf):
+    """One response of each location, and how many of all its responses have an answer."""
     a = view(spark, sf, "v_answers").select("Location", "Type", "Date", "o_orderkey", "Answer")
-    r = W.reduce_answers(a, "Location", "Type", "Date", "Answer", tiebreak=["o_orderkey"]).select("Location", "Date", "Answer")
-    return J.join_on(r, view(spark, sf, "v_org").select("Code", "ICB_Name"), "Location", "Code", how="left").drop("Code")
+    one = W.reduce_answers(a, "Location", "Type", "Date", "Answer", tiebreak=["o_orderkey"]).select("Location", "Type", "Date", "Answer")
+    n = a.groupBy("Location").agg(F.count("Answer").alias("PIRm_n"))
+    return one.join(n, "Location")
 
 
 @query("m48_collated", oracle=_COLLATED + """
-SELECT c.*, CAST(count(c.Answer) OVER (PARTITION BY ICB_Name) AS BIGINT) AS Answered_In_ICB FROM c""", dates=["Date"])
+SELECT spine.*, unit.Type, unit.Date, unit.Answer, unit.PIRm_n FROM spine LEFT JOIN unit ON spine.Location = unit.Location""", dates=["monthly_date", "Date"])
 def m48(spark, sf):
-    return W.n_in_group(_collated(spark, sf), ["ICB_Name"], "Answer", "Answered_In_ICB")
+    return _spine(spark, sf).join(_unit(spark, sf), "Location", "left")
 
 
+# Service-user rows of the average month (30 days 10:29:06) before the register's month, then the response (notebook lines 214-262).
 @query("m49_offset_join", oracle=_COLLATED + """,
-     b AS (SELECT Location, strftime(CAST(date_trunc('month', Date) AS DATE) + INTERVAL 1 MONTH, '%Y-%m') AS ym, CAST(sum(Beds) AS BIGINT) AS Beds
-           FROM v_answers GROUP BY ALL)
-SELECT c.Location, c.Date, c.Answer, c.ICB_Name, b.Beds FROM c LEFT JOIN b ON c.Location = b.Location AND strftime(c.Date, '%Y-%m') = b.ym""",
-       dates=["Date"])
+     b AS (SELECT Location, strftime(CAST(Date AS TIMESTAMP) + INTERVAL '30 days 10 hours 29 minutes 6 seconds', '%Y-%m') AS join_date, Beds
+           FROM v_answers WHERE Beds IS NOT NULL)
+SELECT spine.*, b.Beds, unit.Type, unit.Date, unit.Answer, unit.PIRm_n
+FROM spine LEFT JOIN b ON spine.Location = b.Location AND strftime(spine.monthly_date, '%Y-%m') = b.join_date
+LEFT JOIN unit ON spine.Location = unit.Location""", dates=["monthly_date", "Date"])
 def m49(spark, sf):
-    """The capacity feed is moved one month forward: a month's answer gets the beds of the month before."""
-    beds = view(spark, sf, "v_answers").groupBy("Location", F.trunc("Date", "MM").alias("BMonth")).agg(F.sum("Beds").cast("long").alias("Beds"))
-    return J.join_month_offset(_collated(spark, sf), beds, "Location", "Date", "BMonth", -1, how="left").drop("BMonth")
+    beds = view(spark, sf, "v_answers").filter("Beds IS NOT NULL").select(
+        "Location", F.date_format(C.add_avg_month("Date"), "yyyy-MM").alias("join_date"), "Beds")
+    spine = _spine(spark, sf).withColumn("join_date", F.date_format("monthly_date", "yyyy-MM"))
+    return spine.join(beds, ["Location", "join_date"], "left").join(_unit(spark, sf), "Location", "left").drop("join_date")
 
 
+# Every location and month of the register: answers up to the month's end, yes and no apart; "None" without either
+# (notebook lines 226-292).
 @query("m50_state_to_date", oracle="""
-WITH s AS (SELECT p.Location, p.Month, max(CASE WHEN a.Answer = 'Yes' THEN 1 ELSE 0 END) AS Ever_Yes, CAST(count(a.Location) AS BIGINT) AS Answers
-           FROM v_panel p LEFT JOIN v_answers a ON a.Location = p.Location AND a.Date <= last_day(p.Month) GROUP BY ALL),
-     l AS (SELECT last_day(Month) AS Month_End, CASE WHEN Ever_Yes = 1 THEN 'Yes' WHEN Answers > 0 THEN 'No' ELSE 'Unknown' END AS State FROM s)
-SELECT Month_End, CAST(count_if(State = 'Yes') AS BIGINT) AS Yes, CAST(count_if(State = 'No') AS BIGINT) AS No,
-       CAST(count_if(State = 'Unknown') AS BIGINT) AS Unknown FROM l GROUP BY Month_End""", dates=["Month_End"])
+SELECT p.Location, last_day(p.Month) AS Month_End, CAST(count(*) FILTER (WHERE a.Answer = 'Yes') AS BIGINT) AS YEStodate, CAST(count(*) FILTER (WHERE a.Answer = 'No') AS BIGINT) AS NOtodate,
+  CASE WHEN count(*) FILTER (WHERE a.Answer = 'Yes') >= 1 THEN 'Yes' WHEN count(*) FILTER (WHERE a.Answer = 'No') >= 1 THEN 'No' ELSE 'None' END AS PIR_todate
+FROM v_panel p LEFT JOIN v_answers a ON a.Location = p.Location AND a.Date <= last_day(p.Month) GROUP BY p.Location, p.Month""", dates=["Month_End"])
 def m50(spark, sf):
+    one = lambda answer: F.when(F.col("Answer") == answer, 1).otherwise(0).cast("long")
     s = J.state_as_of(view(spark, sf, "v_panel"), view(spark, sf, "v_answers"), "Location", "Month", "Date", {
-        "Ever_Yes": (C.flag(F.col("Answer") == "Yes"), "max"), "Answers": (F.lit(1).cast("long"), "sum")})
-    s = s.withColumn("State", C.case([(F.col("Ever_Yes") == 1, "Yes"), (F.col("Answers") > 0, "No")], default="Unknown"))
-    s = s.withColumn("Month_End", C.month_end("Month"))
-    return A.cond_counts(s, ["Month_End"], "State", {"Yes": "Yes", "No": "No", "Unknown": "Unknown"}, answered=None)
+        "YEStodate": (one("Yes"), "sum"), "NOtodate": (one("No"), "sum")})
+    return s.select("Location", C.month_end("Month").alias("Month_End"), "YEStodate", "NOtodate",
+                    C.case([(F.col("YEStodate") >= 1, "Yes"), (F.col("NOtodate") >= 1, "No")], default="None").alias("PIR_todate"))
+
+
+@query("m50_states_by_month", oracle="""
+WITH s AS (SELECT p.Location, p.Month, count(*) FILTER (WHERE a.Answer = 'Yes') AS y, count(*) FILTER (WHERE a.Answer = 'No') AS n
+           FROM v_panel p LEFT JOIN v_answers a ON a.Location = p.Location AND a.Date <= last_day(p.Month) GROUP BY p.Location, p.Month)
+SELECT Month, CAST(count_if(y >= 1) AS BIGINT) AS Yes, CAST(count_if(y = 0 AND n >= 1) AS BIGINT) AS No, CAST(count_if(y + n = 0) AS BIGINT) AS "None"
+FROM s GROUP BY Month""", dates=["Month"])
+def m50_states(spark, sf):
+    """M50 summed by month: swept over the changes of state, without a row for each location and month."""
+    return J.state_sweep(view(spark, sf, "v_answers"), "Location", "Date", "Answer", ["Yes", "No"], "None", "Month")
 
 
 @query("m51_adoption", oracle="""

@@ -300,21 +300,52 @@ def trust_rate(acks: DataFrame, denom: DataFrame, workflow: str, den_date: str,
 
 
 def trust_suppressed(acks: DataFrame, mh: DataFrame, workflow: str, dp: int = 2) -> DataFrame:
-    """Suppressed provider counts imputed from the national total, summed
-    per (month, trust), joined to message pairs, rate per 1 000."""
-    national = mh.filter(F.col("Breakdown") == "England").select(F.sum("Measure_Value").cast("double")).scalar()
-    prov = mh.filter(F.col("Breakdown") == "Provider")
-    imp = A.impute_suppressed(prov, "Measure_Value_Str", national, name="Discharges")
-    imp = imp.withColumn("Month", F.date_format("Reporting_Period_Start", "yyyy-MM")).withColumnRenamed("Primary_Level", "Trust")
-    den = A.sum_by(imp, ["Month", "Trust"], ["Discharges"])
-    x = FL.contains(acks.filter(F.col("workflow") == workflow), "workflow", ACK).withColumn("Month", F.date_format("_time", "yyyy-MM"))
-    site = A.count_by(x, ["Month", "recipientOdsCode"], name="n").withColumn("Pairs", F.floor(F.col("n") / 2).cast("long"))
-    site = site.withColumn("Trust", C.prefix("recipientOdsCode", 3))
-    pairs = A.sum_by(site, ["Month", "Trust"], ["Pairs"])
-    j = J.join_on(den, pairs, ["Month", "Trust"], how="left").na.fill(0, subset=["Pairs"])
+    """Discharges per (month, trust), suppressed cells imputed from the national total less all provider numbers, shared
+    out over all suppressed cells. Every recipient site keeps its own row of pairs beside its trust's discharges."""
+    prov = A.impute_suppressed(mh.filter(F.col("Breakdown") == "Provider"), "Measure_Value_Str", *A.suppressed_share(
+        mh, "Measure_Value", "Measure_Value_Str", F.col("Breakdown") == "England", F.col("Breakdown") == "Provider"), name="Discharges")
+    prov = prov.withColumn("Month", F.date_format("Reporting_Period_Start", "yyyy-MM")).withColumnRenamed("Primary_Level", "Trust")
+    den = A.sum_by(prov, ["Month", "Trust"], ["Discharges"])
+    x = acks.filter(F.col("workflow") == workflow).withColumn("Month", F.date_format("_time", "yyyy-MM"))
+    site = A.count_by(x, ["Month", "recipientOdsCode"], name="n").select(
+        "Month", C.prefix("recipientOdsCode", 3).alias("Trust"), F.floor(F.col("n") / 2).cast("long").alias("Pairs"))
+    j = J.join_on(den, site, ["Month", "Trust"], how="left").na.fill(0, subset=["Pairs"])
     return j.withColumn("Per_1000", F.bround(C.rate("Pairs", "Discharges", 1000), dp)).withColumn("Discharges", F.bround("Discharges", dp))
 
 
+# ---------------------------------------------------------------- status and responses
+def status_mix(df: DataFrame, date: str, area: str, status: str, published: str | None, statuses: Sequence[str], outdated: int = 0, switch: str | None = None) -> DataFrame:
+    """Rows per (date, area, status) with the area's total over the statuses that count; rows without an area
+    fall out. From the date whose newest ``published`` is behind ``switch`` on, the first ``outdated`` statuses don't count."""
+    kept = FL.isin(df.filter(F.col(area).isNotNull()), status, list(statuses))
+    if switch:
+        newest = df.groupBy(date).agg(F.max(published).alias("_newest"))
+        old = F.col(status).isin(list(statuses[:outdated])) & F.coalesce(F.col("_newest") > F.lit(switch).cast("date"), F.lit(False))
+        kept = J.join_on(kept, newest, date, how="left").filter(~old)
+    n = A.count_by(kept, [date, area, status], name="n")
+    return J.join_on(n, A.sum_by(n, [date, area], ["n"], names={"n": "total"}), [date, area], how="left")
+
+
+def met_by_date(df: DataFrame, date: str, status: str, buckets, dp: int = 4) -> DataFrame:
+    """One row per date: rows whose status counts as met in the date's bucket, all rows, and their share. Dates without
+    a met row are left out."""
+    n = A.count_by(df.filter(F.col(status).isNotNull()), [date, status], name="n")
+    met = A.sum_by(FL.bucketed_status(n, date, status, buckets), [date], ["n"], names={"n": "Met_Or_Exceeded"})
+    total = A.sum_by(n, [date], ["n"], names={"n": "Total"})
+    return J.join_on(met, total, date, how="left").withColumn("Pct", C.ratio("Met_Or_Exceeded", "Total", dp))
+
+
+def responses_by_month(answers: DataFrame, places: DataFrame, entity: str, place_key: str, date: str, keys: Sequence[str], dims: Sequence[str], answer: str) -> DataFrame:
+    """Every response counts by month, ``keys`` and the place's ``dims``; rows with a null among them fall out. The share
+    is of the yes and no answers."""
+    j = J.join_on(answers.withColumn("Month_Year", F.date_format(date, "MM-yyyy")), places, entity, place_key, how="left")
+    grouped = [*keys, *dims]
+    j = j.dropna(subset=["Month_Year", *grouped])
+    out = j.groupBy("Month_Year", *grouped).agg(
+        F.count_if(F.col(answer) == "Yes").alias("PIR_YES"), F.count_if(F.col(answer) == "No").alias("PIR_NO"), F.count(answer).alias("PIR_COUNT"))
+    return out.withColumn("PIR_PERCENTAGE", F.try_divide(F.col("PIR_YES").cast("double"), (F.col("PIR_YES") + F.col("PIR_NO")).cast("double")))
+
+
 # ---------------------------------------------------------------- wards
 def stp_population(pop: DataFrame, extract: str, org_type: str, org: str, sex: str, age: str, size: str, min_age: int = 16) -> DataFrame:
     """Registered population per (extract date, organisation): STP rows of both
