@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import col
+from strata.operators.ordered import zipped
 from strata.operators.projection import with_row_id
 
 
@@ -87,21 +88,9 @@ def scaffold_dates(entities: DataFrame, dates: DataFrame, name: str = "Date") ->
     return entities.distinct().withColumn(name, F.explode(known))
 
 
-MAX_PERIODS = 100_000
-
-
-def _numbered_periods(df: DataFrame, order: Sequence) -> DataFrame:
-    from pyspark.sql import Window
-
-    at = F.row_number().over(Window.orderBy(*order))
-    return df.withColumn("_pos", F.when(at > MAX_PERIODS, F.raise_error(F.lit(
-        f"positional join: more than {MAX_PERIODS} rows; it is meant for one row per period")).cast("int")).otherwise(at))
-
-
 def zip_join(a: DataFrame, b: DataFrame, order_a: Sequence, order_b: Sequence, how: str = "left") -> DataFrame:
-    """Positional join — i-th row of ``a`` (by ``order_a``) with the i-th of
-    ``b``. For period-grain frames: more than MAX_PERIODS rows raise."""
-    return _numbered_periods(a, order_a).join(_numbered_periods(b, order_b), "_pos", how).drop("_pos")
+    """Positional join — i-th row of ``a`` (by ``order_a``) with the i-th of ``b``, for frames of any size."""
+    return zipped(a, b, order_a, order_b, how)
 
 
 def widen(spine: DataFrame, feeds: Mapping[str, tuple[DataFrame, str]], keys, agg: str = "sum") -> DataFrame:

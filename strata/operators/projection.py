@@ -8,12 +8,11 @@ from __future__ import annotations
 import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from strata.functions.columns import col, normalise_header
-from strata.session import ensure_checkpoint_dir
 
 
 def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -83,30 +82,9 @@ def round_all(df: DataFrame, dp: int = 0) -> DataFrame:
 def with_row_id(df: DataFrame, order: Sequence, name: str = "Unique_ID", start: int = 0) -> DataFrame:
     """Dense surrogate key 0..n-1 following a total ``order``.
 
-    Distributed: range-partition and sort on the order, checkpoint so that
-    partition contents are fixed, number rows inside each partition and add
-    the running count of the preceding partitions (a table with one row per
-    partition, broadcast). No single-partition window over the whole table.
-    ``order`` must be a total order (add a unique tiebreak column).
+    Numbered inside range buckets, plus the rows of the buckets before: lazy, without a checkpoint, and never a
+    single-partition window over the table. ``order`` must be a total order (add a unique tiebreak column).
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [col(c) for c in order]
-    fixed = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).checkpoint(eager=True)
-    mid = F.monotonically_increasing_id()
-    tagged = fixed.withColumn("_rid", mid).withColumn("_pid", F.shiftright(F.col("_rid"), 33))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.withColumn(
-        "_off",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ),
-    ).select("_pid", "_off")
-    local = F.col("_rid") - F.shiftleft(F.col("_pid"), 33)
-    return (
-        tagged.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, (F.col("_off") + local + F.lit(start)).cast("long"))
-        .drop("_pid", "_rid", "_off")
-    )
+    from strata.operators.ordered import numbered
+
+    return numbered(df, order, name, start)

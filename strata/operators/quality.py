@@ -84,14 +84,10 @@ class Check:
 
     @staticmethod
     def increasing(df: DataFrame, c: str, order: Sequence[str], strict: bool = False) -> Check:
-        """V9: values of ``c`` never go down along ``order`` — consecutive
-        rows are paired through a distributed dense row id (no global window)."""
-        from strata.operators.projection import with_row_id
-
-        r = with_row_id(df.select(*order, F.col(c).alias("_v")), order, name="_i")
-        nxt = r.select((F.col("_i") - 1).alias("_i"), F.col("_v").alias("_n"))
-        bad = (F.col("_n") <= F.col("_v")) if strict else (F.col("_n") < F.col("_v"))
-        viol = r.join(nxt, "_i").select(F.count_if(bad)).scalar()
+        """V9: values of ``c`` never go down along ``order`` — compared inside range buckets, and at their borders."""
+        from strata.operators.ordered import order_violations
+
+        viol = order_violations(df, c, order, strict).scalar()
         return Check("increasing", viol, 0, 0, c, scalar=True)
 
     @staticmethod

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from strata.functions import columns as C
 from strata.operators import aggregates as A
+from strata.operators import ordered as R
 from strata.operators import timeseries as W
 from strata.plans.registry import query
 from strata.plans.standins import view
@@ -18,6 +19,33 @@ def w1(spark, sf):
     return W.rolling_mean(view(spark, sf, "v_monthly").select("Daily", "Open"), ["Daily"], "Open", 3, name="Open_Rolling_3")
 
 
+@query("w1_rolling_rows", oracle="""
+SELECT o_orderkey, o_totalprice, CASE WHEN count(o_totalprice) OVER w = 7 THEN avg(o_totalprice) OVER w END AS Mean_7 FROM orders
+WINDOW w AS (ORDER BY o_orderdate, o_orderkey ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)""")
+def w1_rows(spark, sf):
+    """The rolling mean over all rows of a table, not one row per period: blocks with a halo."""
+    o = table(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_totalprice"])
+    return R.rolling(o, ["o_orderdate", "o_orderkey"], "o_totalprice", 7, "Mean_7").drop("o_orderdate")
+
+
+@query("w3_cumsum_rows", oracle="""
+SELECT o_orderkey, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (ORDER BY o_orderdate, o_orderkey ROWS UNBOUNDED PRECEDING) AS BIGINT) AS Cum FROM orders""")
+def w3_rows(spark, sf):
+    """The global running sum over all rows: two levels, no single-partition window over the rows."""
+    o = table(spark, sf, "orders", ["o_orderkey", "o_orderdate", "o_totalprice"])
+    return R.running(o, ["o_orderdate", "o_orderkey"], {"Cum": F.floor("o_totalprice").cast("long")}).select("o_orderkey", "Cum")
+
+
+@query("w4_cumsum_rows", oracle="""
+SELECT o_orderkey, o_orderstatus, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate, o_orderkey
+  ROWS UNBOUNDED PRECEDING) AS BIGINT) AS Cum FROM orders""")
+def w4_rows(spark, sf):
+    """Running sums of three entities that hold all rows: an entity spans as many buckets as its rows fill."""
+    o = table(spark, sf, "orders", ["o_orderkey", "o_orderstatus", "o_orderdate", "o_totalprice"])
+    out = R.running(o, ["o_orderdate", "o_orderkey"], {"Cum": F.floor("o_totalprice").cast("long")}, partition=["o_orderstatus"])
+    return out.select("o_orderkey", "o_orderstatus", "Cum")
+
+
 @query("w2_floor_fill", oracle="""
 SELECT Daily, CAST(coalesce(floor(CASE WHEN count(Open) OVER w = 3 THEN avg(Open) OVER w END), 0) AS BIGINT) AS Open_SMA
 FROM v_monthly WINDOW w AS (ORDER BY Daily ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""", dates=["Daily"])
