@@ -2,14 +2,14 @@
 
 Layout convention: a feed root holds one sub-folder per drop,
 ``<root>/snapshot_date=YYYY-MM-DD/``. Spark discovers ``snapshot_date`` as
-a partition column. The dates come from the folder names (one entry per drop,
-no row is read), and "newest drop" and "last drop of each month" become literal
-filters on that column, so only those folders are scanned.
+a partition column. The dates come from the folder names and the commit log (one entry per drop,
+no row is read), and only the folders of the drops that are asked for are scanned.
 """
 from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -17,34 +17,55 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
+from strata.sources import commits
+
 SNAP = "snapshot_date"
 
 
 # ---------------------------------------------------------------- snapshots
-def read_snapshots(spark: SparkSession, root: str, fmt: str = "parquet", schema: StructType | None = None,
-                   options: Mapping[str, str] | None = None) -> DataFrame:
-    r = spark.read.format(fmt).options(**(options or {}))
-    if schema is not None:
-        r = r.schema(schema)
-    return r.load(root)
+def _folder(d: dt.date) -> str:
+    return f"{SNAP}={d.isoformat()}"
 
 
-def snapshot_dates(spark: SparkSession, root: str) -> list[dt.date]:
-    """The drop dates, oldest first, from the names of the folders under ``root``."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    listed = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
-    names = [e.getPath().getName() for e in listed if e.isDirectory()]
+def _dates(names) -> list[dt.date]:
     return sorted(dt.date.fromisoformat(n.removeprefix(f"{SNAP}=")) for n in names if re.fullmatch(SNAP + r"=\d{4}-\d{2}-\d{2}", n))
 
 
-def _drops(df: DataFrame, dates: Sequence[dt.date]) -> DataFrame:
-    return df.filter(F.col(SNAP).isin([F.lit(d) for d in dates])) if dates else df.filter(F.lit(False))
+def snapshot_dates(spark: SparkSession, root: str) -> list[dt.date]:
+    """The drop dates, oldest first. Under a root with a commit log only drops that are committed and whole; else
+    those of all folders."""
+    log = commits.committed(spark, root)
+    if log is None:
+        return _dates(n for n, size in commits.entries(spark, root).items() if size < 0)
+    return [d for d in _dates(log) if commits.is_whole(spark, root, _folder(d), log[_folder(d)])]
+
+
+def latest_date(spark: SparkSession, root: str) -> dt.date | None:
+    """The newest of ``snapshot_dates``; of a commit log only the newest drops are looked at, until one is whole."""
+    log = commits.committed(spark, root)
+    if log is None:
+        return (snapshot_dates(spark, root) or [None])[-1]
+    return next((d for d in reversed(_dates(log)) if commits.is_whole(spark, root, _folder(d), log[_folder(d)])), None)
+
+
+def _read_drops(spark: SparkSession, root: str, dates: Sequence[dt.date], fmt: str, schema: StructType | None, options: Mapping[str, str] | None) -> DataFrame:
+    r = spark.read.format(fmt).options(**(options or {})).option("basePath", root)
+    if schema is not None:
+        r = r.schema(schema)
+    return r.load([f"{root.rstrip('/')}/{_folder(d)}" for d in dates]) if dates else r.load(root).filter(F.lit(False))
+
+
+def read_snapshots(spark: SparkSession, root: str, fmt: str = "parquet", schema: StructType | None = None,
+                   options: Mapping[str, str] | None = None) -> DataFrame:
+    """All drops that ``snapshot_dates`` lists."""
+    return _read_drops(spark, root, snapshot_dates(spark, root), fmt, schema, options)
 
 
 def read_latest(spark: SparkSession, root: str, fmt: str = "parquet", schema: StructType | None = None,
                 options: Mapping[str, str] | None = None) -> DataFrame:
     """The newest drop only."""
-    return _drops(read_snapshots(spark, root, fmt, schema, options), snapshot_dates(spark, root)[-1:])
+    newest = latest_date(spark, root)
+    return _read_drops(spark, root, [] if newest is None else [newest], fmt, schema, options)
 
 
 def list_snapshots(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
@@ -56,17 +77,24 @@ def list_snapshots(spark: SparkSession, root: str, fmt: str = "parquet") -> Data
 def read_month_end_snapshots(spark: SparkSession, root: str, fmt: str = "parquet") -> DataFrame:
     """S3: the last drop of every calendar month, all its rows, with the drop date as a column."""
     last = {(d.year, d.month): d for d in snapshot_dates(spark, root)}
-    return _drops(read_snapshots(spark, root, fmt), list(last.values()))
+    return _read_drops(spark, root, list(last.values()), fmt, None, None)
 
 
 def write_snapshot(df: DataFrame, root: str, run_date: str | Column | None = None, fmt: str = "parquet") -> None:
-    """Write under ``snapshot_date=<run_date>`` (or the frame's own
-    ``snapshot_date`` column), replacing only the partitions written."""
+    """Write under ``snapshot_date=<run_date>`` (or the frame's own ``snapshot_date`` column), replacing only the
+    drops written. The rows are written aside, the drops put in place, and all of them committed in one entry of the
+    commit log; whatever fails before leaves readers with committed drops only."""
+    spark, root = df.sparkSession, root.rstrip("/")
     out = df if run_date is None else df.withColumn(SNAP, run_date if isinstance(run_date, Column) else F.lit(run_date).cast("date"))
     if run_date is None:
         out = out.repartition(SNAP)  # a drop's rows in few files, not one from every task
-    (out.write.mode("overwrite").format(fmt).option("partitionOverwriteMode", "dynamic")
-        .partitionBy(SNAP).save(root))
+    aside = f"{root}/_aside-{uuid.uuid4().hex}"
+    out.write.format(fmt).partitionBy(SNAP).save(aside)
+    folders = [_folder(d) for d in _dates(commits.entries(spark, aside))]
+    for f in folders:
+        commits.replace(spark, f"{aside}/{f}", f"{root}/{f}")
+    if folders:
+        commits.commit(spark, root, folders)
 
 
 def with_snapshot_date(df: DataFrame, source: str = "path", pattern: str = r"(\d{4}-\d{2}-\d{2})", fmt: str = "yyyy-MM-dd",
@@ -215,17 +243,23 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 
 def write_bundle(path: str, tables: Mapping[str, DataFrame], fmt: str = "parquet") -> None:
-    """Several named result tables delivered together, one sub-folder each."""
-    for n, d in tables.items():
+    """Several named result tables delivered together, one sub-folder each; committed once all are written."""
+    for n in tables:
         if not re.fullmatch(r"[A-Za-z0-9_]+", n):
             raise ValueError(f"bad table name {n!r}")
+    for n, d in tables.items():
         d.write.mode("overwrite").format(fmt).save(f"{path}/table={n}")
+    if tables:
+        commits.commit(next(iter(tables.values())).sparkSession, path, [f"table={n}" for n in tables])
 
 
 def read_bundle(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The delivered tables back as one frame keyed by ``table``
-    (columns of the different tables are merged by name)."""
-    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+    """The delivered tables back as one frame keyed by ``table`` (columns of the different tables are merged by
+    name). A bundle that isn't committed, or of which a file is missing, is refused."""
+    log = commits.committed(spark, path) or {}
+    if not log or not all(commits.is_whole(spark, path, f, size) for f, size in log.items()):
+        raise FileNotFoundError(f"no whole bundle at {path}")
+    return spark.read.format(fmt).option("mergeSchema", "true").option("basePath", path).load([f"{path}/{f}" for f in sorted(log)])
 
 
 def json_string_schema(fields: Sequence[str]) -> StructType:
