@@ -22,7 +22,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import settle, small_batches
+from strata.llm.common import roots, settle, small_batches
 
 SKETCH_BITS = 21
 PIECES = 32
@@ -465,21 +465,14 @@ def _links(k: int, percent: int):
 
 
 def components(edges: DataFrame, start: DataFrame) -> DataFrame:
-    """(nid, label): the smallest label reachable over ``edges`` (a, b). ``start``: (nid, label), a label is a
-    struct that ends in a nid. Labels pass along the edges, then each node takes its label's label, until nothing changes."""
-    both = settle(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = settle(both.select(F.col("a").alias("nid")).distinct().join(start, "nid").select("nid", "label"), "labels")
-    while True:
-        heard = both.join(labels, both["a"] == labels["nid"]).select(F.col("b").alias("nid"), "label")
-        passed = settle(labels.unionByName(heard).groupBy("nid").agg(F.min("label").alias("label")), "labels")
-        target = passed.select(F.col("nid").alias("t"), F.col("label").alias("next"))
-        new = settle(
-            passed.join(target, F.col("label.nid") == F.col("t"), "left")
-            .select("nid", F.least("label", F.coalesce("next", "label")).alias("label")), "labels")
-        old = labels.select("nid", F.col("label").alias("old"))
-        if new.join(old, "nid").where(F.col("label") != F.col("old")).isEmpty():
-            return new
-        labels = new
+    """(nid, label) of every end of ``edges`` (a, b): the smallest label that can be reached. ``start``: (nid, label), a label
+    is a struct that ends in a nid."""
+    root = roots(edges)
+    if root is None:
+        return start.limit(0)
+    labels = root.join(start, "nid")
+    least = labels.groupBy("root").agg(F.min("label").alias("label"))
+    return settle(root.join(least, "root").select("nid", "label"), "labels")
 
 
 def jaccard_join(
@@ -594,7 +587,7 @@ def jaccard_join(
             cut.select("leader", "loose", F.col("part").alias("q"), "nid", "class"), ["leader", "loose", "q"]).select(
             key, F.lit(1).alias("side"), "class", "nid")
         more = search(near.unionByName(far))
-        labels = components(links.unionByName(more), start)
+        labels = components(labels.select(F.col("nid").alias("a"), F.col("label.nid").alias("b")).unionByName(more), start)
 
     top = start.join(labels.select("nid", F.col("label").alias("new")), "nid", "left").select("nid", F.coalesce("new", "label").alias("top"))
     component = settle(nodes.select("node", "nid").join(top, "nid").select(
