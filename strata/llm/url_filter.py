@@ -14,6 +14,10 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import ascii_lower, settle
 
+ROWS_PER_TASK = 250_000  # of the rank tables
+BROADCAST_ROWS = 200_000  # ranks, counted, that may be broadcast (some 10 MB); more are joined by a shuffle
+WRITTEN_ROUNDS = 4  # rounds whose ranks are written together
+
 HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -68,18 +72,27 @@ def propagate(edges: DataFrame, seeds: DataFrame, kinds: int, tolerance: float,
     ``tolerance * follow / (1 - follow)`` in all from the fixed point. The change is at most
     ``2 * kinds * follow ** k`` after k more rounds, which bounds them.
     """
+    hosts = edges.select("src").unionByName(edges.select(F.col("dst").alias("src"))).unionByName(seeds.select(F.col("host").alias("src"))).distinct().count()
+    few = max(1, math.ceil(hosts * kinds / ROWS_PER_TASK))  # small tables in few files, so that a round leaves few behind
+    held = F.broadcast if hosts * kinds <= BROADCAST_ROWS else (lambda frame: frame)
     degree = edges.groupBy("kind", "src").agg(F.sum("n").alias("all"))
     share = settle(edges.join(degree, ["kind", "src"]).select(
-        "kind", "src", "dst", (F.col("n") / F.col("all")).alias("share")), "edge-shares")
-    start = seeds.select("kind", "host", (F.col("seed") * (1 - follow)).alias("rank"))
-    rank = seeds.select("kind", "host", F.col("seed").alias("rank"))
+        "kind", "src", "dst", (F.col("n") / F.col("all")).alias("share")).coalesce(few), "edge-shares")
+    start = settle(seeds.select("kind", "host", F.col("seed").alias("rank")).coalesce(few), "seeds")
+    given = start.select("kind", "host", (F.col("rank") * (1 - follow)).alias("rank"))
     old = F.lit(0.0).alias("old")
-    for _ in range(math.ceil(math.log(tolerance / (2 * kinds)) / math.log(follow)) + 1):
-        passed = share.join(rank.withColumnRenamed("host", "src"), ["kind", "src"]).select(
-            "kind", F.col("dst").alias("host"), (F.col("share") * F.col("rank") * follow).alias("rank"), old)
+
+    def passed_on(rank: DataFrame) -> DataFrame:
+        return share.join(held(rank.withColumnRenamed("host", "src")), ["kind", "src"]).select(
+            "kind", F.col("dst").alias("host"), (F.col("share") * F.col("rank") * follow).alias("rank")).unionByName(given)
+
+    rank, rounds = start, math.ceil(math.log(tolerance / (2 * kinds)) / math.log(follow)) + 1
+    for done in range(0, rounds, WRITTEN_ROUNDS):
+        for _ in range(WRITTEN_ROUNDS - 1):
+            rank = passed_on(rank).groupBy("kind", "host").agg(F.sum("rank").alias("rank")).coalesce(few)
         before = rank.select("kind", "host", F.lit(0.0).alias("rank"), F.col("rank").alias("old"))
-        turn = settle(passed.unionByName(start.select("*", old)).unionByName(before).groupBy("kind", "host").agg(
-            F.sum("rank").alias("rank"), F.sum("old").alias("old")), "ranks")
+        turn = settle(passed_on(rank).select("*", old).unionByName(before).groupBy("kind", "host").agg(
+            F.sum("rank").alias("rank"), F.sum("old").alias("old")).coalesce(few), "ranks")
         rank = turn.select("kind", "host", "rank")
         if (turn.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0) <= tolerance:
             break
@@ -103,8 +116,8 @@ def url_filter(
     links the result is whole all the same; extra columns are ignored.
 
     Pages are reduced to host edges by partial counts before anything is
-    shuffled; every round is written, so a lost executor costs one round. One
-    number a round comes to the driver: how far the ranks still move.
+    shuffled; every fourth round is written, so a lost executor costs four rounds. One
+    number for each of those comes to the driver: how far the ranks still move.
     """
     host, path = host_and_path(F.col(url_col))
     rows = pages.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"), F.col(html_col).alias("html"))
