@@ -198,6 +198,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
+def sample_limit(docs_per_lang: int, rows: int) -> int:
+    """The largest 64-bit hash of a document that is learned from, of a language of ``rows`` documents: its share of the whole range."""
+    return max(-(1 << 63), min((1 << 63) - 1, (docs_per_lang << 64) // max(1, rows) - (1 << 63)))
+
+
 def train(
     docs: DataFrame, docs_per_lang: int = 1500, min_node: int = 4, max_nodes: int = 65535,
     id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -216,8 +221,8 @@ def train(
     sizes = {r["lang"]: r["count"] for r in used.groupBy("lang").count().collect()}
     if not sizes:
         return compile_trees([], {}, min_node, max_nodes)
-    share = F.create_map(*(x for k, v in sizes.items() for x in (F.lit(k), F.lit(int(min(1.0, docs_per_lang / v) * 1_000_000)))))
-    sample = used.where(F.pmod(F.xxhash64(F.col("id").cast("string"), F.lit(5)), F.lit(1_000_000)) < F.element_at(share, F.col("lang")))
+    limit = F.create_map(*(x for k, v in sizes.items() for x in (F.lit(k), F.lit(sample_limit(docs_per_lang, v)))))
+    sample = used.where(F.xxhash64(F.col("id").cast("string"), F.lit(5)) <= F.element_at(limit, F.col("lang")))
     grams = sample.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
     rows = grams.groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     langs = sorted(sizes)

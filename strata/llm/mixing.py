@@ -100,7 +100,8 @@ def mix(
     been read whole, and a source that ends before starts over (``epoch``).
 
     ``weights``: whole weights by source, all other sources together under
-    None. Default: natural shares with no source over ``max_share``, which
+    None. If there are others and no weight for None, they get the whole weight that is nearest to their natural share beside
+    the named ones (1 at least); only a source that is named with weight 0 is left out. Default: natural shares with no source over ``max_share``, which
     bounds the mixture by the input / max_share; sources with less than one
     ``period``-th of the rows, and null sources, form one class. In a class of several
     sources each keeps its share of the class: its documents are spread evenly over the class's sequence.
@@ -115,8 +116,11 @@ def mix(
     """
     keep = keep or [id_col]
     base = docs.select(F.struct(*keep).alias("kept"), F.xxhash64(id_col, text_col).alias("h"), F.col(source_col).alias("source"))
+    unwanted = [s for s, w in (weights or {}).items() if s is not None and w == 0]
+    if unwanted:
+        base = base.where(F.col("source").isNull() | ~F.col("source").isin(unwanted))
     sizes = base.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
-    total = docs.count()
+    total = base.count()
     if weights is None:
         own = [(r["source"], r["n"]) for r in sizes.where(F.col("source").isNotNull() & (F.col("n") * period >= total)).collect()]
     else:
@@ -128,6 +132,10 @@ def mix(
     spark = docs.sparkSession
     if weights is None:
         weights = capped_weights(counts, period, max_share) if counts else {}
+    elif None in counts and None not in weights:
+        named_rows = sum(n for s, n in counts.items() if s is not None and weights[s])
+        beside = sum(weights[s] for s in counts if s is not None)
+        weights = {**weights, None: max(1, round(counts[None] / named_rows * beside)) if named_rows else 1}
     classes = [s for s in sorted(counts, key=lambda s: (s is None, s or "")) if weights.get(s)]
     ticks = [weights[s] for s in classes]
     blocks = [-(-counts[s] // block) for s in classes]

@@ -438,3 +438,22 @@ def test_winnowing_finds_every_shared_window(spark):
     df = spark.createDataFrame(rows, "i int, a array<string>, b array<string>")
     hashes = lambda c: F.transform(decontaminate._winnow(F.col(c), 7, 7), lambda s: s["h"])
     assert df.select(F.arrays_overlap(hashes("a"), hashes("b")).alias("x")).where("x").count() == len(rows)
+
+
+def test_mix_keeps_sources_that_no_weight_names(spark):
+    rows = [(i, f"t{i}", "en", ["a", "b", "c", None][i % 4]) for i in range(40)]
+    out = mixing.mix(frame(spark, rows), weights={"a": 2, "gone": 5}, block=1).select("kept.doc_id", "mix.source", "mix.epoch").collect()
+    assert {r.doc_id for r in out} == set(range(40))
+    first = [r.source for r in out if r.epoch == 0]
+    assert len(first) == 40
+    out = mixing.mix(frame(spark, rows), weights={"gone": 5}, block=1).select("kept.doc_id").collect()
+    assert {r.doc_id for r in out} == set(range(40))
+    out = mixing.mix(frame(spark, rows), weights={"a": 0, "b": 1}, block=1).select("kept.doc_id").collect()
+    assert {r.doc_id for r in out} == {i for i in range(40) if i % 4}
+
+
+def test_language_sample_of_any_number_of_rows():
+    """The share of the hash range is never empty, also for 10 billion documents of a language."""
+    for n in (1, 1500, 1501, 10**6, 10**10, 10**13):
+        share = (language_id.sample_limit(1500, n) + 2**63 + 1) / 2**64
+        assert share == pytest.approx(min(1.0, 1500 / n), rel=1e-5), n
