@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 from strata.operators.history import merge_history
 from strata.plans.registry import query
 from strata.plans.standins import view
+from strata.session import scratch_path
+from strata.sources.summaries import append_unless_header, write_summarised
 
 COLS = "o_orderkey, o_custkey, Period, o_orderstatus, o_totalprice"
 
@@ -93,6 +95,19 @@ def i7b(spark, sf):
     return merge_history(h, b, "Period", "fingerprint", columns=["o_custkey", "o_orderstatus", "o_totalprice"], order=["o_orderkey"])
 
 
+@query("i7_fingerprint_pruned", oracle=f"""
+WITH hdr AS (SELECT o_custkey, o_orderstatus, o_totalprice FROM v_batch_new ORDER BY o_orderkey LIMIT 1)
+SELECT {COLS} FROM v_batch_new WHERE NOT EXISTS (
+  SELECT 1 FROM v_hist h, hdr WHERE h.o_custkey = hdr.o_custkey AND h.o_orderstatus = hdr.o_orderstatus AND h.o_totalprice = hdr.o_totalprice)""",
+       dates=["Period"])
+def i7c(spark, sf):
+    """The rows to append; of the history only the files are read that may hold the batch's header row."""
+    h, b = _hb(spark, sf, "v_batch_new")
+    root, keys = scratch_path(spark, "history"), ["o_custkey", "o_orderstatus", "o_totalprice"]
+    write_summarised(h, root, F.date_format("Period", "yyyy-MM"), keys, buckets=4)
+    return append_unless_header(b, root, keys, ["o_orderkey"], buckets=4)
+
+
 _PRE = "(SELECT Period, o_custkey, CAST(sum(CAST(floor(o_totalprice) AS BIGINT)) AS BIGINT) AS Price FROM {v} GROUP BY ALL)"
 
 

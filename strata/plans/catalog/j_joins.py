@@ -7,6 +7,8 @@ from strata.operators import joins as J
 from strata.operators import timeseries as W
 from strata.plans.registry import query
 from strata.plans.standins import view
+from strata.session import scratch_path
+from strata.sources.summaries import unseen, write_summarised
 from strata.sources.tables import table
 
 
@@ -169,6 +171,14 @@ def j13b(spark, sf):
     return J.exists_in(view(spark, sf, "v_batch").select("o_orderkey", "Period"), view(spark, sf, "v_hist"), ["Period"], negate=True)
 
 
+@query("j13_anti_pruned", oracle="SELECT o_orderkey, Period FROM v_batch b WHERE Period NOT IN (SELECT Period FROM v_hist)", dates=["Period"])
+def j13c(spark, sf):
+    """The same against a history in folders, of which only the files are read that may hold a period of the batch."""
+    root = scratch_path(spark, "history")
+    write_summarised(view(spark, sf, "v_hist"), root, F.date_format("Period", "yyyy-MM"), ["Period"])
+    return unseen(view(spark, sf, "v_batch").select("o_orderkey", "Period"), root, ["Period"])
+
+
 @query("j14_scaffold_fill", oracle="""
 WITH cum AS (SELECT Date, OdsCode, CAST(sum(Clicks) OVER (PARTITION BY OdsCode ORDER BY Date ROWS UNBOUNDED PRECEDING) AS BIGINT) AS Cum_Clicks
              FROM (SELECT Date, OdsCode, sum(Clicks) AS Clicks FROM v_clicks GROUP BY ALL) t),
