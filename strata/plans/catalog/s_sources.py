@@ -5,10 +5,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from strata.functions import columns as C
+from strata.operators.projection import with_row_id
 from strata.plans.registry import query
 from strata.plans.standins import view
 from strata.session import scratch_path
 from strata.sources import files as S
+from strata.sources.paged import read_pages
 from strata.sources.tables import table
 
 NATION_SCHEMA = "n_nationkey INT, n_name STRING, n_regionkey INT"
@@ -176,6 +178,16 @@ def s16(spark, sf):
     return S.paged_union(pages)
 
 
+@query("s16_paged_source", oracle="SELECT c_custkey, c_name FROM customer")
+def s16b(spark, sf):
+    """Numbered pages of 100 rows as JSON lines, read by a data source that goes on until the first empty page."""
+    root = scratch_path(spark, "pages")
+    c = with_row_id(table(spark, sf, "customer", ["c_custkey", "c_name"]), ["c_custkey"], "row")
+    pages = c.select(F.floor(F.col("row") / 100).alias("page"), F.to_json(F.struct("c_custkey", "c_name")).alias("value"))
+    pages.repartition("page").write.partitionBy("page").text(root)
+    return read_pages(spark, root, "c_custkey long, c_name string")
+
+
 @query("s17_date_from_name", oracle="""
 SELECT Id, File_Name, CASE WHEN d > DATE '2000-01-01' THEN CAST(d - INTERVAL 12 MONTH AS DATE) ELSE d END AS snapshot_date FROM
  (SELECT Id, File_Name, CAST(TRY_STRPTIME(regexp_extract(File_Name, '([0-9]{4}_[0-9]{2})', 1), '%Y_%m') AS DATE) AS d FROM v_datetext) t""",
