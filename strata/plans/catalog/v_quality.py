@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import aggregates as A
 from strata.operators import quality as Q
+from strata.operators import sketches as SK
 from strata.operators import timeseries as W
 from strata.plans.registry import query
 from strata.plans.standins import view
@@ -173,6 +174,28 @@ def v17(spark, sf):
     return Q.run_suite(two, [Q.Check("distinct_between", F.col("now_n"), F.col("prev_n"), F.col("prev_n"), "Supplier", hard=False)], one_row=True)
 
 
+_DROPS = "(SELECT max(Date) FROM v_eps)", "(SELECT max(Date) FROM v_eps WHERE Date < (SELECT max(Date) FROM v_eps))"
+
+
+def _change(c):
+    now, prev = (f"(SELECT DISTINCT CAST({c} AS VARCHAR) AS x FROM v_eps WHERE Date = {d} AND {c} IS NOT NULL)" for d in _DROPS)
+    return f"""SELECT 'eps' AS file_name, '{c}' AS "column", n.now, n.previous, n.added, n.removed,
+  n.over_runs, true AS certain, n.added = 0 AND n.removed = 0 AS unchanged FROM (SELECT
+  (SELECT count(*) FROM {now} a) AS now, (SELECT count(*) FROM {prev} a) AS previous,
+  (SELECT count(*) FROM {now} a WHERE x NOT IN (SELECT x FROM {prev} b)) AS added,
+  (SELECT count(*) FROM {prev} a WHERE x NOT IN (SELECT x FROM {now} b)) AS removed,
+  (SELECT count(DISTINCT CAST({c} AS VARCHAR)) FROM v_eps) AS over_runs) n"""
+
+
+@query("v17_unchanged_from_log", oracle=" UNION ALL ".join(_change(c) for c in ["ODS_Code", "Date"]))
+def v17b(spark, sf):
+    """Practices and months of the newest drop against the run log alone: new, gone, and over all runs."""
+    path, m = scratch_path(spark, "distinct-log"), view(spark, sf, "v_eps")
+    Q.append_log(SK.distinct_log(m, "eps", ["ODS_Code", "Date"], drop="Date"), path)  # the runs so far
+    now = SK.distinct_log(m.where(F.col("Date") == m.select(F.max("Date")).scalar()), "eps", ["ODS_Code", "Date"], drop="Date")
+    return SK.distinct_change(now, spark.read.parquet(path))
+
+
 @query("v18_calendar", oracle=_row("calendar", "Date", "count(DISTINCT Date)", "(SELECT dayofmonth(last_day(max(Date))) FROM v_clicks)",
                                    "(SELECT dayofmonth(last_day(max(Date))) FROM v_clicks)", "FROM v_clicks"))
 def v18(spark, sf):
