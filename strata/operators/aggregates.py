@@ -167,13 +167,13 @@ def duplicates(df: DataFrame, keys, name: str = "n") -> DataFrame:
     """Rows whose key occurs more than once, with the key's count.
 
     Counts are a partial aggregate; the offending keys are joined back by a
-    salted join that spreads a hot key, rather than windowed.
+    join that spreads a hot key, rather than windowed.
     """
     from strata.operators.timeseries import attach
 
     keys = _keys(keys)
     dup = count_by(df, keys, name=name).filter(F.col(name) > 1)
-    return attach(df, dup, keys, "inner")
+    return attach(df, dup, keys, "inner", rows=name)
 
 
 def suppressed_share(df: DataFrame, number_col: str, value_col: str, whole: Column, parts: Column, token: str = "*") -> tuple[Column, Column]:

@@ -68,41 +68,55 @@ def dense_cumsum(df: DataFrame, key, date, c, name: str | None = None, step: str
     return filled.select(key, date, F.sum(c).over(w).alias(name or f"cum_{c}"))
 
 
-def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "left", salts: int = 16) -> DataFrame:
-    """Join per-group values back to the rows of ``df``.
+HOT_ROWS, HOT_KEYS = 1_000_000, 1000  # the most frequent keys of more rows are hot; any other has less than a thousandth of all rows
 
-    The rows of a key are spread over ``salts`` join keys and the (one row per
-    key) ``groups`` repeated for each, so that a key with any share of the
-    rows is read by ``salts`` tasks. (AQE can't split it: the aggregate's output
-    is already partitioned by the key.)
+
+def attach(df: DataFrame, groups: DataFrame, keys: Sequence[str], how: str = "left", rows: str = "_rows", salts: int = 16,
+           hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Join per-group values (``groups``, with the group's number of rows in ``rows``) back to the rows of ``df``.
+
+    The rows of a hot key are spread over ``salts`` join keys, its group is repeated for each; all others have one. (AQE can't split
+    a hot key: the aggregate's output is already partitioned by it.) Which keys are hot comes as an array of at most ``HOT_KEYS``
+    hashes from the exact counts; a key that shares a hot one's hash is spread, too.
     """
-    spread = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int"))
+    key, n = F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.col(rows)
+    most = groups.where(n > hot_rows).select(key.alias("_key"), n.alias("_n")).orderBy(F.desc("_n"), "_key").limit(HOT_KEYS)
+    hot = most.select(F.sort_array(F.collect_set("_key"))).scalar()
+    spread = groups.withColumn("_salt", F.explode(F.when(F.array_contains(hot, key), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(salts)).cast("int")
+    salted = df.withColumn("_salt", F.when(F.array_contains(hot, key), place).otherwise(0))
     return salted.join(spread, [*keys, "_salt"], how).drop("_salt")
 
 
+_N = "_rows"
+
+
+def _counted(df: DataFrame, keys: Sequence[str], value: Column) -> DataFrame:
+    return df.groupBy(*keys).agg(value, F.count(F.lit(1)).alias(_N))
+
+
 def n_in_group(df: DataFrame, keys, c=None, name: str = "n_in_group") -> DataFrame:
     """Group size (non-null count of ``c``) attached to every row.
 
-    Aggregate + salted join instead of ``count() over (partition by …)``: the
+    Aggregate + join instead of ``count() over (partition by …)``: the
     aggregate combines map-side, the join spreads a hot key.
     """
     keys = _keys(keys)
     cnt = F.count(F.lit(1)) if c is None else F.count(col(c))
-    return attach(df, df.groupBy(*keys).agg(cnt.cast("long").alias(name)), keys)
+    return attach(df, _counted(df, keys, cnt.cast("long").alias(name)), keys).drop(_N)
 
 
 def any_flag(df: DataFrame, keys, cond: Column, name: str = "any_flag") -> DataFrame:
     """1 when any row of the group satisfies ``cond``, attached to rows."""
     keys = _keys(keys)
-    return attach(df, df.groupBy(*keys).agg(F.max(F.when(cond, 1).otherwise(0)).alias(name)), keys)
+    return attach(df, _counted(df, keys, F.max(F.when(cond, 1).otherwise(0)).alias(name)), keys).drop(_N)
 
 
 def latest_flag(df: DataFrame, keys, period, name: str = "latest") -> DataFrame:
     """1 when the row's period is the group's latest, else 0."""
     keys = _keys(keys)
-    g = df.groupBy(*keys).agg(F.max(col(period)).alias("_mx"))
-    return attach(df, g, keys).withColumn(name, F.when(col(period) == F.col("_mx"), 1).otherwise(0)).drop("_mx")
+    g = _counted(df, keys, F.max(col(period)).alias("_mx"))
+    return attach(df, g, keys).withColumn(name, F.when(col(period) == F.col("_mx"), 1).otherwise(0)).drop("_mx", _N)
 
 
 def order_key(order: Sequence, nulls_last_wins: Sequence[str] = ()) -> Column:

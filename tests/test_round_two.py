@@ -167,7 +167,14 @@ def test_hot_key_is_spread_by_a_salt(spark):
         out = W.n_in_group(df, ["k"])
         assert "_salt" in out._jdf.queryExecution().executedPlan().toString()
         assert out.where("k = 0 and n_in_group = 1800").count() == 1800 and out.count() == 2000
+        groups = df.groupBy("k").agg(F.count(F.lit(1)).alias("_rows"))
+        cold, hot = W.attach(df, groups, ["k"]), W.attach(df, groups, ["k"], hot_rows=1000)
+        assert sorted(cold.collect()) == sorted(hot.collect()) and hot.where("k = 0 and _rows = 1800").count() == 1800
+        tasks = lambda x: x.where("k = 0").select(F.spark_partition_id()).distinct().count()
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        assert tasks(cold) == 1 and tasks(hot) > 1  # only a hot key is spread
     finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(32 << 20))
         spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", str(32 << 20))
 
