@@ -150,6 +150,15 @@ def pivot_sum(df: DataFrame, keys, pivot_col, value, categories: Sequence, fill=
     return out
 
 
+def categories_of(df: DataFrame, c: str, known: Sequence[str] = (), most: int = 500) -> list[str]:
+    """The columns of a pivot over whatever occurs: ``known`` first, then the others found, in order. The values come to the
+    driver, as column names must; more than ``most`` raise, and none is dropped silently."""
+    found = [r[0] for r in df.where(col(c).isNotNull()).select(col(c)).distinct().limit(most + 1).collect()]
+    if len(found) > most:
+        raise ValueError(f"{c} has more than {most} values, too many for columns")
+    return [*known, *sorted(set(found) - set(known))]
+
+
 def pivot_multi(df: DataFrame, keys, pivot_col, values: Sequence[str], categories: Sequence, sep: str = "_", fill=0) -> DataFrame:
     """Pivot several value columns; names ``<value><sep><category>``."""
     keys = _keys(keys)

@@ -135,12 +135,15 @@ def m32(spark, sf):
     return fam.ack_trust(view(spark, sf, "v_acks"), ACK_CATS, RUN_DATE)
 
 
-@query("m33_utilisation", oracle=f"""
+_M33 = f"""
 WITH d AS (SELECT strftime(Discharge_Date, '%Y-%m') AS Month, CAST(coalesce(sum(Discharges), 0) AS BIGINT) AS Discharges FROM v_denominator GROUP BY 1),
      p AS ({_PAIRS.format(k='Month', w="AND workflow = 'TOC_FHIR_IP_DISCH_ACK'")})
 SELECT d.Month, d.Discharges, p.Pairs, CAST(round_even(p.Pairs / (d.Discharges / 1000.0), 2) AS DOUBLE) AS Per_1000 FROM
   (SELECT *, row_number() OVER (ORDER BY Month) AS rn FROM d) d LEFT JOIN
-  (SELECT *, row_number() OVER (ORDER BY Month) AS rn FROM p) p ON d.rn = p.rn""")
+  (SELECT *, row_number() OVER (ORDER BY Month) AS rn FROM p) p ON d.rn = p.rn"""
+
+
+@query("m33_utilisation", oracle=_M33)
 def m33(spark, sf):
     return fam.utilisation_positional(view(spark, sf, "v_acks"), view(spark, sf, "v_denominator"), "TOC_FHIR_IP_DISCH_ACK",
                                       "Discharge_Date", "Discharges")
@@ -200,3 +203,15 @@ def m37(spark, sf):
     path = scratch_path(spark, "bundle")
     write_bundle(path, {"acks_by_workflow": m31(spark, sf), "utilisation": m33(spark, sf)})
     return read_bundle(spark, path).groupBy("table").agg(F.count(F.lit(1)).cast("long").alias("rows"))
+
+
+@query("m37_bundle_rows", oracle="SELECT Month, " + ", ".join(
+    f"CAST(coalesce(sum(Pairs) FILTER (WHERE workflow = '{c}'), 0) AS BIGINT) AS {c}" for c in ACK_CATS) + f""",
+  NULL::BIGINT AS Discharges, NULL::BIGINT AS Pairs, NULL::DOUBLE AS Per_1000, 'acks_by_workflow' AS "table"
+FROM {_PAIRS.format(k='Month, workflow', w='')} p WHERE Month < '2001-11' GROUP BY Month
+UNION ALL SELECT Month, """ + ", ".join("NULL" for _ in ACK_CATS) + f""", Discharges, Pairs, Per_1000, 'utilisation' FROM ({_M33})""")
+def m37b(spark, sf):
+    """The same bundle, every row of it as it is read back."""
+    path = scratch_path(spark, "bundle")
+    write_bundle(path, {"acks_by_workflow": m31(spark, sf), "utilisation": m33(spark, sf)})
+    return read_bundle(spark, path)

@@ -248,19 +248,20 @@ def ack_pairs(acks: DataFrame, keys: Sequence[str], time: str = "_time") -> Data
 
 
 def ack_pivot(acks: DataFrame, categories: Sequence[str], run_date: str) -> DataFrame:
-    """National monthly pairs pivoted by workflow; incomplete run month dropped."""
+    """National monthly pairs pivoted by workflow, with a column for each of ``categories`` and for every other
+    acknowledgement workflow that occurs; incomplete run month dropped."""
     p = ack_pairs(acks, ["Month", "workflow"])
-    wide = A.pivot_sum(p, ["Month"], "workflow", "Pairs", list(categories))
+    wide = A.pivot_sum(p, ["Month"], "workflow", "Pairs", A.categories_of(FL.contains(acks, "workflow", ACK), "workflow", categories))
     return FL.drop_incomplete(wide, "Month", run_date=run_date)
 
 
 def ack_trust(acks: DataFrame, categories: Sequence[str], run_date: str) -> DataFrame:
     """Per receiving trust (3-character code): pairs per site first,
-    then the site codes are cut to the trust code and re-summed (T13)."""
+    then the site codes are cut to the trust code and re-summed (T13). Columns as in ``ack_pivot``."""
     x = FL.contains(acks, "workflow", ACK).withColumn("Month", F.date_format("_time", "yyyy-MM"))
     site = A.count_by(x, ["Month", "workflow", "recipientOdsCode"], name="n").withColumn("Pairs", F.floor(F.col("n") / 2).cast("long"))
     site = site.withColumn("Trust", C.prefix("recipientOdsCode", 3))
-    wide = A.pivot_sum(site, ["Month", "Trust"], "workflow", "Pairs", list(categories))
+    wide = A.pivot_sum(site, ["Month", "Trust"], "workflow", "Pairs", A.categories_of(x, "workflow", categories))
     return FL.drop_incomplete(wide, "Month", run_date=run_date)
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from strata.operators import aggregates as A
 from strata.operators import history as H
 from strata.operators import joins as J
 from strata.operators import timeseries as W
@@ -192,6 +193,17 @@ def test_pairs_ignore_the_sender(spark):
     assert [(r.n, r.Pairs) for r in rows] == [(1000, 1)]  # both sites' rows carry the trust's day; the later day is fictitious
 
 
+def test_every_acknowledgement_workflow_has_a_column(spark):
+    t = dt.datetime(2024, 1, 3)
+    acks = spark.createDataFrame([(t, w, "s1", "RAB01") for w in ("A_ACK", "A_ACK", "NEW_ACK", "NEW_ACK", "NEW_ACK", "other", None)],
+                                 "_time timestamp, workflow string, senderOdsCode string, recipientOdsCode string")
+    assert fam.ack_pivot(acks, ["B_ACK", "A_ACK"], "2024-02-03").first().asDict() == {"Month": "2024-01", "B_ACK": 0, "A_ACK": 1, "NEW_ACK": 1}
+    assert fam.ack_trust(acks, ["A_ACK"], "2024-02-03").first().asDict() == {"Month": "2024-01", "Trust": "RAB", "A_ACK": 1, "NEW_ACK": 1}
+    many = spark.range(12).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(ValueError, match="more than 10"):
+        A.categories_of(many, "c", most=10)
+
+
 def test_ward_population_is_of_both_sexes_aged_16_and_over(spark):
     pop = spark.createDataFrame([("2024-04-01", "STP", "A", "FEMALE", "16", 1), ("2024-04-01", "STP", "A", "MALE", "95+", 2), ("2024-04-01", "STP", "A", "ALL", "40", 100),
                                  ("2024-04-01", "STP", "A", "MALE", "ALL", 100), ("2024-04-01", "CCG", "A", "MALE", "40", 100), ("2024-04-01", "STP", "A", "MALE", "15", 100)],
