@@ -2,8 +2,8 @@
 
 A first-order model of random strings and one of ordinary identifiers are
 trained from labelled samples (what the fixed patterns match, against the other
-tokens of the same documents). Long tokens outside the fixed matches are added
-where the log-likelihood ratio per character is high enough.
+tokens of the same documents). Of long tokens, less what the fixed matches cover, the run with the
+highest log-likelihood ratio is added, if that is high enough.
 """
 from __future__ import annotations
 
@@ -98,14 +98,61 @@ def train(docs: DataFrame, sample_docs: int = 5000, smoothing: float = 8.0, id_c
     return [r - o for r, o in zip(bits(1), bits(0))]
 
 
+def _best_run(token: Column, model: Column, min_chars: int, min_bits: float) -> Column:
+    """``first, end, ok`` of the token's run of ``min_chars`` or more whose pair ratios, each less ``min_bits``, have the largest
+    sum (the earliest end, then the earliest start). ``ok``: the sum is at least the log2 of the places where a run can
+    begin, so that a long token doesn't qualify by its length alone."""
+    need = min_chars - 1  # pairs
+
+    def run(gains: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            start = i - F.lit(need - 1)
+            sums = F.struct((acc["lead"] + F.get(gains, i)).alias("lead"),
+                            (acc["lag"] + F.when(start > 0, F.get(gains, start - 1)).otherwise(0.0)).alias("lag"))
+            lows = let(sums, lambda x: F.struct(
+                x["lead"].alias("lead"), x["lag"].alias("lag"), ((start >= 0) & (acc["low"].isNull() | (x["lag"] < acc["low"]))).alias("new")))
+            placed = let(lows, lambda x: F.struct(
+                x["lead"].alias("lead"), x["lag"].alias("lag"), F.when(x["new"], x["lag"]).otherwise(acc["low"]).alias("low"),
+                F.when(x["new"], start).otherwise(acc["at"]).alias("at")))
+            return let(placed, lambda x: let((start >= 0) & (acc["best"].isNull() | (x["lead"] - x["low"] > acc["best"])), lambda more: F.struct(
+                x["lead"].alias("lead"), x["lag"].alias("lag"), x["low"].alias("low"), x["at"].alias("at"),
+                F.when(more, x["lead"] - x["low"]).otherwise(acc["best"]).alias("best"),
+                F.when(more, x["at"]).otherwise(acc["first"]).alias("first"), F.when(more, i + 2).otherwise(acc["end"]).alias("end"))))
+
+        none, nowhere = F.lit(None).cast("double"), F.lit(None).cast("int")
+        begin = F.struct(F.lit(0.0).alias("lead"), F.lit(0.0).alias("lag"), none.alias("low"), nowhere.alias("at"),
+                         none.alias("best"), nowhere.alias("first"), nowhere.alias("end"))
+        starts = F.size(gains) - F.lit(need - 1)
+        return F.aggregate(F.sequence(F.lit(0), F.size(gains) - 1), begin, step, lambda acc: F.struct(
+            acc["first"].alias("first"), acc["end"].alias("end"), (acc["best"] >= F.log2(starts)).alias("ok")))
+
+    return let(F.transform(_pairs(_codes(token)), lambda p: F.get(model, p) - F.lit(min_bits)), run)
+
+
+def _outside(token: Column, base: Column, min_chars: int) -> Column:
+    """The parts of a token (``start, end, text``) that no base span touches, of ``min_chars`` or more: ``at, end`` within it."""
+    part = "struct<at:int,end:int>"
+    touching = F.filter(base, lambda x: (x["start"] < token["end"]) & (token["start"] < x["end"]))
+    cuts = F.concat(F.array_sort(F.transform(touching, lambda x: F.struct(
+        (x["start"] - token["start"]).alias("at"), (x["end"] - token["start"]).alias("end")))),
+        F.array(F.struct((token["end"] - token["start"]).alias("at"), (token["end"] - token["start"]).alias("end"))))
+
+    def step(acc: Column, x: Column) -> Column:
+        piece = F.struct(acc["at"].alias("at"), x["at"].alias("end"))
+        return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(
+            x["at"] - acc["at"] >= min_chars, F.concat(acc["parts"], F.array(piece))).otherwise(acc["parts"]).alias("parts"))
+
+    return F.aggregate(cuts, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{part}>").alias("parts")), step, lambda acc: acc["parts"])
+
+
 def scan(
     docs: DataFrame, ratios: list[float], min_chars: int = 20, min_bits: float = 1.0, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """Returns ``id, spans``: array of (start, kind, end) by start, then kind (0 assign, 1 access, 2 hex, 3 markov).
 
     The base kinds are the leftmost non-overlapping matches of their patterns.
-    Kind 3 are tokens of ``min_chars`` characters or more, clear of all base
-    spans, whose mean log-likelihood ratio per character pair is ``min_bits`` or more.
+    Kind 3: base spans are cut out of the tokens of ``min_chars`` characters or more; of each part that
+    is still as long, the best run (see ``_best_run``) is added, if its log-likelihood ratio is high enough.
 
     Defined cases: a null text is empty and has no span; repeated rows are
     scanned each; null ids are kept; an empty table gives no rows; extra columns
@@ -114,16 +161,20 @@ def scan(
     model = F.from_json(F.lit(json.dumps(ratios)), "array<double>")
     token = TOKEN % min_chars
 
-    def random_like(t: Column) -> Column:
-        return let(let(_codes(t), _pairs), lambda ps: F.aggregate(
-            ps, F.lit(0.0), lambda acc, p: acc + F.get(model, p)) / F.size(ps) >= min_bits)
+    def runs(t: Column, base: Column) -> Column:
+        """Kind 3 spans of one token."""
+        found = F.transform(_outside(t, base, min_chars), lambda part: let(
+            _best_run(F.substring(t["text"], part["at"] + 1, part["end"] - part["at"]), model, min_chars, min_bits), lambda r: F.struct(
+                (t["start"] + part["at"] + r["first"]).alias("start"), F.lit(3).alias("kind"), (t["start"] + part["at"] + r["end"]).alias("end"), r["ok"].alias("ok"))))
+        return F.transform(F.filter(found, lambda r: r["ok"]), lambda r: F.struct(
+            r["start"].alias("start"), r["kind"].alias("kind"), r["end"].alias("end")))
 
     def all_spans(text: Column) -> Column:
         long_value = F.transform(F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2)), lambda v: F.char_length(v) >= 12)
         base = F.concat(_spans(text, ASSIGN, 0, long_value), _spans(text, ACCESS, 1), _spans(text, HEX, 2))
-        added = _spans(text, token, 3, F.transform(F.regexp_extract_all(text, F.lit(token), F.lit(0)), random_like))
-        return let(base, lambda b: F.array_sort(F.concat(b, F.filter(
-            added, lambda s: ~F.exists(b, lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))))))
+        tokens = F.transform(F.arrays_zip(_spans(text, token, 3).alias("at"), F.regexp_extract_all(text, F.lit(token), F.lit(0)).alias("text")),
+                             lambda t: F.struct(t["at"]["start"].alias("start"), t["at"]["end"].alias("end"), t["text"].alias("text")))
+        return let(base, lambda b: F.array_sort(F.concat(b, F.flatten(F.transform(tokens, lambda t: runs(t, b))))))
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = F.array(F.struct(let(text, all_spans).alias("spans")))
