@@ -35,7 +35,7 @@ def _word_hashes(word_list: Column) -> Column:
     return F.transform(word_list, lambda x: F.xxhash64(x))
 
 
-def _winnow(word_list: Column, k: int, w: int) -> Column:
+def _winnow(grams: Column, w: int) -> Column:
     """array<struct<pos, h>>: the k-grams that are the smallest of some window of ``w`` k-grams.
 
     A k-gram is the smallest of a window that holds it iff the largest of its
@@ -49,12 +49,43 @@ def _winnow(word_list: Column, k: int, w: int) -> Column:
                 F.greatest(*(F.get(m, i - j) for j in range(w))) == x, F.struct(i.alias("pos"), x.alias("h")))),
             lambda s: s.isNotNull()))
 
-    return let(_word_hashes(word_list), lambda hs: let(_grams(hs, k), lambda h: F.when(
-        F.size(h) == 0, F.array().cast("array<struct<pos:int,h:bigint>>")).otherwise(pick(h))))
+    return let(grams, lambda h: F.when(F.size(h) == 0, F.array().cast("array<struct<pos:int,h:bigint>>")).otherwise(pick(h)))
 
 
-def _all_grams(word_list: Column, m: int) -> Column:
-    return let(_word_hashes(word_list), lambda hs: F.transform(_grams(hs, m), lambda x, i: F.struct(i.alias("pos"), x.alias("h"))))
+def _prints(word_list: Column, k: int, w: int, lengths: list[int]) -> Column:
+    """array<struct<of, pos, h>>: the winnowed k-grams (``of`` 0), and all grams of every one of ``lengths`` (``of``)."""
+    def tagged(found: Column, of: int) -> Column:
+        return F.transform(found, lambda s: F.struct(F.lit(of).alias("of"), s["pos"].alias("pos"), s["h"].alias("h")))
+
+    def every(hs: Column, m: int) -> Column:
+        return F.transform(_grams(hs, m), lambda x, i: F.struct(i.alias("pos"), x.alias("h")))
+
+    return let(_word_hashes(word_list), lambda hs: F.flatten(F.array(
+        tagged(_winnow(_grams(hs, k), w), 0), *(tagged(every(hs, m), m) for m in lengths))))
+
+
+def _ranges(ws: Column, item: Column, shift: Column, window: int) -> Column:
+    """The document positions (``start, end``) that the item's windows cover where its first word is laid at ``shift``:
+    runs of equal words that are as long as a window."""
+    need = F.least(F.lit(window), F.size(item))
+    same = F.concat(F.transform(item, lambda x, i: F.get(ws, i + shift).eqNullSafe(x)), F.array(F.lit(False)))
+
+    def step(acc: Column, equal: Column) -> Column:
+        span = F.struct((acc["at"] - acc["run"]).alias("start"), acc["at"].alias("end"))
+        done = ~equal & (acc["run"] >= need)
+        return F.struct((acc["at"] + 1).alias("at"), F.when(equal, acc["run"] + 1).otherwise(0).alias("run"),
+                        F.when(done, F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"]).alias("spans"))
+
+    begin = F.struct(shift.alias("at"), F.lit(0).alias("run"), F.array().cast("array<struct<start:int,end:int>>").alias("spans"))
+    return F.aggregate(same, begin, step, lambda acc: acc["spans"])
+
+
+def _covered(spans: Column) -> Column:
+    """How many positions lie in at least one span."""
+    step = lambda acc, s: F.struct(
+        F.greatest(acc["reach"], s["end"]).alias("reach"),
+        (acc["n"] + F.greatest(F.lit(0), s["end"] - F.greatest(acc["reach"], s["start"]))).alias("n"))
+    return F.aggregate(F.array_sort(spans), F.struct(F.lit(0).alias("reach"), F.lit(0).alias("n")), step, lambda acc: acc["n"])
 
 
 def overlaps(
@@ -88,45 +119,35 @@ def overlaps(
         .where(F.size("item_words") > 0)
         .withColumn("item_key", F.xxhash64("item_id", "item_words")).dropDuplicates(["item_id", "item_key", "item_words"]),
         "items")
-    long_items = items.where(F.size("item_words") >= window)
     short = [r[0] for r in items.where(F.size("item_words") < window).select(F.size("item_words")).distinct().collect()]  # at most window - 1 lengths
 
-    prints = [(long_items.select("item_key", F.inline(_winnow(F.col("item_words"), k, w))), lambda c: _winnow(c, k, w))]
-    for m in sorted(short):
-        own = items.where(F.size("item_words") == m)
-        prints.append((own.select("item_key", F.inline(_all_grams(F.col("item_words"), m))), lambda c, m=m: _all_grams(c, m)))
-    hits = None
-    for own, fingerprint in prints:
-        own = settle(own.select("item_key", F.col("pos").alias("item_pos"), "h"), "item-prints")
-        found = (
-            base.select("id", "row_hash", F.inline(fingerprint(words(text))))
-            .join(own, "h").select("id", "row_hash", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")))
-        hits = found if hits is None else hits.unionByName(found)
-    hits = settle(hits.distinct(), "hits")  # an alignment of a document and an item
-    per_doc = hits.join(items, "item_key").groupBy(F.col("id").alias("hit_id"), F.col("row_hash").alias("hit_hash")).agg(
-        F.collect_list(F.struct("item_id", "shift", "item_words")).alias("hits"))
+    lengths = sorted(short)
+    own = F.filter(_prints(F.col("item_words"), k, w, lengths), lambda s: s["of"] == F.when(
+        F.size("item_words") >= window, 0).otherwise(F.size("item_words")))
+    prints = settle(items.select("item_key", F.inline(own)).withColumnRenamed("pos", "item_pos"), "item-prints")
+    # the texts are read and split once for the items of all lengths
+    hits = settle(
+        base.select("id", "row_hash", F.inline(_prints(words(text), k, w, lengths))).join(prints, ["of", "h"])
+        .select("id", "row_hash", "item_key", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct(), "hits")  # alignments
+    per_item = hits.groupBy("id", "row_hash", "item_key").agg(F.collect_list("shift").alias("shifts"))
+    per_doc = per_item.join(items, "item_key").groupBy(F.col("id").alias("hit_id"), F.col("row_hash").alias("hit_hash")).agg(
+        F.collect_list(F.struct("item_id", "shifts", "item_words")).alias("hits"))
     joined = base.join(
         per_doc, base["id"].eqNullSafe(per_doc["hit_id"]) & (base["row_hash"] == per_doc["hit_hash"]), "left")
 
     def extend(ws: Column, hit: Column) -> Column:
         """The hit's item and the document positions that its occurring windows cover."""
-        need = F.least(F.lit(window), F.size(hit["item_words"]))
-        same = F.transform(hit["item_words"], lambda x, i: F.get(ws, i + hit["shift"]).eqNullSafe(x))
-        starts = let(same, lambda ok: F.filter(
-            F.sequence(F.lit(0), F.size(ok) - need),
-            lambda s: reduce(and_, ((need <= j) | F.get(ok, s + j) for j in range(window)))))
-        return F.struct(
-            hit["item_id"].alias("item_id"),
-            F.flatten(F.transform(starts, lambda s: F.sequence(s + hit["shift"], s + hit["shift"] + need - 1))).alias("covered"))
-
-    none = F.array().cast("array<struct<item_id:%s,covered:array<int>>>" % items.schema["item_id"].dataType.simpleString())
+        return F.struct(hit["item_id"].alias("item_id"), F.flatten(F.transform(
+            hit["shifts"], lambda shift: _ranges(ws, hit["item_words"], shift, window))).alias("spans"))
+
+    none = F.array().cast("array<struct<item_id:%s,spans:array<struct<start:int,end:int>>>>" % items.schema["item_id"].dataType.simpleString())
     found = let(words(text), lambda ws: F.struct(
         F.size(ws).alias("n"),
         F.when(F.col("hits").isNull(), none).otherwise(F.filter(
-            F.transform(F.col("hits"), lambda h: extend(ws, h)), lambda f: F.size(f["covered"]) > 0)).alias("found")))
+            F.transform(F.col("hits"), lambda h: extend(ws, h)), lambda f: F.size(f["spans"]) > 0)).alias("found")))
     judged = let(found, lambda j: F.struct(
         j["n"].cast("long").alias("n_words"),
-        F.size(F.array_distinct(F.flatten(F.transform(j["found"], lambda f: f["covered"])))).cast("long").alias("n_hit"),
+        _covered(F.flatten(F.transform(j["found"], lambda f: f["spans"]))).cast("long").alias("n_hit"),
         F.array_sort(F.array_compact(F.array_distinct(
             F.transform(j["found"], lambda f: f["item_id"].cast("string"))))).alias("items")))
     # inline, a generator, keeps Spark from copying the expression into every column that uses it

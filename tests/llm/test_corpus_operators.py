@@ -445,6 +445,14 @@ def test_decontaminate(spark, docs, empty):
     assert {r.n_hit for r in decontaminate.overlaps(frame(spark, rows), bench.limit(0)).collect()} == {0}
 
 
+def test_decontaminate_one_word_repeated(spark):
+    """200,000 equal words against items of 40 and 3 of them: every alignment hits, work and memory stay in proportion."""
+    text = "same " * 200_000
+    bench = spark.createDataFrame([(1, "same " * 40), (2, "same " * 3), (3, "same other " * 7)], "item_id long, text string")
+    out = decontaminate.overlaps(frame(spark, [(1, text, None, None), (2, "same " * 12, None, None), (3, "x same same", None, None)]), bench)
+    assert got(out, "id", "n_words", "n_hit", "items") == [(1, 200_000, 200_000, ["1", "2"]), (2, 12, 12, ["2"]), (3, 3, 0, [])]
+
+
 def test_winnowing_finds_every_shared_window(spark):
     """Guarantee: two texts that share 13 words share a fingerprint, wherever the words stand."""
     rng = random.Random(1)
