@@ -15,13 +15,13 @@ from pyspark.sql import functions as F
 
 from strata.llm.common import ascii_lower, let, settle
 
-# Fixed value: a word is a run of digits, letters a-z and characters beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Fixed value: words are runs of digits, letters a-z and characters beyond ASCII; this is what lies between them.
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
     """The words of a text after lower-casing A-Z (null: none)."""
-    return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), BETWEEN, -1), lambda x: x != "")
 
 
 def _grams(hashes: Column, k: int) -> Column:
@@ -35,7 +35,7 @@ def _word_hashes(word_list: Column) -> Column:
     return F.transform(word_list, lambda x: F.xxhash64(x))
 
 
-def _winnow(grams: Column, w: int) -> Column:
+def _smallest(grams: Column, w: int) -> Column:
     """array<struct<pos, h>>: the k-grams that are the smallest of some window of ``w`` k-grams.
 
     A k-gram is the smallest of a window that holds it iff the largest of its
@@ -52,6 +52,10 @@ def _winnow(grams: Column, w: int) -> Column:
     return let(grams, lambda h: F.when(F.size(h) == 0, F.array().cast("array<struct<pos:int,h:bigint>>")).otherwise(pick(h)))
 
 
+def _winnow(word_list: Column, k: int, w: int) -> Column:
+    return let(_word_hashes(word_list), lambda hs: _smallest(_grams(hs, k), w))
+
+
 def _prints(word_list: Column, k: int, w: int, lengths: list[int]) -> Column:
     """array<struct<of, pos, h>>: the winnowed k-grams (``of`` 0), and all grams of every one of ``lengths`` (``of``)."""
     def tagged(found: Column, of: int) -> Column:
@@ -61,7 +65,7 @@ def _prints(word_list: Column, k: int, w: int, lengths: list[int]) -> Column:
         return F.transform(_grams(hs, m), lambda x, i: F.struct(i.alias("pos"), x.alias("h")))
 
     return let(_word_hashes(word_list), lambda hs: F.flatten(F.array(
-        tagged(_winnow(_grams(hs, k), w), 0), *(tagged(every(hs, m), m) for m in lengths))))
+        tagged(_smallest(_grams(hs, k), w), 0), *(tagged(every(hs, m), m) for m in lengths))))
 
 
 def _ranges(ws: Column, item: Column, shift: Column, window: int) -> Column:
