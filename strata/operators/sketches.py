@@ -1,4 +1,4 @@
-"""Distinct values in the run log: an exact count and a mergeable sketch of each column.
+"""Distinct values in the run log: an exact count and a mergeable sketch of each column.
 
 The newest drop is compared with the log alone; no earlier drop is read again. Counts are exact always. The sketches
 (theta, ``2 ** lg_k`` values) answer what counts can't: how many values are new or gone, and how many there were over all runs.

@@ -1,4 +1,4 @@
-"""A history in folders with a summary of every file, so that a merge reads only the files that may hold a key.
+"""A history in folders with a summary of every file, so that a merge reads only the files that may hold a key.
 
 A summary row has a file's smallest and largest key and bitmaps of 32,768 bits of the key's hash (``buckets`` of them; a full one only
 lets more files be read). Files are known by folder and name, which Spark never uses twice; a file without a summary, as a
