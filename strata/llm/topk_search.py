@@ -21,7 +21,8 @@ from strata.llm.common import settle
 
 SLICES = 6  # bits kept of every attribute
 INDEX_BLOCK = 4096  # rows of an index block
-QUERY_BLOCK = 256  # queries resolved together against an index block
+QUERY_BLOCK = 4096  # queries sent together to an index block
+ADDED_TOGETHER = 256  # queries of a block whose slices are added at once
 
 
 def _pack(bits: np.ndarray) -> np.ndarray:
@@ -44,6 +45,12 @@ def _matrix(vectors: list, dims: int) -> np.ndarray:
     return out
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same numbers in the smallest integer type that holds them all."""
+    least, most = (values.min(), values.max()) if values.size else (0, 0)
+    return values.astype(next(t for t in (np.int8, np.int16, np.int32, np.int64) if np.iinfo(t).min <= least and most <= np.iinfo(t).max))
+
+
 def build_block(rows: pd.DataFrame) -> pd.DataFrame:
     """One index block: row ids, exact attributes, and the attribute slices."""
     dims = max(map(len, rows["v"]))
@@ -53,10 +60,11 @@ def build_block(rows: pd.DataFrame) -> pd.DataFrame:
     shift = max(0, span.bit_length() - SLICES)
     level = (exact - low) >> shift
     slices = np.stack([_pack(((level >> b) & 1).T.astype(bool)) for b in range(SLICES)], axis=1) if dims else np.zeros((0, SLICES, 0), np.uint64)
+    exact = _narrow(exact)
     return pd.DataFrame({
         "index_block": [rows["index_block"].iloc[0]], "n": [len(rows)], "dims": [dims], "shift": [shift],
-        "ids": [rows["vec_id"].to_numpy(np.int64).tobytes()], "exact": [exact.tobytes()],
-        "low": [low.tobytes()], "slices": [slices.tobytes()],
+        "ids": [rows["vec_id"].to_numpy(np.int64).tobytes()], "exact": [exact.tobytes()], "exact_type": [exact.dtype.str],
+        "slices": [slices.tobytes()],
     })
 
 
@@ -123,7 +131,7 @@ def search_block(block: pd.Series, queries: np.ndarray, query_ids: np.ndarray, k
     n, dims = int(block["n"]), int(block["dims"])
     width = max(dims, queries.shape[1])
     ids = np.frombuffer(block["ids"], np.int64)
-    exact = np.frombuffer(block["exact"], np.int64).reshape(n, dims)
+    exact = np.frombuffer(block["exact"], np.dtype(block["exact_type"])).reshape(n, dims)
     slices = np.frombuffer(block["slices"], np.uint64).reshape(dims, SLICES, -1)
     asked = np.pad(queries, ((0, 0), (0, width - queries.shape[1])))
     shared = asked[:, :dims]
@@ -140,7 +148,7 @@ def search_block(block: pd.Series, queries: np.ndarray, query_ids: np.ndarray, k
         rows = np.flatnonzero(picked[j])
         if not len(rows):
             continue
-        score = exact[rows] @ shared[j]
+        score = exact[rows].astype(np.int64) @ shared[j]
         best = np.lexsort((ids[rows], -score))[:k]
         out.extend((j, int(ids[rows[b]]), int(score[b])) for b in best)
     return out
@@ -174,7 +182,8 @@ def topk(
 
     All blocks of queries meet all blocks of rows, two blocks per task at a
     time; a block pair needs some MB whatever the table's size, and sends on k
-    rows per query.
+    rows per query. The blocks are about equally large, so that neither side
+    travels much more than the other.
     """
     rows = settle(quantised(vectors, scale, id_col, vec_col).withColumn("uid", F.monotonically_increasing_id()), "vectors")
     asked = rows.where(is_query(F.col("vec_id")))
@@ -184,7 +193,7 @@ def topk(
         rows.withColumn("index_block", F.pmod(F.xxhash64("uid"), F.lit(n_index)).cast("int"))
         .groupBy("index_block").applyInPandas(
             build_block,
-            "index_block int, n int, dims int, shift int, ids binary, exact binary, low binary, slices binary"),
+            "index_block int, n int, dims int, shift int, ids binary, exact binary, exact_type string, slices binary"),
         "bit-slices")
     queries = asked.withColumn("query_block", F.pmod(F.xxhash64("uid", F.lit(1)), F.lit(n_query)).cast("int"))
 
@@ -193,7 +202,10 @@ def topk(
             return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("uid", "query_id", "vec_id", "score")})
         uids, own = right["uid"].to_numpy(np.int64), right["vec_id"].to_numpy(np.int64)
         matrix = _matrix(right["v"], max(map(len, right["v"])))
-        found = [(uids[j], own[j], vec, score) for _, block in left.iterrows() for j, vec, score in search_block(block, matrix, own, k)]
+        found = [
+            (uids[at + j], own[at + j], vec, score)
+            for _, block in left.iterrows() for at in range(0, len(own), ADDED_TOGETHER)
+            for j, vec, score in search_block(block, matrix[at : at + ADDED_TOGETHER], own[at : at + ADDED_TOGETHER], k)]
         return pd.DataFrame(np.array(found, dtype=np.int64).reshape(-1, 4), columns=["uid", "query_id", "vec_id", "score"])
 
     spread_index = index.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))

@@ -96,6 +96,17 @@ def test_topk_search(spark):
     assert len(few) == 3 and got(topk_search.topk(vectors(spark, [(*r, 0, 0) for r in rows[:4]]), lambda c: c == 0), "query_id", "rank", "vec_id", "score") == sorted(few, key=repr)
 
 
+def test_query_blocks_larger_than_what_is_added_together(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in (rng.normal(size=4) * 10 ** (i % 6)).astype(np.float32)]) for i in range(200)]
+    monkeypatch.setattr(topk_search, "ADDED_TOGETHER", 7)
+    found = topk_search.topk(vectors(spark, [(*r, 0, 0) for r in rows]), lambda c: c % 4 == 0, 5, index_block=64)
+    assert got(found, "query_id", "rank", "vec_id", "score") == sorted(plain.topk(rows, lambda i: i % 4 == 0, 5), key=repr)
+    for values, kind in (([0, 127, -128], np.int8), ([200, -1], np.int16), ([40000], np.int32), ([1 << 40, -5], np.int64), ([], np.int8)):
+        kept = topk_search._narrow(np.array(values, np.int64))
+        assert kept.dtype == kind and kept.tolist() == values
+
+
 def test_bit_sliced_sums_are_the_products():
     rng = np.random.default_rng(5)
     level = rng.integers(0, 64, size=(100, 5))
