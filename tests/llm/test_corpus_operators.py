@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 sys.path.insert(0, os.path.dirname(__file__))
 import plain  # noqa: E402
-from strata.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, secret_scan, sharding, topk_search, url_filter, warc  # noqa: E402
+from strata.llm import common, decontaminate, jaccard_join, language_id, line_dedup, mixing, secret_scan, sharding, topk_search, url_filter, warc  # noqa: E402
 from strata.session import scratch_path  # noqa: E402
 
 R = random.Random(7)
@@ -374,6 +374,36 @@ def test_shards_when_every_text_has_copies(spark):
         assert split < 8, split
 
 
+def test_running_totals_with_a_million_equal_rows(spark):
+    """The copies of one row don't share a bucket; places are those of a plain running sum."""
+    n = 1_000_000
+    equal = spark.range(n).select(F.lit(None).cast("long").alias("id"), F.lit("copy").alias("text"))
+    other = spark.range(2000).select(F.col("id"), F.concat(F.lit("t"), F.col("id") % 1500).alias("text"))
+    rows = equal.unionByName(other).withColumns({"h": F.xxhash64("id", "text"), "k": F.when(F.col("id") % 2 == 0, 1), "v": F.col("id") % 3 + 1})
+    rows = rows.withColumn("v", F.coalesce("v", F.lit(2)))
+    out = common.running_total(rows, "k", ["h", "id"], F.col("v"), "at").cache()
+    assert out.columns == ["id", "text", "h", "k", "v", "at"] and out.count() == n + 2000
+    one = out.where("id is null").agg(F.min("at"), F.max("at"), F.countDistinct("at"), F.max("h")).first()
+    before = rows.where(F.col("k").isNull() & F.col("id").isNotNull() & (F.col("h") < one[3])).agg(F.coalesce(F.sum("v"), F.lit(0))).first()[0]
+    assert one[:3] == (before, before + 2 * (n - 1), n)
+    for same_key in (F.col("k") == 1, F.col("k").isNull()):
+        plain_rows = sorted((r.h, r.id, r.v, r.at) for r in out.where(same_key & F.col("id").isNotNull()).collect())
+        at, hot = 0, one[3]
+        for h, _, v, found in plain_rows:
+            past = 2 * n if h > hot and plain_rows[0][1] % 2 == 1 else 0
+            assert found == at + past
+            at += v
+
+
+def test_running_totals_spread_equal_rows(spark):
+    n = 200_000
+    rows = spark.range(n).select(F.lit(1).alias("id"), F.xxhash64(F.lit(1)).alias("h"), F.lit(None).cast("string").alias("k"))
+    out = common.running_total(rows, "k", ["h", "id"], F.lit(1), "at")
+    assert sorted(r.at for r in out.select("at").collect()) == list(range(n))
+    largest = out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert largest < n  # no task has them all
+
+
 def test_full_shards_exchange():
     assert sharding.exchange({(0, 1): 5, (1, 0): 3}, [0, 0]) == {(0, 1): 3, (1, 0): 3}
     assert sharding.exchange({(0, 1): 5, (1, 2): 4, (2, 0): 9}, [0, 0, 0]) == {(0, 1): 4, (1, 2): 4, (2, 0): 4}
