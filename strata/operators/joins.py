@@ -96,19 +96,26 @@ def zip_join(a: DataFrame, b: DataFrame, order_a: Sequence, order_b: Sequence, h
 def widen(spine: DataFrame, feeds: Mapping[str, tuple[DataFrame, str]], keys, agg: str = "sum") -> DataFrame:
     """Left-join many same-grain feeds onto a spine in one shuffle.
 
-    ``feeds`` maps an output column to ``(frame, value column)``. Every input
-    becomes rows with its own column filled, in its own type (longs stay
-    exact); one aggregation brings them together, and rows whose keys are
-    absent from the spine are dropped by a presence marker.
+    ``feeds`` maps an output column to ``(frame, value column)``. Every frame
+    becomes rows with its own columns filled, in their own types (longs stay
+    exact), and is read once however many columns it gives; one aggregation
+    brings them together, and rows whose keys are absent from the spine are
+    dropped by a presence marker.
+
+    The keys travel as one struct. Frames already dealt by the keys (each
+    aggregated by them, say) would otherwise be unioned partition by
+    partition: one task would then hold the hash tables of all feeds.
     """
     keys = _keys(keys)
-    marker = "__spine"
-    parts = [spine.select(*keys, F.lit(True).alias(marker))]
-    parts += [df.select(*keys, F.col(value).alias(name)) for name, (df, value) in feeds.items()]
+    key, marker = "__key", "__spine"
+    frames = {id(spine): (spine, [F.lit(True).alias(marker)])}
+    for name, (df, value) in feeds.items():
+        frames.setdefault(id(df), (df, []))[1].append(F.col(value).alias(name))
+    parts = [df.select(F.struct(*keys).alias(key), *cols) for df, cols in frames.values()]
     rows = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
     f = {"sum": F.sum, "max": F.max, "first": F.min}[agg]
-    wide = rows.groupBy(*keys).agg(F.max(marker).alias(marker), *[f(n).alias(n) for n in feeds])
-    return wide.filter(F.col(marker)).drop(marker)
+    wide = rows.groupBy(key).agg(F.max(marker).alias(marker), *[f(n).alias(n) for n in feeds])
+    return wide.filter(F.col(marker)).select(f"{key}.*", *feeds)
 
 
 def join_month_offset(a: DataFrame, b: DataFrame, key: str, a_date, b_date, offset: int = 1, how: str = "left") -> DataFrame:

@@ -324,10 +324,8 @@ _WIDE_COLS = ["Logins", "RecordViews", "Prescriptions", "P9NewAppUsers"]
 
 
 def _usage_wide(spark, sf):
-    u = view(spark, sf, "v_usage_wide")
-    spine = u.select("Date", "OdsCode")
-    feeds = {c: (u.select("Date", "OdsCode", C.coerce(c).alias("v")), "v") for c in _WIDE_COLS}
-    return J.widen(spine, feeds, ["Date", "OdsCode"])
+    u = view(spark, sf, "v_usage_wide").select("Date", "OdsCode", *[C.coerce(c).alias(c) for c in _WIDE_COLS])
+    return J.widen(u, {c: (u, c) for c in _WIDE_COLS}, ["Date", "OdsCode"])
 
 
 @query("m60_usage_wide", oracle="""
