@@ -31,7 +31,8 @@ def _pack(bits: np.ndarray) -> np.ndarray:
     pad = -n % 64
     if pad:
         bits = np.concatenate([bits, np.zeros((*bits.shape[:-1], pad), dtype=bool)], axis=-1)
-    return np.packbits(bits, axis=-1, bitorder="little").view(np.uint64)
+    # packbits keeps the layout of transposed bits (of 64 rows, 128, ..., which need no padding); words need a contiguous last axis
+    return np.packbits(np.ascontiguousarray(bits), axis=-1, bitorder="little").view(np.uint64)
 
 
 def _unpack(words: np.ndarray, n: int) -> np.ndarray:

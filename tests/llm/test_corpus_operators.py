@@ -107,6 +107,14 @@ def test_query_blocks_larger_than_what_is_added_together(spark, monkeypatch):
         assert kept.dtype == kind and kept.tolist() == values
 
 
+def test_blocks_whose_rows_fill_whole_words(spark):
+    rng = np.random.default_rng(6)
+    for n in (64, 128):  # one block, in which no word is padded
+        rows = [(i, [float(x) for x in rng.normal(size=3).astype(np.float32)]) for i in range(n)]
+        found = topk_search.topk(vectors(spark, [(*r, 0, 0) for r in rows]), lambda c: c % 10 == 0, 5)
+        assert got(found, "query_id", "rank", "vec_id", "score") == sorted(plain.topk(rows, lambda i: i % 10 == 0, 5), key=repr)
+
+
 def test_bit_sliced_sums_are_the_products():
     rng = np.random.default_rng(5)
     level = rng.integers(0, 64, size=(100, 5))
