@@ -21,8 +21,11 @@ from strata.llm.common import settle
 
 SLICES = 6  # bits kept of every attribute
 INDEX_BLOCK = 4096  # rows of an index block
-QUERY_BLOCK = 4096  # queries sent together to an index block
-ADDED_TOGETHER = 256  # queries of a block whose slices are added at once
+QUERY_BLOCK = 4096  # queries sent together to an index block, more once there are PAIRS pairs of blocks
+PAIRS = 256
+COMPONENTS = 1 << 21  # of the queries in such a larger block, at most
+ADDED_TOGETHER = 512  # queries of a block whose slices are added at once
+GROUP = 8  # attributes of which all subsets are summed beforehand
 
 
 def _pack(bits: np.ndarray) -> np.ndarray:
@@ -69,39 +72,80 @@ def build_block(rows: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def _add(columns: list[list[np.ndarray]], at: int, bitmap: np.ndarray) -> None:
-    """Add ``bitmap`` at weight 2**at; three bitmaps of a weight become a sum and a carry."""
-    while len(columns) <= at:
-        columns.append([])
-    columns[at].append(bitmap)
-    if len(columns[at]) == 3:
+def _add(columns: list[list[np.ndarray]], at: int, bitmap: np.ndarray, spare: list[np.ndarray]) -> None:
+    """Add ``bitmap`` at weight 2**at, modulo 2**len(columns); three bitmaps of a weight become
+    a sum and a carry. Bitmaps are overwritten, and those no longer needed go to ``spare``."""
+    while at < len(columns):
+        columns[at].append(bitmap)
+        if len(columns[at]) < 3:
+            return
         a, b, c = columns[at]
-        half = a ^ b
-        columns[at] = [half ^ c]
-        _add(columns, at + 1, (a & b) | (c & half))
+        half = np.bitwise_xor(a, b, out=_take(spare, a.shape))
+        np.bitwise_and(a, b, out=a)
+        np.bitwise_and(c, half, out=b)
+        np.bitwise_xor(c, half, out=c)
+        columns[at], bitmap = [c], np.bitwise_or(a, b, out=a)
+        spare += [b, half]
+        at += 1
+    spare.append(bitmap)
+
+
+def _take(spare: list[np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
+    return spare.pop() if spare else np.empty(shape, np.uint64)
+
+
+def subset_sums(slices: np.ndarray) -> np.ndarray:
+    """Slices (first axis) of the sum of each subset of some attributes; subset s holds attribute i if bit i of s is set."""
+    most = len(slices) * ((1 << slices.shape[1]) - 1)
+    sums = np.zeros((most.bit_length(), 1, slices.shape[2]), np.uint64)
+    for attribute in slices:
+        more, carry = np.empty_like(sums), np.zeros_like(sums[0])
+        for b, bits in enumerate(sums):
+            other = attribute[b] if b < len(attribute) else np.uint64(0)
+            half = bits ^ other
+            np.bitwise_xor(half, carry, out=more[b])
+            carry = (bits & other) | (carry & half)
+        sums = np.concatenate([sums, more], axis=1)
+    return sums
 
 
 def coarse_scores(queries: np.ndarray, slices: np.ndarray) -> list[np.ndarray]:
     """Slices (least significant first) of sum(|q_d| * level_d), where the level
-    is complemented for negative q_d; each an array queries x words."""
-    sign = np.where(queries < 0, np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))
-    size = np.abs(queries)
-    columns: list[list[np.ndarray]] = []
-    for d in range(queries.shape[1]):
-        for c in range(int(size[:, d].max()).bit_length()):
-            chosen = np.where((size[:, d] >> c) & 1, np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))[:, None]
-            for b in range(slices.shape[1]):
-                _add(columns, b + c, (slices[d, b][None, :] ^ sign[:, d][:, None]) & chosen)
-    out, carry, at = [], [], 0
-    while at < len(columns) or carry:
-        parts = (columns[at] if at < len(columns) else []) + carry
-        carry = []
+    is complemented for negative q_d; each an array queries x words.
+
+    Attributes go in groups, whose subsets are summed first: bit c of the queries'
+    components (two's complement) then chooses one sum for each group. What that
+    differs from the complemented levels by is the same for all rows of a query.
+    """
+    (n, dims), words = queries.shape, slices.shape[2]
+    size, top = np.abs(queries), (1 << slices.shape[1]) - 1
+    sign_bit = int(size.max()).bit_length()
+    columns: list[list[np.ndarray]] = [[] for _ in range((int(size.sum(axis=1).max()) * top).bit_length())]
+    spare: list[np.ndarray] = []
+    constant = top * np.where(queries < 0, size, 0).sum(axis=1).astype(object)  # integers of any length
+    together = min(GROUP, max(1, n.bit_length() - 1))  # not many more subsets than queries
+    for first in range(0, dims, together):
+        sums, part = subset_sums(slices[first : first + together]), queries[:, first : first + together]
+        for c in range(sign_bit + 1):
+            subset = ((part >> c) & 1) @ (1 << np.arange(part.shape[1]))
+            for b, bits in enumerate(sums):
+                chosen = np.take(bits, subset, axis=0, out=_take(spare, (n, words)), mode="clip")
+                if c == sign_bit:  # counts below zero: the complement, and a constant less
+                    np.invert(chosen, out=chosen)
+                _add(columns, b + c, chosen, spare)
+        constant -= ((1 << len(sums)) - 1) << sign_bit
+    for at in range(len(columns)):
+        chosen = _take(spare, (n, words))
+        chosen[:] = np.where(((constant >> at) & 1).astype(bool), np.uint64(0xFFFFFFFFFFFFFFFF), np.uint64(0))[:, None]
+        _add(columns, at, chosen, spare)
+    out, carry = [], []
+    for parts in columns:
+        parts, carry = parts + carry, []
         while len(parts) > 1:
             a, b = parts.pop(), parts.pop()
             carry.append(a & b)
             parts.append(a ^ b)
-        out.append(parts[0] if parts else np.zeros((queries.shape[0], slices.shape[2]), np.uint64))
-        at += 1
+        out.append(parts[0])
     return out
 
 
@@ -155,6 +199,13 @@ def search_block(block: pd.Series, queries: np.ndarray, query_ids: np.ndarray, k
     return out
 
 
+def blocks(n_rows: int, n_asked: int, dims: int, index_block: int, query_block: int) -> tuple[int, int]:
+    """Blocks of rows and blocks of queries: each of the latter copies the index, so there are
+    no more than ``PAIRS`` pairs of blocks ask for, or queries of ``COMPONENTS`` in all."""
+    n_index, most = max(1, -(-n_rows // index_block)), max(query_block, COMPONENTS // max(1, dims))
+    return n_index, max(1, -(-n_asked // most), min(-(-n_asked // query_block), -(-PAIRS // n_index)))
+
+
 def quantised(vectors: DataFrame, scale: int, id_col: str, vec_col: str) -> DataFrame:
     """``vec_id, v``: floor(scale * x) of each component; rows that can't be scored are left out."""
     x = F.col(vec_col)
@@ -184,12 +235,13 @@ def topk(
     All blocks of queries meet all blocks of rows, two blocks per task at a
     time; a block pair needs some MB whatever the table's size, and sends on k
     rows per query. The blocks are about equally large, so that neither side
-    travels much more than the other.
+    travels much more than the other; with many index blocks the queries' grow
+    up to ``COMPONENTS``, so that the index is copied less often.
     """
     rows = settle(quantised(vectors, scale, id_col, vec_col).withColumn("uid", F.monotonically_increasing_id()), "vectors")
     asked = rows.where(is_query(F.col("vec_id")))
-    n_rows, n_asked = rows.count(), asked.count()
-    n_index, n_query = max(1, -(-n_rows // index_block)), max(1, -(-n_asked // query_block))
+    n_rows, n_asked, dims = rows.agg(F.count(F.lit(1)), F.count_if(is_query(F.col("vec_id"))), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    n_index, n_query = blocks(n_rows, n_asked, dims, index_block, query_block)
     index = settle(
         rows.withColumn("index_block", F.pmod(F.xxhash64("uid"), F.lit(n_index)).cast("int"))
         .groupBy("index_block").applyInPandas(
@@ -203,11 +255,13 @@ def topk(
             return pd.DataFrame({c: np.zeros(0, np.int64) for c in ("uid", "query_id", "vec_id", "score")})
         uids, own = right["uid"].to_numpy(np.int64), right["vec_id"].to_numpy(np.int64)
         matrix = _matrix(right["v"], max(map(len, right["v"])))
-        found = [
-            (uids[at + j], own[at + j], vec, score)
-            for _, block in left.iterrows() for at in range(0, len(own), ADDED_TOGETHER)
-            for j, vec, score in search_block(block, matrix[at : at + ADDED_TOGETHER], own[at : at + ADDED_TOGETHER], k)]
-        return pd.DataFrame(np.array(found, dtype=np.int64).reshape(-1, 4), columns=["uid", "query_id", "vec_id", "score"])
+        found = [np.zeros((0, 4), np.int64)]
+        for _, block in left.iterrows():
+            for at in range(0, len(own), ADDED_TOGETHER):
+                some = slice(at, at + ADDED_TOGETHER)
+                j, vec, score = np.array(search_block(block, matrix[some], own[some], k), dtype=np.int64).reshape(-1, 3).T
+                found.append(np.stack([uids[some][j], own[some][j], vec, score], axis=1))
+        return pd.DataFrame(np.concatenate(found), columns=["uid", "query_id", "vec_id", "score"])
 
     spread_index = index.withColumn("query_block", F.explode(F.sequence(F.lit(0), F.lit(n_query - 1))))
     spread_query = queries.withColumn("index_block", F.explode(F.sequence(F.lit(0), F.lit(n_index - 1))))

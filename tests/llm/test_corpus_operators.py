@@ -115,6 +115,28 @@ def test_blocks_whose_rows_fill_whole_words(spark):
         assert got(found, "query_id", "rank", "vec_id", "score") == sorted(plain.topk(rows, lambda i: i % 10 == 0, 5), key=repr)
 
 
+def test_query_blocks_grow_with_the_index(spark, monkeypatch):
+    assert topk_search.blocks(0, 0, 0, 4096, 4096) == (1, 1)
+    assert topk_search.blocks(50_000, 500, 64, 4096, 4096) == (13, 1)
+    assert topk_search.blocks(50_000, 50_000, 64, 4096, 4096) == (13, 13)
+    assert topk_search.blocks(3_000_000, 30_000, 64, 4096, 4096) == (733, 1)  # 8 blocks before: the index was copied 8 times
+    assert topk_search.blocks(3_000_000, 30_000, 1024, 4096, 4096) == (733, 8)
+    monkeypatch.setattr(topk_search, "PAIRS", 4)
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(x) for x in rng.normal(size=3).astype(np.float32)]) for i in range(90)]
+    want = sorted(plain.topk(rows, lambda i: i % 3 == 0, 5), key=repr)
+    found = topk_search.topk(vectors(spark, [(*r, 0, 0) for r in rows]), lambda c: c % 3 == 0, 5, index_block=10, query_block=2)
+    assert got(found, "query_id", "rank", "vec_id", "score") == want
+
+
+def test_subset_sums():
+    rng = np.random.default_rng(9)
+    level = rng.integers(0, 64, size=(70, 4))
+    slices = np.stack([topk_search._pack(((level >> b) & 1).T.astype(bool)) for b in range(6)], axis=1)
+    sums = sum(topk_search._unpack(s, 70).astype(np.int64) << i for i, s in enumerate(topk_search.subset_sums(slices)))
+    assert (sums == np.array([level[:, [i for i in range(4) if s >> i & 1]].sum(axis=1) for s in range(16)])).all()
+
+
 def test_bit_sliced_sums_are_the_products():
     rng = np.random.default_rng(5)
     level = rng.integers(0, 64, size=(100, 5))
